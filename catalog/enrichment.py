@@ -1 +1,57 @@
-"""Registered queries."""
+"""Districts, coordinates and weather of outage events."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from catalog.bindings import OUTAGES, WEATHER, outages, weather_hourly
+from catalog.registry import query
+from townpulse.constants import AREA_TO_DISTRICT, DISTRICT_COORDS
+from townpulse.functions import geo
+from townpulse.plans import enrichment
+
+_AREAS = "areas(prio, place, known) AS (VALUES " + ", ".join(
+    f"({i}, '{p}', '{d}')" for i, (p, d) in enumerate(AREA_TO_DISTRICT.items())
+) + ")"
+_COORDS = "centres(prio, name, lat, lon) AS (VALUES " + ", ".join(
+    f"({i}, '{n}', {lat}::DOUBLE, {lon}::DOUBLE)" for i, (n, (lat, lon)) in enumerate(DISTRICT_COORDS.items())
+) + ")"
+_BY_NAME = """CASE WHEN named_district IN ('', 'Unknown') THEN 'default'
+  ELSE coalesce((SELECT known FROM areas WHERE place = named_district), (SELECT name FROM centres WHERE name = named_district), 'default') END"""
+
+
+@query("j4_district_from_location", f"""WITH {OUTAGES}, {_AREAS}, {_COORDS}
+SELECT event_id, coalesce((SELECT min_by(known, prio) FROM areas WHERE contains(lower(location), lower(place))), {_BY_NAME}) AS district FROM outages""")
+def j4(spark, sf):
+    district = geo.district_from_location(F.col("location"), F.col("named_district"))
+    return outages(spark, sf).select("event_id", district.alias("district"))
+
+
+@query("j5_district_from_name", f"WITH {OUTAGES}, {_AREAS}, {_COORDS} SELECT event_id, {_BY_NAME} AS district FROM outages")
+def j5(spark, sf):
+    return outages(spark, sf).select("event_id", geo.district_from_name(F.col("named_district")).alias("district"))
+
+
+@query("j6_district_coords", f"""WITH {OUTAGES}, {_COORDS}, hit AS (
+  SELECT DISTINCT named_district, CASE WHEN named_district = '' THEN 'default' ELSE coalesce((SELECT name FROM centres WHERE name = named_district),
+    (SELECT min_by(name, prio) FROM centres WHERE contains(named_district, name) OR contains(name, named_district)), 'default') END AS name FROM outages)
+SELECT event_id, lat, lon FROM outages JOIN hit USING (named_district) JOIN centres ON centres.name = hit.name""")
+def j6(spark, sf):
+    point = geo.district_coords(F.col("named_district"))
+    return outages(spark, sf).select("event_id", point["lat"].alias("lat"), point["lon"].alias("lon"))
+
+
+@query("a27_weather_daily", f"WITH {WEATHER} SELECT * FROM weather_daily")
+def a27(spark, sf):
+    return enrichment.weather_daily(weather_hourly(spark, sf))
+
+
+@query("j7_add_weather", f"""WITH {OUTAGES}, {WEATHER}
+SELECT event_id, o.district, o.date, w.temp, w.rain, w.wind_gust FROM outages o
+LEFT JOIN weather_daily w ON w.district = o.district AND w.date = o.date AND o.date < DATE '2024-01-20'""")
+def j7(spark, sf):
+    daily = enrichment.weather_daily(weather_hourly(spark, sf))
+    events = outages(spark, sf).select("event_id", "district", "date", "temp", "rain", "wind_gust")
+    return enrichment.add_weather(events, daily, date(2024, 1, 25), "event_id")

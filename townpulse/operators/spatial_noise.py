@@ -63,10 +63,10 @@ def spatial_noise(df: DataFrame, key: str, eps: float = 0.01, min_samples: int =
         F.collect_list(F.struct("_p", "_plat", "_plon")).alias("_probes")
     )
     hits = salted_lookup(points, probe_lists, _CELL, ["_id"], "inner").select(
-        F.explode(F.filter(
+        F.explode_outer(F.filter(
             "_probes", lambda p: _near(eps, p["_plat"], p["_plon"], F.col("_lat"), F.col("_lon"))
         )).alias("_hit")
-    )
+    ).filter(F.col("_hit").isNotNull())
     near_full = hits.groupBy(F.col("_hit._p").alias("_id")).agg(F.count(F.lit(1)).alias("_full"))
     near_sparse = sparse_pairs.groupBy(F.col("_p").alias("_id")).agg(F.count(F.lit(1)).alias("_few"))
 

@@ -1,4 +1,8 @@
-"""From stored notice pages to outage events."""
+"""From stored notice pages to outage events.
+
+The parsed arrays are exploded with the outer form and empty ones dropped afterwards:
+for a plain explode the optimizer adds a filter that would parse every text again.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townpulse.constants import NEWS_PATH, NOTICE_SITE, NOTICE_SOURCE
-from townpulse.functions.notice_text import (
-    DAY_HEADER,
-    TIME_RANGE,
-    district_in,
-    header_date,
-    location_detail,
-    province_in,
-    range_times,
-    sections,
-)
-from townpulse.functions.text import clean_notice, first_links, has_next_page, html_text, is_blank, strip
+from townpulse.functions.notice_text import day_sections, district_in, province_in, timed_events
+from townpulse.functions.text import first_links, has_next_page, html_text, is_blank
 from townpulse.functions.times import iso_date, weekday_name
 from townpulse.operators.dedup import keep_first
 
@@ -29,8 +24,8 @@ def listing_links(
     """One row per link of a listing page, in page order, with the has-next flag."""
     return pages.select(
         "page_id", has_next_page(F.col("html")).alias("has_next"),
-        F.posexplode(first_links(F.col("html"), item_pattern, site, path)).alias("position", "link"),
-    )
+        F.posexplode_outer(first_links(F.col("html"), item_pattern, site, path)).alias("position", "link"),
+    ).filter(F.col("position").isNotNull())
 
 
 def page_texts(pages: DataFrame, tag: str = "div", css_class: str | None = "content-description") -> DataFrame:
@@ -41,15 +36,12 @@ def page_texts(pages: DataFrame, tag: str = "div", css_class: str | None = "cont
 def notice_days(notices: DataFrame, url: str = "announcement_url", text: str = "content", keep: list[str] = ()) -> DataFrame:
     """One row per day section of each notice, cleaned; empty sections are dropped."""
     part = notices.filter(~is_blank(F.col(text))).select(
-        *keep, F.col(url).alias("announcement_url"),
-        F.posexplode(sections(F.col(text), DAY_HEADER)).alias("section", "s"),
-    )
-    dated = part.withColumns({
-        "outage_date": header_date(F.col("s.head")), "outage_data": clean_notice(strip(F.col("s.body"))),
-    })
-    return dated.filter(F.length("outage_data") > 0).select(
+        *keep, F.col(url).alias("announcement_url"), F.posexplode_outer(day_sections(F.col(text))).alias("section", "s"),
+    ).filter(F.col("section").isNotNull())
+    day = F.col("s.outage_date")
+    return part.select(
         *keep, "section", F.lit(NOTICE_SOURCE).alias("source"), "announcement_url",
-        F.coalesce(weekday_name(F.col("outage_date")), F.lit("")).alias("day_of_week"), "outage_date", "outage_data",
+        F.coalesce(weekday_name(day), F.lit("")).alias("day_of_week"), day.alias("outage_date"), "s.outage_data",
     )
 
 
@@ -63,13 +55,11 @@ def extract_events(days: DataFrame, keep: list[str] = ()) -> DataFrame:
     """One row per time range named in a day's text, with the place that follows it."""
     found = days.filter(~is_blank(F.col("outage_data"))).select(
         *keep, F.col("outage_date").alias("date"), "day_of_week",
-        F.posexplode(sections(F.col("outage_data"), TIME_RANGE)).alias("event", "s"),
-    )
-    start, end = range_times(F.col("s.head"))
-    placed = found.withColumns({"start": start, "end": end, "location": location_detail(F.col("s.body"))})
-    return placed.select(
-        *keep, "event", "date", "day_of_week", "start", "end", "location",
-        district_in(F.col("location")).alias("district"), province_in(F.col("location")).alias("province"),
+        F.posexplode_outer(timed_events(F.col("outage_data"))).alias("event", "e"),
+    ).filter(F.col("event").isNotNull())
+    return found.select(
+        *keep, "event", "date", "day_of_week", "e.start", "e.end", "e.location",
+        district_in(F.col("e.location")).alias("district"), province_in(F.col("e.location")).alias("province"),
     )
 
 
