@@ -263,4 +263,4 @@ FROM orders""")
 def j9(spark, sf):
     days = table(spark, sf, "lineitem").filter("l_quantity = 50 AND l_discount = 0.1D").select(F.to_date("l_shipdate").alias("date"))
     rows = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
-    return joins.flag_members(rows, days, "date", "flag").select("o_orderkey", "flag")
+    return joins.flag_members(rows, days, "date", "flag", ["o_orderkey"]).select("o_orderkey", "flag")

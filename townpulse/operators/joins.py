@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
@@ -47,13 +47,8 @@ def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, on: str = "date
     return actual.join(predicted, on, "inner")
 
 
-def flag_members(df: DataFrame, members: DataFrame, key: str, name: str) -> DataFrame:
-    """1 where the row's key is among ``members`` (distinct keys), else 0."""
+def flag_members(df: DataFrame, members: DataFrame, key: str, name: str, salt_by: list[str]) -> DataFrame:
+    """1 where the row's key is among ``members``, else 0."""
     marked = members.select(key).distinct().withColumn(name, F.lit(1))
-    return df.join(marked, key, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
-
-
-def broadcast_within(df: DataFrame, small: DataFrame, on: list[str] | Column, how: str, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``small`` if a count proves it has at most ``max_rows`` rows, else shuffle."""
-    fits = small.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(small) if fits else small, on, how)
+    joined = salted_lookup(df, marked, [key], salt_by)
+    return joined.select(*df.columns, F.coalesce(F.col(name), F.lit(0)).alias(name))
