@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from townpulse.constants import BANGKOK_PATTERN, EMPTY_FILL
 from townpulse.functions.times import parse_timestamp
-from townpulse.operators.quantiles import exact_quantiles
+from townpulse.operators.quantiles import column_quantiles
 from townpulse.schemas import numeric_columns, require_columns
 
 
@@ -70,24 +70,26 @@ def equals_or_all(df: DataFrame, col: str, value: str = "All") -> DataFrame:
     return df if value == "All" else df.filter(F.col(col) == value)
 
 
-def iqr_bounds(df: DataFrame, col: str, factor: float) -> tuple[float, float] | None:
-    """Lower and upper fence, or None for a column without values."""
-    q1, q3 = exact_quantiles(df, col, [0.25, 0.75])
-    if q1 is None:
-        return None
-    return q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+def iqr_bounds(df: DataFrame, cols: list[str], factor: float) -> dict[str, tuple[float, float]]:
+    """Lower and upper fence per column that has values."""
+    quartiles = column_quantiles(df, cols, [0.25, 0.75]) if cols else {}
+    return {c: (a - factor * (b - a), b + factor * (b - a)) for c, (a, b) in quartiles.items() if a is not None}
 
 
-def cap_outliers(df: DataFrame, cols: list[str] | None = None, factor: float = 1.5) -> DataFrame:
-    """Clip every column to its IQR fences; nulls stay null."""
+def _numeric_among(df: DataFrame, cols: list[str] | None) -> list[str]:
     numeric = numeric_columns(df)
-    chosen = numeric if cols is None else [c for c in require_columns(df, cols).columns if c in cols and c in numeric]
+    if cols is None:
+        return numeric
+    require_columns(df, cols)
+    return [c for c in cols if c in numeric]
+
+
+def cap_outliers(df: DataFrame, cols: list[str] | None = None, factor: float = 1.5) -> DataFrame:
+    """Clip every (numeric) column to its IQR fences; nulls stay null."""
     capped = {}
-    for c in chosen:
-        bounds = iqr_bounds(df, c, factor)
-        if bounds is not None:
-            x = F.col(c).cast("double")
-            capped[c] = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(bounds[0])), F.lit(bounds[1])))
+    for c, (low, high) in iqr_bounds(df, _numeric_among(df, cols), factor).items():
+        x = F.col(c).cast("double")
+        capped[c] = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
     return df.withColumns(capped) if capped else df
 
 
@@ -96,10 +98,8 @@ def remove_outliers(df: DataFrame, cols: list[str] | None = None, factor: float
 
     The fences of a column come from the rows that survived the columns before it.
     """
-    numeric = numeric_columns(df)
-    chosen = numeric if cols is None else [c for c in cols if c in require_columns(df, cols).columns and c in numeric]
-    for c in chosen:
-        bounds = iqr_bounds(df, c, factor)
+    for c in _numeric_among(df, cols):
+        bounds = iqr_bounds(df, [c], factor).get(c)
         df = df.filter(F.lit(False)) if bounds is None else df.filter(F.col(c).between(*bounds))
     return df
 

@@ -8,7 +8,7 @@ nodes). Rows are drawn by a hash of their id, which makes fits repeatable.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field
 from math import ceil, log2, sqrt
 
 import numpy as np
@@ -36,7 +36,10 @@ def average_path(n: np.ndarray) -> np.ndarray:
 
 def grow_tree(x: np.ndarray, usable: np.ndarray, rng: np.random.Generator, max_depth: int) -> pd.DataFrame:
     """Split all nodes of a level at once; returns the node table of one tree."""
-    feature, threshold, left, right, length = [-1], [np.nan], [-1], [-1], [0.0]
+    nodes = 2 * len(x)
+    feature, left, right = (np.full(nodes, -1) for _ in range(3))
+    threshold, length = np.full(nodes, np.nan), np.zeros(nodes)
+    used = 1
     node = np.zeros(len(x), dtype=np.int64)
     rows = np.arange(len(x))
     for depth in range(max_depth + 1):
@@ -52,27 +55,18 @@ def grow_tree(x: np.ndarray, usable: np.ndarray, rng: np.random.Generator, max_d
         split = (wish[at, pick] >= 0) & (depth < max_depth)
         cut = low[at, pick] + rng.random(len(ids)) * (high[at, pick] - low[at, pick])
         cut = np.where(cut >= high[at, pick], low[at, pick], cut)
-        paths = depth + average_path(size)
-        children = np.full(len(ids), -1)
-        for i in np.flatnonzero(~split):
-            length[ids[i]] = paths[i]
-        for i in np.flatnonzero(split):
-            children[i] = len(feature)
-            feature[ids[i]], threshold[ids[i]] = int(pick[i]), float(cut[i])
-            left[ids[i]], right[ids[i]] = int(children[i]), int(children[i]) + 1
-            feature += [-1, -1]
-            threshold += [np.nan, np.nan]
-            left += [-1, -1]
-            right += [-1, -1]
-            length += [0.0, 0.0]
+        length[ids[~split]] = (depth + average_path(size))[~split]
+        child = used + 2 * (np.cumsum(split) - 1)
+        inner = ids[split]
+        feature[inner], threshold[inner] = pick[split], cut[split]
+        left[inner], right[inner] = child[split], child[split] + 1
+        used += 2 * int(split.sum())
         which = np.repeat(at, size)
         goes_on = split[which]
         rows, which = rows[goes_on], which[goes_on]
-        node[rows] = children[which] + (x[rows, pick[which]] > cut[which])
-    return pd.DataFrame({
-        "node": np.arange(len(feature)), "feature": feature, "threshold": threshold,
-        "left": left, "right": right, "length": length,
-    })
+        node[rows] = child[which] + (x[rows, pick[which]] > cut[which])
+    table = {"feature": feature, "threshold": threshold, "left": left, "right": right, "length": length}
+    return pd.DataFrame({"node": np.arange(used), **{k: v[:used] for k, v in table.items()}})
 
 
 @dataclass
@@ -85,9 +79,17 @@ class IsolationForest:
     sample_size: int
     contamination: float
     offset: float | None = None
+    shared: list | None = field(default=None, repr=False)
 
     def params(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "nodes"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("nodes", "shared")}
+
+    def broadcasts(self) -> list:
+        """The trees as broadcast chunks, made once per model."""
+        if self.shared is None:
+            sc = self.nodes.sparkSession.sparkContext
+            self.shared = [(sum(a.nbytes for a in c.values()), sc.broadcast(c)) for c in _tree_chunks(self)]
+        return self.shared
 
 
 def draw_samples(df: DataFrame, key: str, features: list[str], n_trees: int, max_samples: int, seed: int) -> tuple[DataFrame, int]:
@@ -132,12 +134,13 @@ def fit(
     nodes = cut_lineage(samples.groupBy("tree").applyInPandas(build, NODES))
     forest = IsolationForest(nodes, features, n_trees, size, contamination)
     [offset] = exact_quantiles(cut_lineage(score(df, forest).select("score")), "score", [contamination])
-    return replace(forest, offset=offset)
+    forest.offset = offset
+    return forest
 
 
 def _tree_chunks(forest: IsolationForest) -> list[dict[str, np.ndarray]]:
     """The model as flat arrays, in chunks of whole trees that are broadcast one by one."""
-    nodes = forest.nodes.toPandas().sort_values(["tree", "node"])
+    nodes = forest.nodes.toArrow().to_pandas().sort_values(["tree", "node"])
     per_chunk = max(1, int(CHUNK_BYTES / (NODE_BYTES * max(1, len(nodes) / forest.n_trees))))
     chunks = []
     for start in range(0, forest.n_trees, per_chunk):
@@ -171,25 +174,24 @@ def path_lengths(x: np.ndarray, trees: dict[str, np.ndarray], block: int = 2048)
     return total
 
 
+def _length_udf(shared):
+    @F.pandas_udf("double")
+    def lengths(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+        return pd.Series(path_lengths(x, shared.value))
+
+    return lengths
+
+
 def score(df: DataFrame, forest: IsolationForest) -> DataFrame:
     """Add ``score`` in [-1, 0]; lower is more anomalous."""
-    sc = df.sparkSession.sparkContext
-    chunks = _tree_chunks(forest)
     resident = 0
     scored = df.withColumn("_path", F.lit(0.0))
-    for chunk in chunks:
-        size = sum(a.nbytes for a in chunk.values())
+    for size, shared in forest.broadcasts():
         if resident and resident + size > RESIDENT_BYTES:
             scored, resident = cut_lineage(scored), 0
         resident += size
-        shared = sc.broadcast(chunk)
-
-        @F.pandas_udf("double")
-        def lengths(*columns: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            return pd.Series(path_lengths(x, shared.value))
-
-        step = lengths(*[F.col(f).cast("double") for f in forest.features])
+        step = _length_udf(shared)(*[F.col(f).cast("double") for f in forest.features])
         scored = scored.withColumn("_path", F.col("_path") + step)
     scale = forest.n_trees * float(average_path(np.array([forest.sample_size]))[0])
     exponent = -F.col("_path") / F.lit(scale) if scale > 0 else F.lit(-1.0)

@@ -55,17 +55,30 @@ def _ranked(values: DataFrame, ranks: list[int]) -> list:
 
 
 def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> list[float | None]:
-    """Quantiles with linear interpolation between neighbouring values."""
-    n = df.filter(F.col(col).isNotNull()).count()
-    if n == 0:
-        return [None] * len(probabilities)
-    places = [(n - 1) * p for p in probabilities]
-    ranks = sorted({f(x) for x in places for f in (floor, ceil)})
-    value = dict(zip(ranks, order_statistics(df, col, ranks)))
-    return [
-        float(value[floor(x)]) + (float(value[ceil(x)]) - float(value[floor(x)])) * (x - floor(x))
-        for x in places
-    ]
+    """Quantiles of one column with linear interpolation between neighbouring values."""
+    return column_quantiles(df, [col], probabilities)[col]
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns; those of few rows share one job."""
+    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    places = {c: [(n - 1) * p for p in probabilities] for c, n in zip(cols, sizes) if n}
+    ranks = {c: sorted({f(x) for x in xs for f in (floor, ceil)}) for c, xs in places.items()}
+    few = [c for c, n in zip(cols, sizes) if 0 < n <= SMALL]
+    found = {c: dict(zip(rs, order_statistics(df, c, rs))) for c, rs in ranks.items() if c not in few}
+    if few:
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in few]).unpivot([], few, "c", "v")
+        counts = long.filter(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("c").orderBy("v")))
+        slots = sorted({r for c in few for r in ranks[c]})
+        picks = [F.min(F.when(F.col("upto") > r, F.col("v"))).alias(str(r)) for r in slots]
+        for row in upto.groupBy("c").agg(*picks).collect():
+            found[row["c"]] = {r: row[str(r)] for r in ranks[row["c"]]}
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in cols}
+    for c, xs in places.items():
+        at = {r: float(v) for r, v in found[c].items()}
+        result[c] = [at[floor(x)] + (at[ceil(x)] - at[floor(x)]) * (x - floor(x)) for x in xs]
+    return result
 
 
 def with_range_bucket(df: DataFrame, col: str, buckets: int, name: str = "bucket") -> DataFrame:

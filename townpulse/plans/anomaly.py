@@ -23,7 +23,7 @@ from townpulse.functions.categories import type_flags
 from townpulse.functions.times import weekday_number
 from townpulse.operators import isolation_forest
 from townpulse.operators.joins import with_group_count
-from townpulse.operators.quantiles import exact_quantiles
+from townpulse.operators.quantiles import column_quantiles
 from townpulse.operators.sampling import scatter_sample  # noqa: F401  (part of this plan's surface)
 from townpulse.operators.series import centred, daily_counts
 from townpulse.operators.spatial_noise import spatial_noise  # noqa: F401
@@ -91,7 +91,8 @@ def medians(df: DataFrame, cols: list[str]) -> dict[str, float]:
     real = [f.name for f in df.schema.fields if f.name in cols and isinstance(f.dataType, (DoubleType, FloatType))]
     whole = [c for c in cols if c not in real]
     found = df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in whole]).first().asDict() if whole else {}
-    found |= {c: exact_quantiles(df, c, [0.5])[0] for c in real}
+    if real:
+        found |= {c: q for c, [q] in column_quantiles(df, real, [0.5]).items()}
     return {c: 0.0 if found[c] is None else float(found[c]) for c in cols}
 
 
