@@ -11,6 +11,7 @@ from townpulse.operators.silhouette import score_separation
 from townpulse.operators.spatial_noise import spatial_noise
 from townpulse.plans import anomaly
 from townpulse.session import cut_lineage, fresh_path
+from townpulse.sources.readers import spread
 
 _FEATURES = f"""{COMPLAINTS},
 pairs AS (SELECT district, CAST(timestamp AS DATE) AS date, count(*) AS k FROM complaints GROUP BY 1, 2),
@@ -173,7 +174,7 @@ def m11(spark, sf):
 
 
 def _split_features(spark, sf):
-    df = cut_lineage(complaints(spark, sf).select("ticket_id", "timestamp", "type", "district", "lat", "lon", "solve_days"))
+    df = spread(cut_lineage(complaints(spark, sf).select("ticket_id", "timestamp", "type", "district", "lat", "lon", "solve_days")))
     split = time_split(df, "timestamp", "ticket_id")
     train, val = (split.filter(F.col("is_train") == flag).drop("is_train") for flag in (True, False))
     return anomaly.prepare_features(train), anomaly.prepare_features(val)
@@ -182,21 +183,21 @@ def _split_features(spark, sf):
 @query("m3_m4_isolation_forest")
 def m3_m4(spark, sf):
     train, val = _split_features(spark, sf)
-    model = anomaly.fit_model(cut_lineage(train), n_trees=300, max_samples=10_000)
+    model = anomaly.fit_model(spread(cut_lineage(train)), n_trees=300, max_samples=10_000)
     return model.predict(val).select("ticket_id", "score", "prediction")
 
 
 @query("m10_detect_anomalies")
 def m10(spark, sf):
-    df = cut_lineage(complaints(spark, sf))
-    model = anomaly.fit_model(anomaly.prepare_features(df), n_trees=100, max_samples=256)
+    df = spread(cut_lineage(complaints(spark, sf)))
+    model = anomaly.fit_model(spread(cut_lineage(anomaly.prepare_features(df))), n_trees=100, max_samples=256)
     return anomaly.detect_anomalies(df, model).select("ticket_id", "district", "is_anomaly", "anomaly_score")
 
 
 @query("m11_forest_separation")
 def m11_forest(spark, sf):
     train, val = _split_features(spark, sf)
-    model = anomaly.fit_model(cut_lineage(train), n_trees=100, max_samples=1000, max_features=0.8)
+    model = anomaly.fit_model(spread(cut_lineage(train)), n_trees=100, max_samples=1000, max_features=0.8)
     verdict = model.predict(val).withColumn("flag", (F.col("prediction") == -1).cast("int"))
     return score_separation(verdict, "score", "flag")
 
@@ -205,5 +206,5 @@ def m11_forest(spark, sf):
 def m12_m24(spark, sf):
     train, val = _split_features(spark, sf)
     path = fresh_path(spark, "anomaly-model")
-    anomaly.fit_model(cut_lineage(train), n_trees=50, max_samples=256).save(path)
+    anomaly.fit_model(spread(cut_lineage(train)), n_trees=50, max_samples=256).save(path)
     return anomaly.stability(val, anomaly.AnomalyModel.load(spark, path))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from townpulse.functions.categories import with_types
 from townpulse.functions.times import elapsed_days, with_time_parts
+from townpulse.sources.readers import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,7 +74,7 @@ def complaint_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.concat(F.lit("{"), "o_orderpriority", F.lit(" , "), "c_mktsegment", F.lit("}"))
     coords = F.format_string("100.%03d,13.%03d", key % 991, cust % 997)
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
         .select(

@@ -283,7 +283,7 @@ SELECT event_id, CASE WHEN s THEN "start" || ' - ' || "end" END AS time_range,
 FROM (SELECT *, coalesce(regexp_full_match("start", '[01][0-9]:[0-5][0-9]|2[0-3]:[0-5][0-9]')
   AND regexp_full_match("end", '[01][0-9]:[0-5][0-9]|2[0-3]:[0-5][0-9]'), FALSE) AS s FROM outages)""")
 def x1_x2_x3(spark, sf):
-    start, end = times.clock(F.col("start")), times.clock(F.col("end"))
+    start, end = F.col("start"), F.col("end")
     return outages(spark, sf).select(
         "event_id", times.time_range(start, end).alias("time_range"), times.minutes_between(start, end).alias("duration_minutes")
     )

@@ -11,10 +11,13 @@ from townpulse.functions.text import strip
 
 def parse_types(col: Column) -> Column:
     """``{a,b}`` as an array of trimmed names; ``['Unknown']`` when there is none."""
-    inner = F.regexp_replace(col, r"^[{}]+|[{}]+$", "")
-    names = F.filter(F.transform(F.split(inner, ","), strip), lambda t: F.length(t) > 0)
     unknown = F.array(F.lit(UNKNOWN_TYPE))
-    return F.when(col.isNull() | (col == NO_TYPE) | (F.size(names) == 0), unknown).otherwise(names)
+    names = F.filter(
+        F.transform(F.split(F.btrim(col, F.lit("{}")), ","), strip), lambda t: F.length(t) > 0
+    )
+    # the one-element array lets ``names`` be computed once and used twice
+    filled = F.get(F.transform(F.array(names), lambda n: F.when(F.size(n) > 0, n).otherwise(unknown)), F.lit(0))
+    return F.when(col.isNull() | (col == NO_TYPE), unknown).otherwise(filled)
 
 
 def with_types(df: DataFrame, col: str = "type") -> DataFrame:

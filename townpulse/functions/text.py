@@ -16,6 +16,7 @@ SPACE_CLASS = (
     r"\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 SPACE = f"[{SPACE_CLASS}]"
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # --- fixed values: rewrites of notice text, applied in this order (pattern, replacement) ---
 NOTICE_REWRITES = [
@@ -39,7 +40,7 @@ NOTICE_REWRITES = [
 
 def strip(col: Column) -> Column:
     """Trim Unicode whitespace on both ends."""
-    return F.regexp_replace(col, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def is_blank(col: Column) -> Column:

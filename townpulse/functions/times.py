@@ -9,17 +9,23 @@ DAY_MICROS = 86_400_000_000
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS[XXX][X]"
 
 
-def clock(col: Column) -> Column:
-    """``HH:mm`` text as a timestamp on the epoch day; null where the text is no such time."""
-    return F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), col), F.lit("yyyy-MM-dd HH:mm"))
+def clock_minutes(col: Column) -> Column:
+    """Minutes since midnight of strict ``HH:mm`` text; null where it is no such time."""
+    return F.when(
+        col.rlike("^([01][0-9]|2[0-3]):[0-5][0-9]$"),
+        F.substring(col, 1, 2).cast("int") * 60 + F.substring(col, 4, 2).cast("int"),
+    )
 
 
 def time_range(start: Column, end: Column) -> Column:
-    return F.concat(F.date_format(start, "HH:mm"), F.lit(" - "), F.date_format(end, "HH:mm"))
+    """``HH:mm - HH:mm`` of two clock texts, null where either is bad."""
+    return F.when(
+        clock_minutes(start).isNotNull() & clock_minutes(end).isNotNull(), F.concat(start, F.lit(" - "), end)
+    )
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    return ((F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60)).cast("double")
+    return (clock_minutes(end) - clock_minutes(start)).cast("double")
 
 
 def minute_of_day(text: Column) -> Column:
@@ -43,13 +49,8 @@ def at_time(date: Column, text: Column) -> Column:
 
 
 def parse_timestamp(col: Column, pattern: str = TIMESTAMP_PATTERN) -> Column:
-    """Timestamp text with any offset form; also takes three fraction digits."""
-    millis = pattern.replace("SSSSSS", "SSS")
-    if millis == pattern:
-        return F.try_to_timestamp(col, F.lit(pattern))
-    return F.coalesce(
-        F.try_to_timestamp(col, F.lit(pattern)), F.try_to_timestamp(col, F.lit(millis))
-    )
+    """Timestamp text with any offset form and three or six fraction digits; null if bad."""
+    return F.try_to_timestamp(col, F.lit(pattern))
 
 
 def elapsed_days(start: Column, end: Column) -> Column:

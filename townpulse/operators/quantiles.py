@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil, floor
 
 from pyspark.ml.feature import Bucketizer
@@ -12,46 +13,88 @@ SMALL = 100_000
 SKETCH = 10_000
 
 
-def order_statistics(df: DataFrame, col: str, ranks: list[int]) -> list:
-    """The values at the given ranks (from 0) of the non-null values in order.
-
-    A quantile sketch narrows the range around a rank until few values are left; only
-    those are ranked. Each round is a scan with partial aggregation, no row is
-    shuffled, and the driver receives single numbers.
-    """
-    values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
-    return [_value_at(values, n, r) for r in ranks] if n > SMALL else _ranked(values, ranks)
-
-
-def _value_at(window: DataFrame, n: int, rank: int):
-    v = F.col("v")
-    while n > SMALL:
-        ends = [max(0.0, rank / n - 2 / SKETCH), min(1.0, rank / n + 2 / SKETCH)]
-        sketch = F.percentile_approx("v", F.array(*[F.lit(p) for p in ends]), F.lit(SKETCH))
-        lo, hi = window.agg(sketch.alias("q")).first()["q"]
-        below_lo, upto_lo, below_hi, upto_hi = window.agg(
-            F.count_if(v < lo), F.count_if(v <= lo), F.count_if(v < hi), F.count_if(v <= hi)
-        ).first()
-        if rank < below_lo:
-            window, n = window.filter(v < lo), below_lo
-        elif rank < upto_lo:
-            return lo
-        elif rank >= upto_hi:
-            window, n, rank = window.filter(v > hi), n - upto_hi, rank - upto_hi
-        elif rank >= below_hi:
-            return hi
+@dataclass
+class _Target:
+    """One wanted rank, and the open interval known to hold it with ``n`` values."""
+
+    col: str
+    rank: int
+    n: int
+    lo: object = None
+    hi: object = None
+    value: object = None
+    done: bool = False
+
+    def values(self) -> Column:
+        """The column where it lies in the interval, else null."""
+        v = F.col(self.col)
+        if self.lo is None and self.hi is None:
+            return v
+        above = v > F.lit(self.lo) if self.lo is not None else F.lit(True)
+        below = v < F.lit(self.hi) if self.hi is not None else F.lit(True)
+        return F.when(above & below, v)
+
+    def narrow(self, q_lo, q_hi, below_lo: int, upto_lo: int, below_hi: int, upto_hi: int) -> None:
+        if self.rank < below_lo:
+            self.hi, self.n = q_lo, below_lo
+        elif self.rank < upto_lo:
+            self.value, self.done = q_lo, True
+        elif self.rank >= upto_hi:
+            self.lo, self.n, self.rank = q_hi, self.n - upto_hi, self.rank - upto_hi
+        elif self.rank >= below_hi:
+            self.value, self.done = q_hi, True
         else:
-            window, n, rank = window.filter((v > lo) & (v < hi)), below_hi - upto_lo, rank - upto_lo
-    return _ranked(window, [rank])[0]
+            self.lo, self.hi = q_lo, q_hi
+            self.n, self.rank = below_hi - upto_lo, self.rank - upto_lo
+
 
+def order_statistics(df: DataFrame, ranks: dict[str, list[int]], sizes: dict[str, int]) -> dict[str, dict[int, object]]:
+    """The values at the given ranks (from 0) of each column's non-null values in order.
 
-def _ranked(values: DataFrame, ranks: list[int]) -> list:
-    """Look the ranks up among at most ``SMALL`` values."""
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")))
-    picks = [F.min(F.when(F.col("upto") > r, F.col("v"))).alias(f"r{i}") for i, r in enumerate(ranks)]
-    return list(upto.agg(*picks).first())
+    ``sizes`` holds the number of non-null values per column. A quantile sketch narrows
+    the interval around each rank until few values are left; only those are ranked.
+    Each round is a scan with partial aggregation for all ranks together, no row is
+    shuffled, and the driver receives single numbers.
+    """
+    targets = [_Target(c, r, sizes[c]) for c, rs in ranks.items() for r in rs]
+    wanted = [(t.col, t.rank) for t in targets]
+    while large := [t for t in targets if not t.done and t.n > SMALL]:
+        sketches = []
+        for t in large:
+            ends = [max(0.0, t.rank / t.n - 2 / SKETCH), min(1.0, t.rank / t.n + 2 / SKETCH)]
+            sketches.append(F.percentile_approx(t.values(), F.array(*[F.lit(p) for p in ends]), F.lit(SKETCH)))
+        cuts = df.agg(*[q.alias(f"q{i}") for i, q in enumerate(sketches)]).first()
+        counts = []
+        for t, (lo, hi) in zip(large, cuts):
+            v = t.values()
+            counts += [F.count_if(v < lo), F.count_if(v <= lo), F.count_if(v < hi), F.count_if(v <= hi)]
+        row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+        for i, (t, (lo, hi)) in enumerate(zip(large, cuts)):
+            t.narrow(lo, hi, *row[4 * i:4 * i + 4])
+    _rank_small(df, [t for t in targets if not t.done])
+    found: dict[str, dict[int, object]] = {c: {} for c in ranks}
+    for (c, rank), t in zip(wanted, targets):
+        found[c][rank] = t.value
+    return found
+
+
+def _rank_small(df: DataFrame, targets: list[_Target]) -> None:
+    """Look up ranks among at most ``SMALL`` values each, in one job per column."""
+    for col in dict.fromkeys(t.col for t in targets):
+        mine = [t for t in targets if t.col == col]
+        spans = list(dict.fromkeys((t.lo, t.hi) for t in mine))
+        rows = F.array_compact(F.array(*[
+            F.when(_Target(col, 0, 0, lo, hi).values().isNotNull(), F.struct(F.lit(i).alias("span"), F.col(col).alias("v")))
+            for i, (lo, hi) in enumerate(spans)
+        ]))
+        counts = df.select(F.explode_outer(rows).alias("e")).filter("e IS NOT NULL").groupBy("e.span", "e.v").agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("span").orderBy("v")))
+        picks = [
+            F.min(F.when((F.col("span") == spans.index((t.lo, t.hi))) & (F.col("upto") > t.rank), F.col("v"))).alias(f"r{i}")
+            for i, t in enumerate(mine)
+        ]
+        for t, value in zip(mine, upto.agg(*picks).first()):
+            t.value = value
 
 
 def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> list[float | None]:
@@ -60,20 +103,12 @@ def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> list
 
 
 def column_quantiles(df: DataFrame, cols: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns; those of few rows share one job."""
-    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    places = {c: [(n - 1) * p for p in probabilities] for c, n in zip(cols, sizes) if n}
+    """Exact quantiles of several columns, narrowed down together."""
+    row = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    sizes = {c: n for c, n in zip(cols, row) if n}
+    places = {c: [(n - 1) * p for p in probabilities] for c, n in sizes.items()}
     ranks = {c: sorted({f(x) for x in xs for f in (floor, ceil)}) for c, xs in places.items()}
-    few = [c for c, n in zip(cols, sizes) if 0 < n <= SMALL]
-    found = {c: dict(zip(rs, order_statistics(df, c, rs))) for c, rs in ranks.items() if c not in few}
-    if few:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in few]).unpivot([], few, "c", "v")
-        counts = long.filter(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("c").orderBy("v")))
-        slots = sorted({r for c in few for r in ranks[c]})
-        picks = [F.min(F.when(F.col("upto") > r, F.col("v"))).alias(str(r)) for r in slots]
-        for row in upto.groupBy("c").agg(*picks).collect():
-            found[row["c"]] = {r: row[str(r)] for r in ranks[row["c"]]}
+    found = order_statistics(df, ranks, sizes)
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in cols}
     for c, xs in places.items():
         at = {r: float(v) for r, v in found[c].items()}
@@ -110,26 +145,27 @@ def running_totals(df: DataFrame, order: str, sums: dict[str, Column], buckets:
     )
 
 
+def value_at(df: DataFrame, col: str, rank: int, n: int):
+    return order_statistics(df, {col: [rank]}, {col: n})[col][rank]
+
+
 def cut_after(df: DataFrame, order: str, tie: str, rows: int) -> Column:
     """True for exactly the first ``rows`` rows by (order, tie); ``tie`` must be unique.
 
     Rows whose ``order`` is null come last.
     """
-    known = df.filter(F.col(order).isNotNull()).count()
+    known, missing = df.agg(F.count(order), F.count_if(F.col(order).isNull())).first()
     if rows <= 0:
         return F.lit(False)
-    if rows >= known:
-        first = F.col(order).isNotNull()
-        rest = df.filter(F.col(order).isNull())
-        missing = rows - known
-        if missing <= 0:
-            return first
-        left = rest.count()
-        if missing >= left:
-            return F.lit(True)
-        return first | (F.col(tie) <= F.lit(order_statistics(rest, tie, [missing - 1])[0]))
-    [edge] = order_statistics(df, order, [rows - 1])
-    before = df.filter(F.col(order) < F.lit(edge)).count()
-    [last] = order_statistics(df.filter(F.col(order) == F.lit(edge)), tie, [rows - before - 1])
-    at_edge = (F.col(order) == F.lit(edge)) & (F.col(tie) <= F.lit(last))
-    return F.coalesce((F.col(order) < F.lit(edge)) | at_edge, F.lit(False))
+    if rows >= known + missing:
+        return F.lit(True)
+    if rows > known:
+        last = value_at(df.filter(F.col(order).isNull()), tie, rows - known - 1, missing)
+        return F.col(order).isNotNull() | (F.col(tie) <= F.lit(last))
+    edge = value_at(df, order, rows - 1, known)
+    x = F.col(order)
+    before, tied = df.agg(F.count_if(x < F.lit(edge)), F.count_if(x == F.lit(edge))).first()
+    if before + tied == rows:
+        return F.coalesce(x <= F.lit(edge), F.lit(False))
+    last = value_at(df.filter(x == F.lit(edge)), tie, rows - before - 1, tied)
+    return F.coalesce((x < F.lit(edge)) | ((x == F.lit(edge)) & (F.col(tie) <= F.lit(last))), F.lit(False))

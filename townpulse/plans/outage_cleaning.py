@@ -6,22 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townpulse.constants import OUTAGE_COLUMNS, OUTAGE_REQUIRED
-from townpulse.functions.times import clock, minutes_between, time_range
+from townpulse.functions.times import clock_minutes, minutes_between, time_range
 from townpulse.operators.cleaning import drop_unknown
 
 
 def with_valid_times(df: DataFrame) -> DataFrame:
     """Add time_range and duration_minutes; drop bad clocks and ends before starts."""
-    start, end = clock(F.col("start")), clock(F.col("end"))
-    return (
-        df.withColumns({"_start": start, "_end": end})
-        .filter(F.col("_start").isNotNull() & F.col("_end").isNotNull() & (F.col("_end") >= F.col("_start")))
-        .withColumns({
-            "time_range": time_range(F.col("_start"), F.col("_end")),
-            "duration_minutes": minutes_between(F.col("_start"), F.col("_end")),
-        })
-        .drop("_start", "_end")
-    )
+    start, end = F.col("start"), F.col("end")
+    valid = clock_minutes(end) >= clock_minutes(start)
+    return df.filter(valid).withColumns({
+        "time_range": time_range(start, end), "duration_minutes": minutes_between(start, end),
+    })
 
 
 def clean_outages(df: DataFrame, province: str = "bangkok", keep: list[str] = ()) -> DataFrame:

@@ -48,6 +48,15 @@ def page_range(df: DataFrame, start: int = 1, stop: int | None = None, max_pages
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few files at least one partition per core, ahead of costly row work.
+
+    A table of many files has more partitions than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: its type, the row count and its nulls, from a single pass."""
     nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)]
