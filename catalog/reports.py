@@ -11,6 +11,7 @@ from catalog.registry import query
 from townpulse.constants import WEEKDAY_NAMES_TH
 from townpulse.operators import joins, sampling, topk
 from townpulse.plans import complaint_reports as reports
+from townpulse.sources.readers import spread
 
 _TOP = "SELECT {k}, count(*) AS n FROM complaints WHERE {k} IS NOT NULL GROUP BY 1 ORDER BY n DESC, {k} LIMIT {n}"
 _THAI = ", ".join(f"({i}, '{n}')" for i, n in enumerate(WEEKDAY_NAMES_TH))
@@ -216,7 +217,7 @@ LIMIT CASE WHEN (SELECT count(*) FROM lineitem) > 50000
       THEN greatest(5000, CAST(floor((SELECT count(*) FROM lineitem) * 0.3) AS BIGINT)) ELSE (SELECT count(*) FROM lineitem) END""")
 def l10_percent(spark, sf):
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", key.alias("id"))
+    rows = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", key.alias("id"))
     return sampling.sample_percent(rows, 30, "id").drop("id")
 
 

@@ -133,7 +133,7 @@ def fit(
 
     nodes = cut_lineage(samples.groupBy("tree").applyInPandas(build, NODES))
     forest = IsolationForest(nodes, features, n_trees, size, contamination)
-    [offset] = exact_quantiles(cut_lineage(score(df, forest).select("score")), "score", [contamination])
+    [offset] = exact_quantiles(cut_lineage(score(df, forest, key).select("score")), "score", [contamination])
     forest.offset = offset
     return forest
 
@@ -183,8 +183,15 @@ def _length_udf(shared):
     return lengths
 
 
-def score(df: DataFrame, forest: IsolationForest) -> DataFrame:
-    """Add ``score`` in [-1, 0]; lower is more anomalous."""
+def score(df: DataFrame, forest: IsolationForest, key: str) -> DataFrame:
+    """Add ``score`` in [-1, 0]; lower is more anomalous.
+
+    Rows are first spread evenly by their id: descending the trees costs far more than
+    the shuffle, and earlier joins may have left few or uneven partitions.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df = df.repartition(parts, key)
     resident = 0
     scored = df.withColumn("_path", F.lit(0.0))
     for size, shared in forest.broadcasts():
@@ -198,9 +205,9 @@ def score(df: DataFrame, forest: IsolationForest) -> DataFrame:
     return scored.withColumn("score", -F.pow(F.lit(2.0), exponent)).drop("_path")
 
 
-def predict(df: DataFrame, forest: IsolationForest) -> DataFrame:
+def predict(df: DataFrame, forest: IsolationForest, key: str) -> DataFrame:
     """Add ``score`` and ``prediction`` (-1 anomaly, 1 normal)."""
-    return score(df, forest).withColumn("prediction", F.when(F.col("score") < forest.offset, -1).otherwise(1))
+    return score(df, forest, key).withColumn("prediction", F.when(F.col("score") < forest.offset, -1).otherwise(1))
 
 
 def save(forest: IsolationForest, path: str) -> None:

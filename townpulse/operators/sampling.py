@@ -19,7 +19,7 @@ def unit_draw(key: str, seed: int) -> Column:
     return F.conv(F.substring(draw(key, seed), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, total: int | None = None) -> DataFrame:
     """Exactly ``n`` rows, or all when there are fewer.
 
     Small samples use the top-k operator; large ones find the cut value first and
@@ -27,9 +27,9 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """
     if n <= 100_000:
         return df.withColumn("_draw", draw(key, seed)).orderBy("_draw", key).limit(n).drop("_draw")
-    marked = df.withColumn("_draw", unit_draw(key, seed))
-    if marked.limit(n + 1).count() <= n:
+    if (df.count() if total is None else total) <= n:
         return df
+    marked = df.withColumn("_draw", unit_draw(key, seed))
     return marked.filter(cut_after(marked, "_draw", key, n)).drop("_draw")
 
 
@@ -42,7 +42,7 @@ def sample_percent(df: DataFrame, percent: int, key: str, seed: int = 42, only_a
     total = df.count()
     if total <= only_above:
         return df
-    return sample_rows(df, percent_sample_size(total, percent), key, seed)
+    return sample_rows(df, percent_sample_size(total, percent), key, seed, total)
 
 
 def scatter_sample(df: DataFrame, key: str, normal: int = 600, top: int = 800, seed: int = 42) -> DataFrame:

@@ -29,6 +29,7 @@ from townpulse.operators.series import centred, daily_counts
 from townpulse.operators.spatial_noise import spatial_noise  # noqa: F401
 from townpulse.operators.topk import top_values
 from townpulse.schemas import require_columns
+from townpulse.session import cut_lineage
 
 
 def prepare_features(df: DataFrame, key: str = "ticket_id", serving: bool = False) -> DataFrame:
@@ -114,9 +115,9 @@ class AnomalyModel:
         missing = {c: F.lit(0) for c in self.forest.features if c not in features.columns}
         return self.scaler.transform(features.withColumns(missing) if missing else features)
 
-    def predict(self, features: DataFrame) -> DataFrame:
+    def predict(self, features: DataFrame, key: str = "ticket_id") -> DataFrame:
         """(…, score, prediction): scaled features with the forest's verdict."""
-        return isolation_forest.predict(self.prepare(features), self.forest)
+        return isolation_forest.predict(self.prepare(features), self.forest, key)
 
     def save(self, path: str) -> None:
         spark = self.forest.nodes.sparkSession
@@ -148,7 +149,8 @@ def detect_anomalies(df: DataFrame, model: AnomalyModel | None, key: str = "tick
     """Add is_anomaly and anomaly_score (1 = most unusual); without a model, by solve_days."""
     if model is None:
         return solve_day_anomalies(df)
-    verdict = model.predict(prepare_features(df, key, serving=True)).select(key, "score", "prediction")
+    verdict = model.predict(prepare_features(df, key, serving=True), key).select(key, "score", "prediction")
+    verdict = cut_lineage(verdict)  # scored once, read for the range and for the rows
     scored = verdict.withColumn("anomaly_score", min_max_inverted(verdict, "score"))
     flags = scored.select(key, (F.col("prediction") == -1).cast("int").alias("is_anomaly"), "anomaly_score")
     return df.join(flags, key)
@@ -236,7 +238,7 @@ def stability(features: DataFrame, model: AnomalyModel, key: str = "ticket_id",
             F.when(F.col("run") == r, hash_normal(key, f"{name}/{r}", seed) * noise) for r in range(1, runs + 1)
         ], F.lit(0.0))
         shifts[name] = F.col(name) + shift
-    verdicts = model.predict(noisy.withColumns(shifts)).groupBy(key).agg(
+    verdicts = model.predict(noisy.withColumns(shifts), key).groupBy(key).agg(
         *[F.max(F.when(F.col("run") == r, F.col("prediction"))).alias(f"p{r}") for r in range(runs + 1)]
     )
     same = [F.avg((F.col(f"p{r}") == F.col("p0")).cast("double")) for r in range(1, runs + 1)]

@@ -11,7 +11,8 @@ def write_csv(df: DataFrame, path: str, bom: bool = False, mode: str = "overwrit
     """CSV folder with headers; with ``bom`` every file starts with the UTF-8 mark."""
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] = (), mode: str = "overwrite", compression: str = "zstd") -> None:
