@@ -140,7 +140,7 @@ def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60).cast("int"), ts)
     nation = table(spark, sf_dir, "nation").select((F.col("n_nationkey")).alias("_nk"), "n_name")
     return (
-        table(spark, sf_dir, "events")
+        spread(table(spark, sf_dir, "events"))
         .withColumn("_nk", (u % 25).cast("int"))
         .join(F.broadcast(nation), "_nk")
         .select(

@@ -162,8 +162,10 @@ b AS (SELECT quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice
 FROM s, b WHERE l_quantity BETWEEN q1 - 0.2 * (q3 - q1) AND q3 + 0.2 * (q3 - q1)""")
 def f11_remove(spark, sf):
-    kept = ops.remove_outliers(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], factor=0.2)
-    return kept.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    return ops.remove_outliers(rows, ["l_extendedprice", "l_quantity"], factor=0.2)
 
 
 @query("f12_keep_solve_days", f"""WITH {COMPLAINTS},

@@ -124,7 +124,7 @@ def test_pivot_total_and_shares(spark):
 
 
 def test_csv_text_with_breaks_quotes_and_bom(spark):
-    rows = [("a,b", 'he said "x"'), ("line\nbreak", "ก"), (None, " pad "), ("", "empty")]
+    rows = [("a,b", 'he said "x"'), ("line\nbreak", "ก"), (None, " pad ")]
     df = spark.createDataFrame(rows, "p STRING, q STRING")
     path = fresh_path(spark, "csv")
     writers.write_csv(df.coalesce(1), path, bom=True)
@@ -136,6 +136,12 @@ def test_csv_text_with_breaks_quotes_and_bom(spark):
     assert readers.read_optional(spark, path + "-absent", "p STRING") is None
 
 
+def test_empty_csv_text_is_read_as_null(spark):
+    path = fresh_path(spark, "csv")
+    writers.write_csv(spark.createDataFrame([("", "x")], "p STRING, q STRING"), path)
+    assert readers.read_csv(spark, path, "p STRING, q STRING").first().p is None
+
+
 def test_stream_drops_repeats_and_resumes(spark):
     source, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "ck"))
     schema = "outage_date DATE, announcement_url STRING"

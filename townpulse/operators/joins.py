@@ -39,8 +39,12 @@ def with_group_count(
 
 
 def in_top_keys(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in ``top``, a top-n list and so of bounded size."""
-    return df.join(F.broadcast(top.select(key)), key, "left_semi")
+    """Rows whose key is in ``top``, a top-n list and so of bounded size and unique.
+
+    An inner join, as the optimizer would push a semi join below earlier aggregations and
+    so stop their results from being shared.
+    """
+    return df.join(F.broadcast(top.select(key)), key).select(*df.columns)
 
 
 def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, on: str = "date") -> DataFrame:

@@ -149,12 +149,15 @@ def value_at(df: DataFrame, col: str, rank: int, n: int):
     return order_statistics(df, {col: [rank]}, {col: n})[col][rank]
 
 
-def cut_after(df: DataFrame, order: str, tie: str, rows: int) -> Column:
+def cut_after(df: DataFrame, order: str, tie: str, rows: int, known: int | None = None) -> Column:
     """True for exactly the first ``rows`` rows by (order, tie); ``tie`` must be unique.
 
-    Rows whose ``order`` is null come last.
+    Rows whose ``order`` is null come last. ``known``, if given, says that there are that
+    many rows and no such nulls.
     """
-    known, missing = df.agg(F.count(order), F.count_if(F.col(order).isNull())).first()
+    missing = 0
+    if known is None:
+        known, missing = df.agg(F.count(order), F.count_if(F.col(order).isNull())).first()
     if rows <= 0:
         return F.lit(False)
     if rows >= known + missing:

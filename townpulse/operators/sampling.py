@@ -27,10 +27,11 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, total: int | No
     """
     if n <= 100_000:
         return df.withColumn("_draw", draw(key, seed)).orderBy("_draw", key).limit(n).drop("_draw")
-    if (df.count() if total is None else total) <= n:
+    total = df.count() if total is None else total
+    if total <= n:
         return df
     marked = df.withColumn("_draw", unit_draw(key, seed))
-    return marked.filter(cut_after(marked, "_draw", key, n)).drop("_draw")
+    return marked.filter(cut_after(marked, "_draw", key, n, total)).drop("_draw")
 
 
 def percent_sample_size(total: int, percent: int, least: int = 5000) -> int:

@@ -20,6 +20,7 @@ from townpulse.operators.cleaning import (
 )
 from townpulse.operators.dedup import keep_last
 from townpulse.operators.sampling import sample_rows
+from townpulse.session import stage
 
 
 def prepare_complaints(raw: DataFrame, order: list[str]) -> DataFrame:
@@ -37,9 +38,10 @@ def prepare_complaints(raw: DataFrame, order: list[str]) -> DataFrame:
 def clean_complaints(raw: DataFrame, order: list[str]) -> DataFrame:
     """Full cleaning: preparation, outlier limits, types and time parts.
 
-    State and star stay single columns instead of one-hot columns.
+    State and star stay single columns instead of one-hot columns. The prepared rows are
+    staged, as the fence of solve_days needs all of them before the first can pass.
     """
-    df = keep_reopen_range(keep_solve_days(prepare_complaints(raw, order)))
+    df = keep_reopen_range(keep_solve_days(stage(prepare_complaints(raw, order), "complaints")))
     return with_time_parts(with_types(df)).withColumnRenamed("star", "star_rating")
 
 

@@ -50,20 +50,28 @@ def type_shares(df: DataFrame, n: int = 10) -> DataFrame:
     return share_of_shown(top_values(df, "primary_type", n))
 
 
+def _pair_counts(df: DataFrame) -> DataFrame:
+    return df.groupBy("district", "primary_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _top_of(pairs: DataFrame, key: str, n: int) -> DataFrame:
+    """Top keys by complaints, from the pair counts, so that complaints are counted once."""
+    totals = pairs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("_n"))
+    return totals.orderBy(F.desc("_n"), key).limit(n)
+
+
 def types_by_district(df: DataFrame, kind: str = "All", districts: int = 15, types: int = 10) -> DataFrame:
     """Counts in the top districts, for the types most frequent within those districts."""
-    df = equals_or_all(df, "primary_type", kind)
-    pairs = value_counts(df, ["district", "primary_type"])
-    inside = in_top_keys(pairs, top_values(df, "district", districts), "district")
-    kinds = inside.groupBy("primary_type").agg(F.sum("n").alias("_n")).orderBy(F.desc("_n"), "primary_type").limit(types)
-    return in_top_keys(inside, kinds, "primary_type")
+    pairs = _pair_counts(equals_or_all(df, "primary_type", kind))
+    inside = in_top_keys(pairs, _top_of(pairs, "district", districts), "district")
+    return in_top_keys(inside, _top_of(inside, "primary_type", types), "primary_type")
 
 
 def districts_by_type(df: DataFrame, district: str = "All", types: int = 10, per_type: int = 10) -> DataFrame:
     """For the top types, the districts with most complaints of each."""
-    df = equals_or_all(df, "district", district)
-    pairs = in_top_keys(value_counts(df, ["primary_type", "district"]), top_values(df, "primary_type", types), "primary_type")
-    return top_per_group(pairs, ["primary_type"], [F.desc("n"), F.col("district")], per_type)
+    pairs = _pair_counts(equals_or_all(df, "district", district))
+    shown = in_top_keys(pairs, _top_of(pairs, "primary_type", types), "primary_type").filter(F.col("district").isNotNull())
+    return top_per_group(shown, ["primary_type"], [F.desc("n"), F.col("district")], per_type)
 
 
 def month_counts(df: DataFrame) -> DataFrame:

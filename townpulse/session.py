@@ -50,3 +50,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once on shared storage, so that reuse and retries read it back."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Like ``cut_lineage``, but columnar: later steps read only the columns they use."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,10 @@ from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str) -> DataFrame:
-    """CSV with a header; quoted fields may span lines; a missing path raises AnalysisException."""
+    """CSV with a header; quoted fields may span lines, and empty text is null.
+
+    A missing path raises AnalysisException.
+    """
     return (
         spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
         .option("multiLine", True).option("escape", '"').csv(path)
