@@ -12,17 +12,19 @@ than ``min_samples`` points each) need neighbours:
 * sparse against a full cell: the sparse points around a cell are a bounded list,
   handed to the rows of that cell by a salted join, counted by partial aggregation.
 
-No step pairs up the points of one cell, however many it holds.
+No step pairs up the points of one cell, however many it holds. The three results that
+are used several times are staged on shared storage.
 """
 
 from __future__ import annotations
 
 from math import sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from townpulse.operators.joins import salted_lookup
+from townpulse.session import stage
 
 _CELL = ["_i", "_j"]
 
@@ -48,15 +50,17 @@ def spatial_noise(df: DataFrame, key: str, eps: float = 0.01, min_samples: int =
         F.col(key).alias("_id"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
         F.floor(F.col(lat) / side).alias("_i"), F.floor(F.col(lon) / side).alias("_j"),
     )
-    cells = points.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n"))
-    sparse_cells = cells.filter(F.col("_n") < min_samples)
-    full_cells = cells.filter(F.col("_n") >= min_samples)
-    sparse = salted_lookup(points, sparse_cells, _CELL, ["_id"], "left_semi")
+    # At most min_samples points per cell travel on from each task, whatever the cell holds.
+    cell = Window.partitionBy(*_CELL)
+    few = points.withColumn("_rank", F.row_number().over(cell.orderBy("_id"))).filter(F.col("_rank") <= min_samples)
+    few = stage(few.withColumn("_n", F.count(F.lit(1)).over(cell)), "cells")
+    sparse = few.filter(F.col("_n") < min_samples).drop("_rank", "_n")
+    full_cells = few.filter((F.col("_n") >= min_samples) & (F.col("_rank") == 1)).select(*_CELL)
 
     probes = _around(sparse.select(F.col("_id").alias("_p"), F.col("_lat").alias("_plat"), F.col("_lon").alias("_plon"), *_CELL))
-    sparse_pairs = probes.join(sparse, _CELL).filter(
+    sparse_pairs = stage(probes.join(sparse, _CELL).filter(
         _near(eps, F.col("_plat"), F.col("_plon"), F.col("_lat"), F.col("_lon"))
-    )
+    ).select("_p", "_id"), "pairs")
 
     # Probe lists of full cells: at most 24 neighbours of fewer than min_samples points each.
     probe_lists = probes.join(full_cells, _CELL, "left_semi").groupBy(*_CELL).agg(
@@ -67,7 +71,7 @@ def spatial_noise(df: DataFrame, key: str, eps: float = 0.01, min_samples: int =
             "_probes", lambda p: _near(eps, p["_plat"], p["_plon"], F.col("_lat"), F.col("_lon"))
         )).alias("_hit")
     ).filter(F.col("_hit").isNotNull())
-    near_full = hits.groupBy(F.col("_hit._p").alias("_id")).agg(F.count(F.lit(1)).alias("_full"))
+    near_full = stage(hits.groupBy(F.col("_hit._p").alias("_id")).agg(F.count(F.lit(1)).alias("_full")), "hits")
     near_sparse = sparse_pairs.groupBy(F.col("_p").alias("_id")).agg(F.count(F.lit(1)).alias("_few"))
 
     counts = near_sparse.join(near_full, "_id", "left").withColumn("_full", F.coalesce("_full", F.lit(0)))
