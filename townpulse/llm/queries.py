@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import token_files
+from townpulse.llm import bpe, token_files
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -27,3 +27,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary(WORD_BPE), end_id=1)
     return token_files.read_token_files(spark, folder)
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
