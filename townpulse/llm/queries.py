@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import bpe, token_files
+from townpulse.llm import bpe, fingerprints, token_files
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -32,3 +32,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
