@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import bpe, fingerprints, token_files
+from townpulse.llm import bpe, fingerprints, html_cut, token_files
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -37,3 +37,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_cut.extract(table(spark, sf_dir, "pages"))
