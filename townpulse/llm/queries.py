@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import bpe, fingerprints, html_cut, token_files
+from townpulse.llm import bpe, fingerprints, html_cut, quality_rules, token_files
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -42,3 +42,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_cut.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
