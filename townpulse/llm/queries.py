@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import bpe, fingerprints, html_cut, quality_rules, token_files
+from townpulse.llm import bpe, fingerprints, html_cut, quality_rules, substring_dedup, surrogates, token_files
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -47,3 +47,13 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
