@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import bpe, fingerprints, html_cut, hyperminhash, quality_rules, substring_dedup, surrogates, token_files
+from townpulse.llm import bpe, fingerprints, html_cut, hyperminhash, packing, quality_rules, substring_dedup, surrogates, token_files
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -62,3 +62,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.place(packing.token_counts(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE)))
