@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from townpulse.llm import bpe, fingerprints, html_cut, hyperminhash, packing, quality_rules, substring_dedup, surrogates, token_files
+from townpulse.llm import bpe, fingerprints, html_cut, hyperminhash, packing, quality_rules, substring_dedup, surrogates, token_files, toxicity
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -67,3 +67,9 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(packing.token_counts(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE)))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
