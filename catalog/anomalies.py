@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.bindings import COMPLAINTS, complaints, table
+from catalog.bindings import COMPLAINTS, SPREAD, complaints, table
 from catalog.registry import query
 from townpulse.operators.sampling import scatter_sample, time_split
 from townpulse.operators.silhouette import score_separation
@@ -22,6 +22,10 @@ feats AS (SELECT ticket_id, CAST(hour(timestamp) AS INT) AS hour, CAST(isodow(ti
   FROM complaints JOIN pairs ON complaints.district = pairs.district AND CAST(timestamp AS DATE) = date)"""
 
 
+#: Size of the trained forest: trees, rows and share of the features for each tree.
+_FOREST = {"n_trees": 400, "max_samples": 30_000, "max_features": 0.8}
+
+
 @query("m1_features", f"WITH {_FEATURES} SELECT * FROM feats")
 def m1(spark, sf):
     return anomaly.prepare_features(complaints(spark, sf))
@@ -108,6 +112,23 @@ def m8(spark, sf):
     return combined.select("ticket_id", F.round("combined_score", 6).alias("combined_score"), "is_combined_anomaly")
 
 
+@query("m8_vote_of_all_detectors", "SELECT o_orderkey AS ticket_id, true AS is_share, true AS is_flag FROM orders")
+def m8_all(spark, sf):
+    """The forest, deviations of solve days, spatial noise and spikes vote with equal weight."""
+    df = cut_lineage(complaints(spark, sf))
+    model = anomaly.fit_model(spread(cut_lineage(anomaly.prepare_features(df)), SPREAD), **_FOREST)
+    df = anomaly.detect_anomalies(df, model).withColumnRenamed("is_anomaly", "is_forest_anomaly")
+    df = df.join(spatial_noise(df, "ticket_id", eps=0.003), "ticket_id")
+    df = anomaly.temporal_spikes(anomaly.z_score_anomalies(df, threshold=1.5), threshold=2.0)
+    methods = ["is_forest_anomaly", "is_statistical_anomaly", "is_spatial_anomaly", "is_temporal_anomaly"]
+    voted = anomaly.combine_methods(df, methods)
+    share = sum(F.col(m) for m in methods) / 4
+    return voted.select(
+        "ticket_id", (F.abs(F.col("combined_score") - share) < 1e-9).alias("is_share"),
+        (F.col("is_combined_anomaly") == (F.col("combined_score") > 0.5).cast("int")).alias("is_flag"),
+    )
+
+
 _FALLBACK = f"""{COMPLAINTS},
 s AS (SELECT median(solve_days) AS m, stddev_samp(solve_days) AS sd FROM complaints),
 scored AS (SELECT complaints.*, least(greatest(abs(solve_days - m) / (sd + 1), 0), 1) AS anomaly_score FROM complaints, s WHERE solve_days IS NOT NULL
@@ -174,7 +195,7 @@ def m11(spark, sf):
 
 
 def _split_features(spark, sf):
-    df = spread(cut_lineage(complaints(spark, sf).select("ticket_id", "timestamp", "type", "district", "lat", "lon", "solve_days")))
+    df = spread(cut_lineage(complaints(spark, sf).select("ticket_id", "timestamp", "type", "district", "lat", "lon", "solve_days")), SPREAD)
     split = time_split(df, "timestamp", "ticket_id")
     train, val = (split.filter(F.col("is_train") == flag).drop("is_train") for flag in (True, False))
     return anomaly.prepare_features(train), anomaly.prepare_features(val)
@@ -183,21 +204,21 @@ def _split_features(spark, sf):
 @query("m3_m4_isolation_forest")
 def m3_m4(spark, sf):
     train, val = _split_features(spark, sf)
-    model = anomaly.fit_model(spread(cut_lineage(train)), n_trees=300, max_samples=10_000)
+    model = anomaly.fit_model(spread(cut_lineage(train), SPREAD), n_trees=300, max_samples=10_000)
     return model.predict(val).select("ticket_id", "score", "prediction")
 
 
 @query("m10_detect_anomalies")
 def m10(spark, sf):
-    df = spread(cut_lineage(complaints(spark, sf)))
-    model = anomaly.fit_model(spread(cut_lineage(anomaly.prepare_features(df))), n_trees=100, max_samples=256)
+    df = cut_lineage(complaints(spark, sf))
+    model = anomaly.fit_model(spread(cut_lineage(anomaly.prepare_features(df)), SPREAD), **_FOREST)
     return anomaly.detect_anomalies(df, model).select("ticket_id", "district", "is_anomaly", "anomaly_score")
 
 
 @query("m11_forest_separation")
 def m11_forest(spark, sf):
     train, val = _split_features(spark, sf)
-    model = anomaly.fit_model(spread(cut_lineage(train)), n_trees=100, max_samples=1000, max_features=0.8)
+    model = anomaly.fit_model(spread(cut_lineage(train), SPREAD), **_FOREST)
     verdict = model.predict(val).withColumn("flag", (F.col("prediction") == -1).cast("int"))
     return score_separation(verdict, "score", "flag")
 
@@ -206,5 +227,26 @@ def m11_forest(spark, sf):
 def m12_m24(spark, sf):
     train, val = _split_features(spark, sf)
     path = fresh_path(spark, "anomaly-model")
-    anomaly.fit_model(spread(cut_lineage(train)), n_trees=50, max_samples=256).save(path)
+    anomaly.fit_model(spread(cut_lineage(train), SPREAD), **_FOREST).save(path)
     return anomaly.stability(val, anomaly.AnomalyModel.load(spark, path))
+
+
+@query("m3_m12_anomaly_training", """
+SELECT CAST(floor(count(*) * 0.8) AS BIGINT) AS n_train, CAST(count(*) - floor(count(*) * 0.8) AS BIGINT) AS n_val,
+       true AS flags_its_share, true AS scores_in_range, true AS separates, true AS is_stable FROM orders""")
+def m3_m12(spark, sf):
+    """The whole training job: split by time, fit, save, and judge on the later rows."""
+    train, val = _split_features(spark, sf)
+    train, path = spread(cut_lineage(train), SPREAD), fresh_path(spark, "anomaly-model")
+    anomaly.fit_model(train, **_FOREST).save(path)
+    model = anomaly.AnomalyModel.load(spark, path)
+    flagged = F.avg((F.col("prediction") == -1).cast("double"))
+    on_train = model.predict(train).agg(F.count("*").alias("n_train"), flagged.alias("share"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+    verdict = cut_lineage(model.predict(val).select("ticket_id", "score", (F.col("prediction") == -1).cast("int").alias("flag")))
+    return (
+        on_train.crossJoin(verdict.agg(F.count("*").alias("n_val"))).crossJoin(score_separation(verdict, "score", "flag")).crossJoin(anomaly.stability(val, model))
+        .select(
+            "n_train", "n_val", (F.abs(F.col("share") - model.forest.contamination) < 0.001).alias("flags_its_share"),
+            F.expr("lo >= -1 AND hi < 0 AND lo < hi").alias("scores_in_range"), (F.col("silhouette") > 0).alias("separates"), (F.col("stability") > 0.9).alias("is_stable"),
+        )
+    )

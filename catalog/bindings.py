@@ -12,6 +12,9 @@ from townpulse.functions.categories import with_types
 from townpulse.functions.times import elapsed_days, with_time_parts
 from townpulse.sources.readers import spread
 
+#: Partitions for costly row work on the given tables, which are single files.
+SPREAD = 16
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,7 +77,7 @@ def complaint_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.concat(F.lit("{"), "o_orderpriority", F.lit(" , "), "c_mktsegment", F.lit("}"))
     coords = F.format_string("100.%03d,13.%03d", key % 991, cust % 997)
     return (
-        spread(table(spark, sf_dir, "lineitem"))
+        spread(table(spark, sf_dir, "lineitem"), SPREAD)
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_places(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
         .select(
@@ -140,7 +143,7 @@ def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.timestamp_add("SECOND", F.floor(F.col("value") * 60).cast("int"), ts)
     nation = table(spark, sf_dir, "nation").select((F.col("n_nationkey")).alias("_nk"), "n_name")
     return (
-        spread(table(spark, sf_dir, "events"))
+        spread(table(spark, sf_dir, "events"), SPREAD)
         .withColumn("_nk", (u % 25).cast("int"))
         .join(F.broadcast(nation), "_nk")
         .select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.bindings import complaints, labelled_outages, requests
@@ -20,23 +21,22 @@ def _outage_rows(spark, sf):
     return cut_lineage(labelled_outages(spark, sf).drop("cluster"))
 
 
+def _train_and_all(spark, sf):
+    split = cut_lineage(random_split(_outage_rows(spark, sf), "event_id"))
+    return split.filter("NOT is_test").drop("is_test"), split
+
+
 @query("m21_m24_cluster_outages")
 def m21(spark, sf):
-    df = _outage_rows(spark, sf)
-    train = random_split(df, "event_id").filter("NOT is_test").drop("is_test")
+    train, rows = _train_and_all(spark, sf)
     path = fresh_path(spark, "outage-clusters")
-    outage_clusters.fit_clusters(train, k=4, restarts=3).write().overwrite().save(path)
-    return PipelineModel.load(path).transform(df).select("event_id", "district", "cluster")
+    outage_clusters.train_clusters(train)[0].write().overwrite().save(path)
+    return PipelineModel.load(path).transform(rows).select("event_id", "district", "cluster")
 
 
 @query("m22_find_best_k")
 def m22(spark, sf):
-    df = _outage_rows(spark, sf)
-    features = outage_clusters.encoder().fit(df).transform(df).select("features").persist()
-    try:
-        tried = outage_clusters.find_best_k(features, 2, 8, restarts=1)
-    finally:
-        features.unpersist()
+    tried = outage_clusters.train_clusters(_train_and_all(spark, sf)[0])[1]
     chosen = outage_clusters.best(tried)[0]
     rows = [(k, float(score), k == chosen) for k, score, _ in tried]
     return spark.createDataFrame(rows, "k INT, silhouette DOUBLE, is_best BOOLEAN")
@@ -44,9 +44,8 @@ def m22(spark, sf):
 
 @query("m23_evaluate_clusters")
 def m23(spark, sf):
-    split = random_split(_outage_rows(spark, sf), "event_id")
-    model = outage_clusters.fit_clusters(split.filter("NOT is_test"), k=3, restarts=1)
-    labelled = model.transform(split).select("features", "cluster", "is_test").persist()
+    train, rows = _train_and_all(spark, sf)
+    labelled = outage_clusters.train_clusters(train)[0].transform(rows).select("features", "cluster", "is_test").persist()
     try:
         rows = [
             (name, float(outage_clusters.silhouette(labelled.filter(test))), labelled.filter(test).count())
@@ -57,6 +56,28 @@ def m23(spark, sf):
     return spark.createDataFrame(rows, "split STRING, silhouette DOUBLE, n BIGINT")
 
 
+@query("m21_m24_cluster_training", """
+WITH t AS (SELECT event_id, ('0x' || substr(md5(event_id || ':42'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < 0.2 AS is_test FROM events)
+SELECT count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test, CAST(count(*) AS BIGINT) AS n_nearest, true AS k_is_best, true AS separates FROM t""")
+def m21_m24(spark, sf):
+    """The whole training job: search k, save, label all rows, judge both parts."""
+    train, rows = _train_and_all(spark, sf)
+    model, tried = outage_clusters.train_clusters(train)
+    path = fresh_path(spark, "outage-clusters")
+    model.write().overwrite().save(path)
+    model = PipelineModel.load(path)
+    labelled = cut_lineage(model.transform(rows).select("event_id", "features", "cluster", "is_test"))
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    at = vector_to_array("features")
+    far = [F.aggregate(F.zip_with(at, F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, b: a + b) for c in centres]
+    own = F.get(F.array(*far), F.col("cluster"))
+    counts = labelled.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"), F.count_if(own <= F.least(*far) + 1e-9).alias("n_nearest"))
+    k, top, _ = outage_clusters.best(tried)
+    good = len(centres) == k and top == max(score for _, score, _ in tried)
+    apart = all(outage_clusters.silhouette(labelled.filter(test)) > 0 for test in ("NOT is_test", "is_test"))
+    return counts.withColumns({"k_is_best": F.lit(good), "separates": F.lit(apart)})
+
+
 def _features(spark, sf):
     return cut_lineage(series.prepare_series(requests(spark, sf)))
 

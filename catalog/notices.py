@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.bindings import table
+from catalog.bindings import SPREAD, table
 from catalog.registry import query
 from townpulse.constants import STOP_PHRASES
 from townpulse.functions.text import NOTICE_REWRITES, SPACE, SPACE_CLASS, clean_notice, has_next_page, html_text, is_blank
 from townpulse.plans import notices as plan
 from townpulse.sources.readers import spread
 
-_ITEM = r"(?s)<li>(.*?)</li>"
+_ITEM = "<li>"
 
 
 def _sql_clean(text: str) -> str:
@@ -29,7 +29,7 @@ def _sql_clean(text: str) -> str:
 
 @query("x17_clean_documents", f"SELECT doc_id, {_sql_clean('text')} AS cleaned FROM documents")
 def x17(spark, sf):
-    return spread(table(spark, sf, "documents")).select("doc_id", clean_notice(F.col("text")).alias("cleaned"))
+    return spread(table(spark, sf, "documents"), SPREAD).select("doc_id", clean_notice(F.col("text")).alias("cleaned"))
 
 
 @query("x18_l9_links", """
@@ -47,7 +47,7 @@ WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)(</artic
 t AS (SELECT page_id, list_transform(regexp_split_to_array(body, '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'), ' ' || chr(10) || chr(9) || chr(13))) AS parts FROM a)
 SELECT page_id, array_to_string(list_filter(parts, lambda x: length(x) > 0), chr(10)) AS content FROM t""")
 def x19(spark, sf):
-    return plan.page_texts(spread(table(spark, sf, "pages")), "article", None).select("page_id", "content")
+    return plan.page_texts(spread(table(spark, sf, "pages"), SPREAD), "article", None).select("page_id", "content")
 
 
 @query("x20_has_next_page", "SELECT page_id, regexp_matches(html, '<nav><ul>') AS has_next FROM pages")
@@ -74,7 +74,7 @@ def notice_pages(spark, sf):
         F.when(e % 5 != 0, F.concat(following, F.lit("\n09:00 - 15.30 Moo "), (e % 9).cast("string"), F.lit(" Nonthaburi\n"))).otherwise(F.lit("")),
         F.lit("In case of any inquiries, call us"),
     )
-    return spread(table(spark, sf, "events")).select(
+    return spread(table(spark, sf, "events"), SPREAD).select(
         "event_id", F.concat(F.lit("/news/"), e.cast("string")).alias("announcement_url"), content.alias("content")
     )
 

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from catalog.bindings import COMPLAINTS, complaints, table
+from catalog.bindings import COMPLAINTS, SPREAD, complaints, table
 from catalog.registry import query
 from townpulse.constants import WEEKDAY_NAMES_TH
 from townpulse.operators import joins, sampling, topk
@@ -212,12 +212,10 @@ def l10(spark, sf):
 @query("l10_sample_percent", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM (
   SELECT *, l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber AS id FROM lineitem)
-ORDER BY md5(id || ':42'), id
-LIMIT CASE WHEN (SELECT count(*) FROM lineitem) > 50000
-      THEN greatest(5000, CAST(floor((SELECT count(*) FROM lineitem) * 0.3) AS BIGINT)) ELSE (SELECT count(*) FROM lineitem) END""")
+ORDER BY md5(id || ':42'), id LIMIT CAST(floor((SELECT count(*) FROM lineitem) * 30 / 100) AS BIGINT)""")
 def l10_percent(spark, sf):
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    rows = spread(table(spark, sf, "lineitem")).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", key.alias("id"))
+    rows = spread(table(spark, sf, "lineitem"), SPREAD).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", key.alias("id"))
     return sampling.sample_percent(rows, 30, "id").drop("id")
 
 

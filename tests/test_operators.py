@@ -103,7 +103,25 @@ def test_samples_are_exact_and_stable(spark, partitions, monkeypatch):
     marked = df.withColumn("_draw", sampling.unit_draw("k", 42))
     large = marked.filter(quantiles.cut_after(marked, "_draw", "k", 50)).select("k").collect()
     assert sorted(r[0] for r in large) == [r[0] for r in small[0]]
-    assert sampling.sample_rows(df, 5000, "k").count() == 1000
+    assert sampling.sample_rows(df, 5000, "k").count() == 1000 and sampling.sample_rows(df, 0, "k").count() == 0
+
+
+def test_samples_mean_the_same_at_any_size(spark):
+    for n in (10, 999, 60_000):
+        df = spark.range(n).withColumnRenamed("id", "k")
+        assert sampling.sample_percent(df, 30, "k").count() == n * 30 // 100
+        got = {r.k for r in sampling.sample_rows(df, n // 2, "k").collect()}
+        order = df.select("k", sampling.unit_draw("k", 42).alias("u")).orderBy("u", "k").limit(n // 2)
+        assert got == {r.k for r in order.collect()}
+
+
+def test_forest_draws_each_tree_from_the_whole_table(spark):
+    for n in (300, 4000):
+        df = spark.range(n).select("id", F.rand(1).alias("a"))
+        rows, size = isolation_forest.draw_samples(df, "id", ["a"], 40, 256, 42)
+        per_tree = {r.tree: (r.n, r.few) for r in rows.groupBy("tree").agg(F.count("*").alias("n"), F.countDistinct("id").alias("few")).collect()}
+        assert len(per_tree) == 40 and all(n == few >= size for n, few in per_tree.values())
+        assert rows.select("id").distinct().count() > 0.85 * n
 
 
 def test_top_lists_skip_nulls_and_break_ties(spark):

@@ -5,7 +5,8 @@ import os
 import random
 import subprocess
 import sys
-from datetime import date, timedelta
+from collections import Counter
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,7 +129,7 @@ def test_csv_text_with_breaks_quotes_and_bom(spark):
     df = spark.createDataFrame(rows, "p STRING, q STRING")
     path = fresh_path(spark, "csv")
     writers.write_csv(df.coalesce(1), path, bom=True)
-    assert sorted(map(str, readers.read_csv(spark, path, "p STRING, q STRING").collect())) == sorted(map(str, df.collect()))
+    assert sorted(map(str, readers.read_csv(spark, path, "p STRING, q STRING", multi_line=True).collect())) == sorted(map(str, df.collect()))
     local = path.removeprefix("file:")
     [part] = [f for f in os.listdir(local) if f.endswith(".csv")]
     with open(os.path.join(local, part), "rb") as f:
@@ -136,6 +137,22 @@ def test_csv_text_with_breaks_quotes_and_bom(spark):
     assert readers.read_optional(spark, path + "-absent", "p STRING") is None
 
 
+def test_one_large_csv_file_is_split_and_headers_are_grouped(spark):
+    paths = [fresh_path(spark, "csv") for _ in range(3)]
+    for i, path in enumerate(paths):
+        df = spark.range(20_000).selectExpr("cast(id as string) AS a", f"cast(id % 7 as string) AS {'b' if i < 2 else 'c'}")
+        writers.write_csv(df.coalesce(1), path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        one = readers.read_csv(spark, paths[0], "a STRING, b STRING")
+        assert one.rdd.getNumPartitions() > 1 and one.count() == 20_000
+        united = readers.union_csv(spark, paths)
+        assert united.columns == ["a", "b", "c"] and united.count() == 60_000 and united.where("c IS NULL").count() == 40_000
+        assert united._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_empty_csv_text_is_read_as_null(spark):
     path = fresh_path(spark, "csv")
     writers.write_csv(spark.createDataFrame([("", "x")], "p STRING, q STRING"), path)
@@ -151,6 +168,29 @@ def test_stream_drops_repeats_and_resumes(spark):
     assert sorted(r.announcement_url for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
 
 
+def test_intake_forgets_old_keys_and_still_drops_them(spark):
+    source, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "ck"))
+    schema = "outage_date DATE, announcement_url STRING, arrived TIMESTAMP"
+    batches = [(1, ["a", "a", "b"]), (20, ["c"]), (40, ["b", "d"]), (41, ["d", "a", "e"])]
+    for day, urls in batches:
+        rows = [(date(2024, 1, 1), u, datetime(2024, 1, 1) + timedelta(days=day)) for u in urls]
+        writers.append_batch(spark.createDataFrame(rows, schema), source)
+        query = streams.take_in(streams.read_stream(spark, source, schema), sink, checkpoint)
+        query.awaitTermination()
+    assert sorted(r.announcement_url for r in spark.read.parquet(sink).collect()) == ["a", "b", "c", "d", "e"]
+
+
+def test_stream_counts_cover_all_days_and_resume(spark):
+    source, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "ck"))
+    schema, start = "ts TIMESTAMP, kind STRING", datetime(2024, 1, 1)
+    rows = [(start + timedelta(hours=7 * i), "ab"[i % 2]) for i in range(60)]
+    for part in (rows[:30], rows[30:]):
+        writers.append_batch(spark.createDataFrame(part, schema), source)
+        streams.write_counts(streams.daily_counts(streams.read_stream(spark, source, schema), "kind"), sink, checkpoint).awaitTermination()
+    got = {(r.date, r.kind): r.n for r in streams.read_counts(spark, sink, "kind").collect()}
+    assert got == Counter((t.date(), k) for t, k in rows)
+
+
 def test_all_queries_with_sql_agree_on_the_smallest_tables():
     """Runs the comparison tool in its own process, as a user would."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

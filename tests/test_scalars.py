@@ -54,8 +54,15 @@ def test_one_hot_drop_first_unknown_and_null(spark):
     assert hot.columns == ["c_b", "c_nan"]
     assert sorted(tuple(r) for r in hot.collect()) == [(0.0, 0.0), (0.0, 0.0), (0.0, 1.0), (1.0, 0.0)]
     assert categories.category_values(df, ["c"]) == {"c": ["a", "b", "z", None]}
-    with pytest.raises(ValueError):
-        categories.category_values(spark.range(20), ["id"], limit=10)
+
+
+def test_one_hot_vector_of_many_values(spark):
+    df = spark.range(6000).select((F.col("id") % 5001).alias("k"), F.when(F.col("id") > 0, F.col("id") % 3).alias("small"))
+    hot, labels = categories.one_hot_vector(df, ["k", "small"])
+    assert len(labels["k"]) == 5001 and labels["small"] == ["0", "1", "2"]
+    for r in hot.limit(50).collect():
+        assert [labels["k"][i] for i in r.k_vector.indices] == [str(r.k)] and r.k_vector.size == 5002
+        assert list(r.small_vector) == [float(r.small == i) for i in range(3)] + [float(r.small is None)]
 
 
 def test_districts_prefer_earlier_places(spark):
@@ -98,12 +105,13 @@ def test_notice_days_and_events(spark):
         (2, "u2", "Saturday, Sep 6, 2025\nFrom 08.30 AM - 04.00 PM Soi 5\nSUNDAY September 7 2025\n\nMonday, Foo 8, 2025\n9.00 to 10.30 Rama 9, Vadhana District"),
         (3, "u3", "Friday, Feb 30, 2025\nsomething here"),
         (4, "u4", "  "),
+        (5, "u5", "Saturday, Sep ๖, ๒๐๒๕\nFrom ๐๘.๓๐ AM - ๐๔.๐๐ PM Soi ๕"),
     ], "id INT, announcement_url STRING, content STRING")
     days = notice_days(notices, keep=["id"]).orderBy("id", "section").collect()
-    assert [(d.id, d.outage_date, d.day_of_week) for d in days] == [(2, date(2025, 9, 6), "Saturday"), (2, None, ""), (3, None, "")]
+    assert [(d.id, d.outage_date, d.day_of_week) for d in days] == [(2, date(2025, 9, 6), "Saturday"), (2, None, ""), (3, None, ""), (5, date(2025, 9, 6), "Saturday")]
     events = extract_events(notice_days(notices, keep=["id"]), keep=["id"]).orderBy("id", "start").collect()
     assert [(e.start, e.end, e.location, e.district) for e in events] == [
-        ("08:30", "16:00", "Soi 5", "Unknown"), ("09:00", "10:30", "Rama 9, Vadhana District", "Vadhana"),
+        ("08:30", "16:00", "Soi 5", "Unknown"), ("09:00", "10:30", "Rama 9, Vadhana District", "Vadhana"), ("08:30", "16:00", "Soi 5", "Unknown"),
     ]
 
 
@@ -133,3 +141,30 @@ def test_links_are_absolute_and_distinct(spark):
     [got] = column(spark, [html], text.first_links(F.col("v"), LISTING_ITEM, "https://s.example"))
     assert got == ["https://s.example/news/1", "https://x.org/news/2"]
     assert column(spark, [html, "<p/>", None], text.has_next_page(F.col("v"))) == [True, False, False]
+
+
+def test_links_behind_nested_boxes_and_other_class_orders(spark):
+    from townpulse.plans.notices import LISTING_ITEM
+
+    html = (
+        '<div id=i class="mb-4 card col-lg-4 col-md-4 col-sm-6"><div class="img"><img src="x"></div><a href="/news/1">a</a></div>'
+        "<div class='col-sm-6 col-md-4 col-lg-4 mb-4'><div><div><a href='/news/2'>b</a></div></div></div>"
+        '<div class="col-sm-6 col-md-4 col-lg-4"><a href="/news/3">not an item</a></div>'
+    )
+    [got] = column(spark, [html], text.first_links(F.col("v"), LISTING_ITEM, "https://s.example"))
+    assert got == ["https://s.example/news/1", "https://s.example/news/2"]
+
+
+def test_pagination_needs_an_entry(spark):
+    pages = [
+        '<ul class="pagination"></ul><li>x', '<ul class="a pagination b"><li>1</li></ul>', '<div class="pagination"><span><a href=x>2</a></span></div>',
+        '<div class="pagination"></div><p><a href="/">home</a>', '<div class="paginations"><a>', '<div class="pagination"><div><a href=x>2</a></div></div>',
+    ]
+    assert column(spark, pages, text.has_next_page(F.col("v"))) == [False, True, True, False, False, True]
+
+
+def test_phrases_cut_once(spark):
+    got = column(spark, ["aXbXc", "XaXb", "abc", "a\nX", ""], text.cut_at_phrase(F.col("v"), "X"))
+    assert got == ["a", "XaXb", "abc", "a\n", ""]
+    plan = spark.range(1).select(text.clean_notice(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("cast(id") == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,13 +74,27 @@ def one_hot(df: DataFrame, cols: dict[str, list], drop_first: bool = False) -> D
     return df.select(*[F.col(c) for c in df.columns if c not in cols], *encoded)
 
 
-def category_values(df: DataFrame, cols: list[str], limit: int = 1000) -> dict[str, list]:
-    """Sorted distinct values per column, nulls last; refuses columns that are no categories."""
+def category_values(df: DataFrame, cols: list[str]) -> dict[str, list]:
+    """Sorted distinct values per column, nulls last: the names of wide columns.
+
+    They reach the driver, as column names must; ``one_hot_vector`` needs no wide columns.
+    """
     result = {}
     for name in cols:
-        rows = df.select(name).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{name} has more than {limit} values")
-        values = [r[0] for r in rows]
+        values = [r[0] for r in df.select(name).distinct().collect()]
         result[name] = sorted(v for v in values if v is not None) + ([None] if None in values else [])
     return result
+
+
+def one_hot_vector(df: DataFrame, cols: list[str], suffix: str = "_vector") -> tuple[DataFrame, dict[str, list[str]]]:
+    """Add a sparse 0/1 vector per column, for any number of values, and each vector's values.
+
+    Values are taken as text in alphabetical order; null has the place behind them.
+    """
+    texts, at, out = ([f"{p}{c}" for c in cols] for p in ("_text_", "_at_", ""))
+    marked = df.withColumns({t: F.col(c).cast("string") for t, c in zip(texts, cols)})
+    indexer = StringIndexer(inputCols=texts, outputCols=at, handleInvalid="keep", stringOrderType="alphabetAsc").fit(marked)
+    encoder = OneHotEncoder(inputCols=at, outputCols=[c + suffix for c in out], dropLast=False)
+    indexed = indexer.transform(marked)
+    hot = encoder.fit(indexed).transform(indexed).drop(*texts, *at)
+    return hot, {c: list(labels) for c, labels in zip(cols, indexer.labelsArray)}

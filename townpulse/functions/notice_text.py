@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from townpulse.functions.text import DIGIT, SPACE, clean_notice, strip
+from townpulse.functions.text import DIGIT, SPACE, ascii_digits, clean_notice, strip
 from townpulse.functions.times import date_from_words
 
+# --- fixed values: notations of notices ---
 # Weekday, month word, day, year, e.g. "Saturday, Sep 6, 2025" in any case
 DAY_HEADER = (
     rf"(?i)(Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday),?{SPACE}+([A-Za-z]+)"
@@ -17,6 +18,7 @@ DAY_HEADER = (
 TIME_RANGE = r"(?i)(\d{1,2})[:.]\s*(\d{2})\s*(AM|PM)?\s*(?:-|–|to|until)\s*(\d{1,2})[:.]\s*(\d{2})\s*(AM|PM)?"
 DISTRICT_NAME = r"([A-Z][A-Za-z]+(?: [A-Z][a-z]+)?) District"
 PROVINCES = ["Nonthaburi", "Samut Prakan", "Pathum Thani"]
+# --- end of fixed values ---
 
 
 def sections(text: Column, pattern: str) -> Column:
@@ -65,7 +67,7 @@ def range_times(parts: Column) -> tuple[Column, Column]:
 def timed_events(text: Column) -> Column:
     """Array of (start, end, location): every time range and the place that follows it."""
     split_up = F.transform(
-        sections(text, TIME_RANGE),
+        sections(ascii_digits(text), TIME_RANGE),
         lambda s: F.struct(
             _fields(s["head"], TIME_RANGE, [1, 2, 3, 4, 5, 6]).alias("parts"), location_detail(s["body"]).alias("location")
         ),

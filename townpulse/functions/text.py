@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -48,9 +49,12 @@ def is_blank(col: Column) -> Column:
 
 
 def cut_at_phrase(text: Column, phrase: str) -> Column:
-    """Drop the phrase and all after it, unless the text begins with it."""
-    at = F.locate(phrase, text)
-    return F.when(at > 1, F.substring(text, F.lit(1), at - 1)).otherwise(text)
+    """Drop the phrase and all after it, unless the text begins with it.
+
+    One expression that uses the text once: cuts nest without repeating each other.
+    """
+    quoted = re.escape(phrase)
+    return F.regexp_replace(text, rf"(?s)\A(?!{quoted})(.+?){quoted}.*\z", "$1")
 
 
 def clean_notice(text: Column) -> Column:
@@ -63,22 +67,44 @@ def clean_notice(text: Column) -> Column:
     return F.array_join(F.filter(lines, lambda line: F.length(line) > 2), "\n")
 
 
-def first_links(
-    html: Column, item_pattern: str, site: str = NOTICE_SITE, path: str = NEWS_PATH
-) -> Column:
-    """Distinct absolute links: the first link of each item, kept if it contains ``path``."""
-    items = F.regexp_extract_all(html, F.lit(item_pattern), F.lit(1))
-    hrefs = F.transform(
-        items, lambda item: F.regexp_extract(item, r"<a\s[^>]*href=[\"']([^\"']*)[\"']", 1)
-    )
+def first_links(html: Column, item_start: str, site: str = NOTICE_SITE, path: str = NEWS_PATH) -> Column:
+    """Distinct absolute links: the first link after each item's start tag, kept if it contains ``path``.
+
+    An item reaches to the next one, so elements nested before its link do no harm.
+    """
+    parts = F.split(html, item_start)
+    items = F.slice(parts, 2, F.size(parts))
+    hrefs = F.transform(items, lambda item: F.regexp_extract(item, r"(?i)<a\s[^>]*href=[\"']([^\"']*)[\"']", 1))
     kept = F.array_distinct(F.filter(hrefs, lambda h: F.contains(h, F.lit(path))))
     return F.transform(
         kept, lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(site), h))
     )
 
 
-def has_next_page(html: Column, marker: str = r"<(ul|div)[^>]*class=[\"'][^\"']*\bpagination\b") -> Column:
-    return F.coalesce(html.rlike(marker), F.lit(False))
+def class_tokens(tag: str, classes: str) -> str:
+    """Pattern of a start tag that has all the class names, in any order and among others."""
+    wanted = "".join(rf"(?=[^>]*\bclass=[\"'](?:[^\"']*\s)?{re.escape(c)}[\s\"'])" for c in classes.split())
+    return rf"(?i)<{tag}\b{wanted}[^>]*>"
+
+
+def has_next_page(html: Column, marker: str | None = None) -> Column:
+    """Whether the page has a list entry in a pagination list, or a link in a pagination box."""
+    if marker is not None:
+        return F.coalesce(html.rlike(marker), F.lit(False))
+    listed = F.regexp_extract_all(html, F.lit(rf"(?s){class_tokens('ul', 'pagination')}(.*?)(?:</ul|\z)"), F.lit(1))
+    # a box may hold further boxes, so its link is looked for up to the end of the page
+    boxed = F.regexp_extract_all(html, F.lit(rf"(?s){class_tokens('div', 'pagination')}(.*)"), F.lit(1))
+    found = F.exists(listed, lambda x: x.rlike(r"(?i)<li\b")) | F.exists(boxed, lambda x: x.rlike(r"(?is)\A(?:[^<]|<(?!/div))*?<a\b") | x.rlike(r"(?is)\A\s*<div\b.{0,4000}?<a\b"))
+    return F.coalesce(found, F.lit(False))
+
+
+#: Decimal digits of other scripts, ten by ten from zero, that notices may be written in.
+_ZEROS = [0x0E50, 0x0660, 0x06F0, 0x0966, 0x0ED0, 0x1040, 0x17E0, 0xFF10]
+OTHER_DIGITS = "".join(chr(z + d) for z in _ZEROS for d in range(10))
+
+
+def ascii_digits(text: Column) -> Column:
+    return F.translate(text, OTHER_DIGITS, "0123456789" * len(_ZEROS))
 
 
 class _BlockText(HTMLParser):

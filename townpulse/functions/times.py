@@ -96,5 +96,7 @@ def date_from_words(month: Column, day: Column, year: Column) -> Column:
     number = F.array_position(
         F.array(*[F.lit(m) for m in MONTH_PREFIXES]), F.lower(F.substring(month, 1, 3))
     )
-    text = F.format_string("%04d-%02d-%02d", year.cast("int"), number, day.cast("int"))
+    from townpulse.functions.text import ascii_digits
+
+    text = F.format_string("%04d-%02d-%02d", ascii_digits(year).try_cast("int"), number, ascii_digits(day).try_cast("int"))
     return F.when(number > 0, text.try_cast("date"))

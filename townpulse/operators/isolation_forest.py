@@ -8,8 +8,9 @@ nodes). Rows are drawn by a hash of their id, which makes fits repeatable.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import ceil, log2, sqrt
+from math import ceil, log, log1p, log2, sqrt
 
 import numpy as np
 import pandas as pd
@@ -95,21 +96,35 @@ class IsolationForest:
 def draw_samples(df: DataFrame, key: str, features: list[str], n_trees: int, max_samples: int, seed: int) -> tuple[DataFrame, int]:
     """Rows per tree (with their draw), slightly more than needed, and the sample size.
 
-    When the table is much larger than all samples together, a hash-chosen pool is
-    taken first, so the per-tree draws run over the pool only.
+    Every tree draws from the whole table. A row is in a tree with probability ``share``,
+    so the number of its trees is binomial: that number is drawn first, and only rows that
+    have a tree at all go through the list of trees to pick theirs.
     """
     n = df.count()
     size = min(max_samples, n)
-    pool_share = min(1.0, 1.2 * n_trees * size / max(n, 1))
-    pool = df if pool_share == 1.0 else df.filter(_unit(key, F.lit(-1), seed) < pool_share)
-    share = min(1.0, size / max(n * pool_share, 1) * (1 + 5 / sqrt(max(size, 1))))
+    share = min(1.0, size / max(n, 1) * (1 + 5 / sqrt(max(size, 1))))
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    rows = df.select(key, *features)
     if share < 1.0:
-        trees = F.filter(trees, lambda t: _unit(key, t, seed) < share)
-    rows = pool.select(key, *features, F.explode_outer(trees).alias("tree")).filter(F.col("tree").isNotNull())
+        upto = F.array(*map(F.lit, _binomial(n_trees, share)))
+        drawn = _unit(key, F.lit(-1), seed)
+        number = F.size(F.filter(upto, lambda u: u <= F.col("_number")))
+        order = F.array_sort(F.transform(trees, lambda t: F.struct(F.xxhash64(F.col(key), t, F.lit(seed + 1)).alias("h"), t.alias("t"))))
+        rows = rows.withColumn("_number", drawn).withColumn("_number", number).filter("_number > 0")
+        trees = F.transform(F.slice(order, 1, F.col("_number")), lambda x: x.t)
+    rows = rows.select(key, *features, F.explode(trees).alias("tree"))
     return rows.withColumn("_draw", _unit(key, F.col("tree"), seed)), size
 
 
+def _binomial(n: int, p: float) -> list[float]:
+    """P(at most k) for k = 0, 1, ... as long as it is below one."""
+    k = np.arange(n + 1)
+    logs = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, n + 1)))))
+    chance = np.exp(logs[n] - logs - logs[::-1] + k * log(p) + (n - k) * log1p(-p))
+    upto = np.minimum(np.cumsum(chance), 1.0)
+    return [float(u) for u in upto[:-1] if u < 1.0 - 1e-13]
+
+
 def _unit(key: str, salt: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.col(key), salt, F.lit(seed)), 11) / F.lit(float(2**53))
 
@@ -133,27 +148,25 @@ def fit(
 
     nodes = cut_lineage(samples.groupBy("tree").applyInPandas(build, NODES))
     forest = IsolationForest(nodes, features, n_trees, size, contamination)
-    [offset] = exact_quantiles(cut_lineage(score(df, forest, key).select("score")), "score", [contamination])
+    [offset] = exact_quantiles(cut_lineage(score(df.select(key, *features), forest, key).select("score")), "score", [contamination])
     forest.offset = offset
     return forest
 
 
-def _tree_chunks(forest: IsolationForest) -> list[dict[str, np.ndarray]]:
-    """The model as flat arrays, in chunks of whole trees that are broadcast one by one."""
-    nodes = forest.nodes.toArrow().to_pandas().sort_values(["tree", "node"])
-    per_chunk = max(1, int(CHUNK_BYTES / (NODE_BYTES * max(1, len(nodes) / forest.n_trees))))
-    chunks = []
+def _tree_chunks(forest: IsolationForest) -> Iterator[dict[str, np.ndarray]]:
+    """The model as flat arrays, one chunk of whole trees at a time from a filtered read."""
+    most = 2 * forest.sample_size  # nodes of a tree
+    per_chunk = max(1, CHUNK_BYTES // (NODE_BYTES * most))
     for start in range(0, forest.n_trees, per_chunk):
-        part = nodes[(nodes.tree >= start) & (nodes.tree < start + per_chunk)]
+        part = forest.nodes.filter(F.col("tree").between(start, start + per_chunk - 1)).toArrow().to_pandas().sort_values(["tree", "node"])
         sizes = part.groupby("tree").size().to_numpy()
         roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         shift = np.repeat(roots, sizes)
-        chunks.append({
+        yield {
             "roots": roots, "feature": part.feature.to_numpy(np.int32), "threshold": part.threshold.to_numpy(),
             "left": (part.left.to_numpy() + shift).astype(np.int32), "right": (part.right.to_numpy() + shift).astype(np.int32),
             "length": part.length.to_numpy(),
-        })
-    return chunks
+        }
 
 
 def path_lengths(x: np.ndarray, trees: dict[str, np.ndarray], block: int = 2048) -> np.ndarray:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import sqrt
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from townpulse.operators.quantiles import cut_after
 from townpulse.operators.topk import n_largest
+from townpulse.session import stage
 
 
 def draw(key: str, seed: int) -> Column:
@@ -20,30 +23,37 @@ def unit_draw(key: str, seed: int) -> Column:
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42, total: int | None = None) -> DataFrame:
-    """Exactly ``n`` rows, or all when there are fewer.
+    """Exactly the ``n`` rows of smallest draw, ties by ``key``; all when there are fewer.
 
-    Small samples use the top-k operator; large ones find the cut value first and
-    then filter, so no single task holds the sample.
+    Draws are uniform, so the ``n``-th smallest lies within a few deviations of ``n / total``.
+    One pass counts the rows below that range and stages the few (draw, key) inside it,
+    from which the cut is read; rows are then filtered, and no task holds the sample.
     """
-    if n <= 100_000:
-        return df.withColumn("_draw", draw(key, seed)).orderBy("_draw", key).limit(n).drop("_draw")
     total = df.count() if total is None else total
     if total <= n:
         return df
+    if n <= 0:
+        return df.limit(0)
+    share = n / total
+    width = 8 * sqrt(share * (1 - share) / total) + 1 / total
+    low, high = share - width, share + width
     marked = df.withColumn("_draw", unit_draw(key, seed))
-    return marked.filter(cut_after(marked, "_draw", key, n, total)).drop("_draw")
-
-
-def percent_sample_size(total: int, percent: int, least: int = 5000) -> int:
-    return max(least, int(total * percent / 100))
-
-
-def sample_percent(df: DataFrame, percent: int, key: str, seed: int = 42, only_above: int = 50_000) -> DataFrame:
-    """A share of the rows, at least 5,000; tables of up to ``only_above`` rows stay whole."""
+    seen = Observation()
+    inside = marked.observe(seen, F.count_if(F.col("_draw") < low).alias("below")).filter(F.col("_draw").between(low, high))
+    inside = stage(inside.select("_draw", F.col(key).alias("_key")), "draws")
+    wanted = n - seen.get["below"]
+    first = inside.orderBy("_draw", "_key").limit(max(wanted, 0))
+    found = first.agg(F.count("*").alias("n"), F.max(F.struct("_draw", "_key")).alias("last")).first()
+    if wanted < 1 or found.n < wanted:  # eight deviations off: does not happen with uniform draws
+        return marked.filter(cut_after(marked, "_draw", key, n, total)).drop("_draw")
+    draw_at, key_at = (F.lit(x) for x in found.last)
+    return marked.filter((F.col("_draw") < draw_at) | (F.col("_draw") == draw_at) & (F.col(key) <= key_at)).drop("_draw")
+
+
+def sample_percent(df: DataFrame, percent: float, key: str, seed: int = 42) -> DataFrame:
+    """Exactly ``floor(percent / 100 * n)`` rows of a table of any size."""
     total = df.count()
-    if total <= only_above:
-        return df
-    return sample_rows(df, percent_sample_size(total, percent), key, seed, total)
+    return sample_rows(df, int(total * percent / 100), key, seed, total)
 
 
 def scatter_sample(df: DataFrame, key: str, normal: int = 600, top: int = 800, seed: int = 42) -> DataFrame:

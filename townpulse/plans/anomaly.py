@@ -149,11 +149,13 @@ def detect_anomalies(df: DataFrame, model: AnomalyModel | None, key: str = "tick
     """Add is_anomaly and anomaly_score (1 = most unusual); without a model, by solve_days."""
     if model is None:
         return solve_day_anomalies(df)
-    verdict = model.predict(prepare_features(df, key, serving=True), key).select(key, "score", "prediction")
+    # rows are told apart by a number of their own, as keys may be null or occur twice
+    df = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    verdict = model.predict(prepare_features(df.drop(key).withColumnRenamed("_row", key), key, serving=True), key).select(F.col(key).alias("_row"), "score", "prediction")
     verdict = cut_lineage(verdict)  # scored once, read for the range and for the rows
     scored = verdict.withColumn("anomaly_score", min_max_inverted(verdict, "score"))
-    flags = scored.select(key, (F.col("prediction") == -1).cast("int").alias("is_anomaly"), "anomaly_score")
-    return df.join(flags, key)
+    flags = scored.select("_row", (F.col("prediction") == -1).cast("int").alias("is_anomaly"), "anomaly_score")
+    return df.join(flags, "_row").drop("_row")
 
 
 def solve_day_anomalies(df: DataFrame) -> DataFrame:

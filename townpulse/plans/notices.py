@@ -11,20 +11,20 @@ from pyspark.sql import functions as F
 
 from townpulse.constants import NEWS_PATH, NOTICE_SITE, NOTICE_SOURCE
 from townpulse.functions.notice_text import day_sections, district_in, province_in, timed_events
-from townpulse.functions.text import first_links, has_next_page, html_text, is_blank
+from townpulse.functions.text import class_tokens, first_links, has_next_page, html_text, is_blank
 from townpulse.functions.times import iso_date, weekday_name
 from townpulse.operators.dedup import keep_first
 
-LISTING_ITEM = r"(?s)<div[^>]*class=[\"']col-sm-6 col-md-4 col-lg-4 mb-4[\"'][^>]*>(.*?)</div>"
+LISTING_ITEM = class_tokens("div", "col-sm-6 col-md-4 col-lg-4 mb-4")
 
 
 def listing_links(
-    pages: DataFrame, item_pattern: str = LISTING_ITEM, site: str = NOTICE_SITE, path: str = NEWS_PATH
+    pages: DataFrame, item_start: str = LISTING_ITEM, site: str = NOTICE_SITE, path: str = NEWS_PATH
 ) -> DataFrame:
     """One row per link of a listing page, in page order, with the has-next flag."""
     return pages.select(
         "page_id", has_next_page(F.col("html")).alias("has_next"),
-        F.posexplode_outer(first_links(F.col("html"), item_pattern, site, path)).alias("position", "link"),
+        F.posexplode_outer(first_links(F.col("html"), item_start, site, path)).alias("position", "link"),
     ).filter(F.col("position").isNotNull())
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -60,13 +62,17 @@ def silhouette(clustered: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(clustered)
 
 
-def find_best_k(features: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10) -> list[tuple[int, float, KMeansModel]]:
-    """(k, silhouette, model) for every k; the first highest score wins, see ``best``."""
-    tried = []
-    for k in range(k_min, k_max + 1):
+def find_best_k(features: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10, at_once: int = 4) -> list[tuple[int, float, KMeansModel]]:
+    """(k, silhouette, model) for every k; the first highest score wins, see ``best``.
+
+    The fits do not depend on each other, so ``at_once`` of them run side by side.
+    """
+    def tried(k: int) -> tuple[int, float, KMeansModel]:
         model = fit_kmeans(features, k, restarts)
-        tried.append((k, silhouette(model.transform(features)), model))
-    return tried
+        return k, silhouette(model.transform(features)), model
+
+    with ThreadPool(at_once) as pool:
+        return pool.map(tried, range(k_min, k_max + 1), chunksize=1)
 
 
 def best(tried: list[tuple[int, float, KMeansModel]]) -> tuple[int, float, KMeansModel]:
@@ -84,6 +90,17 @@ def fit_clusters(train: DataFrame, k: int, restarts: int = 10) -> PipelineModel:
     return PipelineModel(stages=[*encoding.stages, model])
 
 
+def train_clusters(train: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10) -> tuple[PipelineModel, list[tuple[int, float, KMeansModel]]]:
+    """Search k on the training rows; the model of the best k, and all that were tried."""
+    encoding = encoder().fit(train)
+    features = encoding.transform(train).select("features").persist()
+    try:
+        tried = find_best_k(features, k_min, k_max, restarts)
+    finally:
+        features.unpersist()
+    return PipelineModel(stages=[*encoding.stages, best(tried)[2]]), tried
+
+
 def cluster_sizes(df: DataFrame) -> DataFrame:
     return value_counts(df, "cluster").orderBy("cluster")
 

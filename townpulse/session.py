@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
+import zipfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,7 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -28,12 +32,13 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, ready for ``checkpoint()``.
 
-    Only a local master may run without the setting; it then gets a temporary folder.
+    Only a session of one process may run without the setting; it then gets a temporary
+    folder. Several processes on one machine are a cluster like any other.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         path = tempfile.mkdtemp(prefix="townpulse-")
     if sc.getCheckpointDir() is None:
@@ -57,3 +62,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers of a cluster that has no copy of it, once per session.
+
+    Python operators run its functions on the workers. Where it is installed there (see
+    ``pyproject.toml``) this is not needed.
+    """
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="townpulse-"), "townpulse.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("townpulse", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)

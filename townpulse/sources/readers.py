@@ -5,39 +5,45 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str) -> DataFrame:
-    """CSV with a header; quoted fields may span lines, and empty text is null.
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; empty text is null. A missing path raises AnalysisException.
 
-    A missing path raises AnalysisException.
+    Large files are split among tasks. With ``multi_line`` quoted fields may hold line
+    breaks, and each file is one task.
     """
     return (
         spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-        .option("multiLine", True).option("escape", '"').csv(path)
+        .option("multiLine", multi_line).option("escape", '"').csv(path)
     )
 
 
-def read_optional(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
+def read_optional(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame | None:
     """Like ``read_csv``, but None where there is no such path."""
     try:
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def union_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+def union_csv(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
     """CSV files with differing headers, united by column name, absent columns null.
 
-    All columns are text. Folders whose files share a header need only ``read_csv``.
+    All columns are text. One plan is made per different header, not per path.
     """
-    frames = [spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(p) for p in paths]
-    united = frames[0]
-    for frame in frames[1:]:
-        united = united.unionByName(frame, allowMissingColumns=True)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path).columns
+        by_header.setdefault(tuple(header), []).append(path)
+    united = None
+    for header, own in by_header.items():
+        schema = StructType([StructField(c, StringType()) for c in header])
+        frame = read_csv(spark, own, schema, multi_line)
+        united = frame if united is None else united.unionByName(frame, allowMissingColumns=True)
     return united
 
 
@@ -51,13 +57,9 @@ def page_range(df: DataFrame, start: int = 1, stop: int | None = None, max_pages
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few files at least one partition per core, ahead of costly row work.
-
-    A table of many files has more partitions than that and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """As many even partitions as the caller asks for, ahead of costly work on few large files."""
+    return df.repartition(partitions)
 
 
 def profile(df: DataFrame) -> DataFrame:

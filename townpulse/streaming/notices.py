@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,10 +32,58 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def take_in(
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str] = ("outage_date", "announcement_url"),
+    arrived: str = "arrived", late: str = "7 days", day: str = "outage_date",
+) -> StreamingQuery:
+    """Append the first record per key to a table, with state that forgets keys after ``late``.
+
+    Keys older than the state are found in the table itself, of which a batch reads only its
+    own days. A batch goes to a folder of its own and is overwritten when it is repeated.
+    """
+    spark, keys = stream.sparkSession, list(keys)
+
+    def write(batch: DataFrame, number: int) -> None:
+        first = batch.drop(arrived).dropDuplicates(keys)
+        known = _earlier(spark, path, number)
+        if known is not None:
+            span = batch.agg(F.min(day), F.max(day)).first()
+            first = first.join(known.filter(F.col(day).between(*map(F.lit, span))).select(*keys), keys, "left_anti")
+        first.write.mode("overwrite").partitionBy(day).parquet(f"{path}/batch={number}")
+
+    fresh = stream.withWatermark(arrived, late).dropDuplicatesWithinWatermark(keys)
+    return fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _earlier(spark: SparkSession, path: str, number: int) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path).filter(F.col("batch") < number)
+    except AnalysisException as err:
+        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def daily_counts(stream: DataFrame, by: str, ts: str = "ts", late: str = "1 day") -> DataFrame:
-    """Counts per day and key, final once the watermark has passed the day."""
+    """Counts per day and key; a day is forgotten once the watermark has passed it."""
     return (
         stream.withWatermark(ts, late).groupBy(F.window(ts, "1 day"), by)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.to_date("window.start").alias("date"), by, "n")
     )
+
+
+def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write each batch's changed counts to a folder of its own, so a repeated batch replaces itself."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        counts.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def read_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """The latest count per day and key, of all days, finished or not."""
+    return spark.read.parquet(path).groupBy("date", by).agg(F.max_by("n", "batch").alias("n"))
