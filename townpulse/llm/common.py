@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: What separates words in every operator of this package: space, tab, line breaks.
 WHITE = " \t\n\x0b\x0c\r"
@@ -34,6 +35,17 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(fn, schema)
 
 
+def sample_by_hash(df: DataFrame, n: int, key: str) -> DataFrame:
+    """About ``n`` rows, never more: those of smallest hash of ``key``.
+
+    The cut is found on the hashes alone, so no task gathers wide rows to sort them; only
+    if a key repeats, as many of its rows are left out as pass ``n``.
+    """
+    hashed = F.xxhash64(key)
+    cut = df.select(hashed.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return df.where(hashed <= F.lit(cut)).limit(n)
+
+
 class Memo(dict):
     """A bounded memory of ``fn``: emptied when full, long keys are not kept.
 

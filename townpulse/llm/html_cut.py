@@ -31,9 +31,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from townpulse.llm.common import map_batches
+from townpulse.llm.common import map_batches, sample_by_hash
 
 SAMPLE_PAGES = 2_000
 SAMPLE_BLOCKS = 200
@@ -193,7 +192,7 @@ def fit_classifier(pages: DataFrame, n_pages: int = SAMPLE_PAGES, n_blocks: int
             rows = [(features(b), b.weak) for page in batch.column(0) for b in blocks_of(page.as_py() or "")[:n_blocks] if b.weak is not None]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.int32())], ["x", "y"])
 
-    sample = pages.select("html", F.xxhash64("page_id").alias("h")).orderBy("h").limit(n_pages).select("html")
+    sample = sample_by_hash(pages, n_pages, "page_id").select("html")
     rows = map_batches(sample, run, "x array<double>, y int").collect()
     return fit(np.array([r.x for r in rows]), np.array([r.y for r in rows]))
 
