@@ -12,21 +12,22 @@ def components(links: DataFrame) -> DataFrame:
     """``links`` (u, v) to (id, component): the smallest id reachable from each end of a link.
 
     Every round points neighbours at the smallest id near them: first those above a node
-    (large star), then those below (small star), so paths shorten by a power of two. Only
-    minima per node are aggregated, no neighbourhood is gathered, and each round is staged.
+    (large star), then those below (small star), so the longest path shrinks to about its
+    logarithm's number of rounds. Only minima per node are aggregated, no neighbourhood is
+    gathered, and each round is staged.
     """
     ends = lambda df: df.select("u", "v").union(df.select(F.col("v").alias("u"), F.col("u").alias("v")))
     links = stage(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    total = None
     while True:
         both = ends(links)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v")))
-        new = stage(small.distinct(), "links")
-        # each link points down, so the links are a fixed point once their number and sums stay
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == total:
-            return new.select(F.col("u").alias("id"), F.col("v").alias("component")).union(new.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        links, total = new, now
+        links = stage(small.distinct(), "links")
+        # done once every link ends at a root: no end has a link of its own, nobody has two
+        roots = links.select(F.col("v").alias("root")).distinct()
+        twice = links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+        if twice.union(links.join(roots, F.col("u") == F.col("root"), "left_semi").select("u")).isEmpty():
+            named = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            return named.union(roots.select(F.col("root").alias("id"), F.col("root").alias("component")))

@@ -27,7 +27,6 @@ one document with the union of their links. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,17 +41,19 @@ from townpulse.session import stage
 
 BUCKETS, MANTISSA, ROWS = 128, 10, 4
 BANDS = BUCKETS // ROWS
-LEADER_ROUNDS = 3
+#: Leaders change so often, but no longer than they link this share of the open band entries.
+LEADER_ROUNDS, LEADERS_GAIN = 3, 0.001
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 5.0
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SEEDS = np.array([xxhash.xxh3_64_intdigest(str(i)) | 1 for i in range(BUCKETS)], np.uint64)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the different shingles; one of all words if they are fewer."""
-    words = WORDS.findall(text.translate(LOWER))
+    """Sorted 64-bit hashes of the different shingles; one of all words if they are fewer.
+
+    On bytes, lower-casing concerns A-Z alone and white space is just what parts words here.
+    """
+    words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     hashed, width = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), min(width, len(words))
@@ -70,15 +71,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def compressed(least: np.ndarray, bits: int) -> np.ndarray:
     """Leading zeros and mantissa of ``bits``-bit numbers, as 16-bit registers."""
-    wide = least.astype(np.uint64) << np.uint64(64 - bits)
-    # halving search for the highest set bit
-    zeros, x = np.zeros(len(wide), np.uint64), wide.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        low = x < np.uint64(1) << np.uint64(64 - step)
-        zeros[low] += np.uint64(step)
-        x[low] <<= np.uint64(step)
-    mantissa = x << np.uint64(1) >> np.uint64(64 - MANTISSA)
-    return (np.minimum(zeros, np.uint64(63)) << np.uint64(MANTISSA) | mantissa).astype("<u2")
+    fraction, exponent = np.frexp(least.astype(np.float64))  # least = fraction * 2^exponent, fraction in [0.5, 1)
+    zeros = np.clip(bits - exponent, 0, 63)
+    mantissa = ((2 * fraction - 1).clip(0) * (1 << MANTISSA)).astype(np.int64)
+    return (zeros << MANTISSA | mantissa).astype("<u2")
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -91,8 +87,11 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     least[bucket[first]] = hashes[first] & np.uint64((1 << bits) - 1)
     filled = np.zeros(BUCKETS, bool)
     filled[bucket[first]] = True
-    for i in np.flatnonzero(~filled):
-        least[i] = mixed(hashes * SEEDS[i] + SEEDS[(i + 1) % BUCKETS]).min() >> np.uint64(64 - bits)
+    empty = np.flatnonzero(~filled)
+    few = max(1, (1 << 18) // len(hashes))  # at a time, to bound memory
+    for at in range(0, len(empty), few):
+        own = empty[at:at + few]
+        least[own] = mixed(hashes * SEEDS[own, None] + SEEDS[(own + 1) % BUCKETS, None]).min(axis=1) >> np.uint64(64 - bits)
     return compressed(least, bits)
 
 
@@ -195,23 +194,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nearest = crowd.groupBy("id").agg(F.min("low").alias("v")).where("v < id").select(F.col("id").alias("u"), "v")
     links = confirmed(nearest)
     found = stage(components(links.union(members.where("doc_id <> class").toDF("u", "v"))), "components")
+    leaders_help = True
     for round_no in range(LEADER_ROUNDS + 1):
+        last_round = round_no == LEADER_ROUNDS or not leaders_help
         # bands that still hold more than one component
         named = crowd.select("id", "band", "value").join(found, "id", "left").select("id", "band", "value", F.coalesce("component", "id").alias("of"))
         open_ = named.groupBy("band", "value").agg(F.min("of").alias("x"), F.max("of").alias("y"), F.min(F.xxhash64("id", F.lit(round_no))).alias("draw")).where("x < y")
         left = stage(named.join(open_.select("band", "value", "draw"), ["band", "value"]), "open")
         if left.isEmpty():
             break
-        if round_no < LEADER_ROUNDS:
+        if not last_round:
             leads = left.where(F.xxhash64("id", F.lit(round_no)) == F.col("draw")).select("band", "value", F.col("id").alias("v"), F.col("of").alias("of_v")).dropDuplicates(["band", "value"])
             pairs = left.join(leads, ["band", "value"]).where("of <> of_v").select(F.col("id").alias("u"), "v")
         else:
             other = left.select("band", "value", F.col("id").alias("v"), F.col("of").alias("of_v"))
             pairs = left.join(other, ["band", "value"]).where("of < of_v").select(F.col("id").alias("u"), "v")
         new = confirmed(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-        if not new.isEmpty():
+        gained = new.count()
+        leaders_help = gained > LEADERS_GAIN * left.count()
+        if gained:
             known = found.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
             found = stage(components(new.union(known)), "components")
+        if last_round:
+            break
     named = found.select(F.col("id").alias("doc_id"), F.col("component").alias("component_id")).where("doc_id <> component_id")
     out = sketches.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
