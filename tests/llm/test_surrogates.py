@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from townpulse.llm import surrogates as s
 
 CARD, NO_CARD = "4111111111111111", "4111111111111112"
@@ -57,7 +59,8 @@ def test_crowded_formats_stay_distinct(spark):
     addresses = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in (1, 2)]
     names = [f"Mr {a} {b}" for a in ("Aba", "Bob", "Cec", "Dod", "Efe") for b in "Xa Xb Xc Xd Xe Xf Xg Xh Xi Xj".split()]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(addresses + names)], "doc_id long, text string")
-    given = s.assign(s.mentions(docs)).collect()
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text", s.found_in(F.col("text")).alias("found"))
+    given = s.assign(s.mentions(texts)).collect()
     assert len(given) == len(addresses) + len(names) == len({r.surrogate for r in given})
     assert not {r.surrogate for r in given} & {r.entity for r in given}
 

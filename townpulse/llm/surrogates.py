@@ -146,13 +146,18 @@ def _name(entity: Column, salt: Column, gender: Column, round_no: int) -> Column
     return out
 
 
-def mentions(docs: DataFrame, column: str = "text") -> DataFrame:
-    """Each different entity of each different text: text_key, kind, entity, gender."""
-    text = F.col(column)
-    found = docs.where(text.rlike(HINT)).select(F.xxhash64(text).alias("text_key"), text.alias("t"), F.array_distinct(F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("found"))
-    found = found.where(F.size("found") > 0).select("text_key", "t", F.explode("found").alias("entity"))
+def found_in(text: Column) -> Column:
+    """All matches in order; texts without a hint are not searched."""
+    none = F.array().cast("array<string>")
+    return F.coalesce(F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))), none)
+
+
+def mentions(texts: DataFrame) -> DataFrame:
+    """Each different entity of each different text of ``texts`` (text_key, text, found): text_key, kind, entity, gender."""
+    found = texts.where(F.size("found") > 0).select("text_key", F.col("text").alias("t"), F.explode(F.array_distinct("found")).alias("entity"))
     female = F.expr(  # the title stands before the name
-        "t rlike concat('\\\\b(?:" + TITLES["f"] + ")[.]? ', regexp_replace(entity, '([^\\\\p{L}])', '[$1]'))")
+        "t rlike concat('\\\\b(?:" + TITLES["f"] + ")[.]? ', regexp_replace(entity, '([^\\\\p{L}])', '[$1]'))"
+    )
     rows = found.withColumn("kind", kind_of(F.col("entity"))).where("kind is not null")
     gender = F.when(F.col("kind") != "name", F.lit("")).when(female, "f").otherwise("m")
     return rows.select("text_key", "kind", "entity", gender.alias("gender")).distinct()
@@ -189,21 +194,20 @@ def assign(mentioned: DataFrame, key: str = KEY) -> DataFrame:
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, and ``n_entities``, the number of replaced mentions.
 
-    Only texts with an entity are shuffled, to meet the surrogates of their entities; all
-    others pass straight through.
+    Texts are searched once; rows and matches are staged side by side. Only texts with a
+    match are shuffled, to meet the surrogates of their entities; all others pass straight
+    through.
     """
     columns = [c for c in docs.columns if c != "n_entities"]
-    mentioned = stage(mentions(docs.select("text")), "mentions")
+    text = F.col("text")
+    whole = stage(docs.select(F.struct(*columns).alias("row"), F.xxhash64(text).alias("text_key"), found_in(text).alias("found")), "found")
+    mentioned = stage(mentions(whole.select("text_key", F.col("row.text").alias("text"), "found")), "mentions")
     given = assign(mentioned, key)
     per_text = mentioned.join(given, ["kind", "entity"]).groupBy("text_key").agg(F.map_from_entries(F.collect_set(F.struct("entity", "surrogate"))).alias("surrogates"))
-    found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
-    touched = F.coalesce(F.col("text").rlike(HINT), F.lit(False)) & F.coalesce(F.size(found) > 0, F.lit(False))
-    plain = docs.select(*columns)
-    rows = plain.where(touched).select(F.xxhash64("text").alias("text_key"), found.alias("found"), F.split("text", ANY, -1).alias("between"), F.struct(*columns).alias("row"))
-    rows = rows.join(per_text, "text_key", "left")
+    rows = whole.where(F.size("found") > 0).withColumn("between", F.split("row.text", ANY, -1)).join(per_text, "text_key", "left")
     value = lambda e: F.coalesce(F.try_element_at("surrogates", e), e)
     new = F.concat(F.get("between", 0), F.array_join(F.transform("found", lambda e, i: F.concat(value(e), F.get("between", i + 1))), ""))
     count = F.size(F.filter("found", lambda e: F.coalesce(F.map_contains_key("surrogates", e), F.lit(False)))).cast("long")
     rows = rows.select("row", new.alias("new"), count.alias("n"))
     changed = rows.select(*(F.col("new").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in columns), F.col("n").alias("n_entities"))
-    return plain.where(~touched).withColumn("n_entities", F.lit(0).cast("long")).unionByName(changed)
+    return whole.where(F.size("found") == 0).select("row.*", F.lit(0).cast("long").alias("n_entities")).unionByName(changed)
