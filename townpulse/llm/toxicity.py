@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townpulse.llm.common import Memo, map_batches
+from townpulse.llm.common import Memo, map_batches, sample_by_hash
 from townpulse.session import stage
 
 MOST_FEATURES = 2_000
@@ -199,7 +199,7 @@ def _hits(lexicon: dict[str, int]):
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
     """The field from all rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks and that are not held out."""
     marked = labels.where("toxic in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    rows = stage(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(marked, "doc_id"), "marked")
+    rows = stage(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(marked.hint("merge"), "doc_id"), "marked")
     n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     none = np.zeros((len(LEVELS) + 1, 2))
     if len(n) < 2:
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
     counts = counts.where(F.col("toxic") >= max(5, LEAST_SHARE * n[1])).withColumn("ratio", ratio).where(F.col("ratio") >= float(LEVELS[0]))
     best = counts.orderBy((F.col("toxic") * F.col("ratio")).desc(), "feature").limit(MOST_FEATURES).collect()
     lexicon = {r.feature: int(np.searchsorted(LEVELS, r.ratio, side="right")) for r in best}
-    sample = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select("text", "toxic") for y in (0, 1)]
+    sample = [sample_by_hash(rows.where(F.col("toxic") == y), SAMPLE, "doc_id").select("text", "toxic") for y in (0, 1)]
     hits = [r for s in sample for r in map_batches(s, _hits(lexicon), "toxic int, n int, at array<int>, level array<int>").collect()]
     share = {y: n[y] / min(n[y], SAMPLE) for y in (0, 1)}
     patterns: dict[tuple[bytes, int], float] = {}
