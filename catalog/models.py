@@ -14,8 +14,6 @@ from townpulse.operators.sampling import random_split
 from townpulse.plans import forecast, outage_clusters
 from townpulse.session import cut_lineage, fresh_path
 
-SMALL_FOREST = [{"numTrees": 20, "maxDepth": 5, "minInstancesPerNode": 2}]
-
 
 def _outage_rows(spark, sf):
     return cut_lineage(labelled_outages(spark, sf).drop("cluster"))
@@ -88,52 +86,63 @@ def m21_m24(spark, sf):
     return counts.withColumns({"k_is_best": F.lit(good), "separates": F.lit(apart)})
 
 
-def _features(spark, sf):
-    return cut_lineage(series.prepare_series(requests(spark, sf)))
+_SEARCHED: dict = {}
+_FORECASTERS: dict = {}
+
+
+def _searched(spark, sf, by=()):
+    """The daily series, its split windows and the error of every candidate; once per session, table and series."""
+    key = (spark.sparkContext.applicationId, sf, tuple(by))
+    if key not in _SEARCHED:
+        rows = complaints(spark, sf, activity=False) if by else requests(spark, sf)
+        features = cut_lineage(series.prepare_series(rows, by=by))
+        split = cut_lineage(series.ordered_split(series.sequences(features, by=by), by=by))
+        _SEARCHED[key] = features, split, forecast.search(split.filter("split = 'train'"), forecast.grid())
+    return _SEARCHED[key]
 
 
-def _split(features):
-    return series.ordered_split(series.sequences(features))
+def _forecaster(spark, sf, by=()):
+    """The training job's saved model, with the daily series and its split windows: all horizons by the best candidate."""
+    key = (spark.sparkContext.applicationId, sf, tuple(by))
+    features, split, tried = _searched(spark, sf, by)
+    if key not in _FORECASTERS:
+        path = fresh_path(spark, "forecaster")
+        forecast.train(split.filter("split = 'train'"), [tried[0][0]]).save(path, spark)
+        _FORECASTERS[key] = path
+    return forecast.Forecaster.load(spark, _FORECASTERS[key]), features, split
 
 
 @query("m15_grid_search")
 def m15(spark, sf):
-    train = _split(_features(spark, sf)).filter("split = 'train'")
-    candidates = forecast.grid({"numTrees": [10], "maxDepth": [3, 5], "minInstancesPerNode": [1]})
-    rows = [(p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], float(e)) for p, e in forecast.search(train, candidates)]
+    tried = _searched(spark, sf)[2]
+    rows = [(p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], float(e)) for p, e in tried]
     return spark.createDataFrame(rows, "num_trees INT, max_depth INT, min_leaf INT, mae DOUBLE")
 
 
 @query("m16_m17_evaluate_forecaster")
 def m16_m17(spark, sf):
-    split = cut_lineage(_split(_features(spark, sf)))
-    model = forecast.train(split.filter("split = 'train'"), SMALL_FOREST)
+    model, _, split = _forecaster(spark, sf)
     return forecast.evaluate(model, split.filter("split = 'test'"))
 
 
 @query("m18_m24_u3_forecast_line")
 def m18(spark, sf):
-    features = _features(spark, sf)
-    path = fresh_path(spark, "forecaster")
-    forecast.train(series.sequences(features), SMALL_FOREST).save(path, spark)
-    model = forecast.Forecaster.load(spark, path)
+    model, features, _ = _forecaster(spark, sf)
     return forecast.past_and_future(forecast.backtest(model, features), forecast.forecast(model, features, 30))
 
 
 @query("m18_forecast_by_district")
 def m18_by_district(spark, sf):
     by = ["district"]
-    features = cut_lineage(series.prepare_series(complaints(spark, sf, activity=False), by=by))
-    model = forecast.train(series.sequences(features, by=by), [{"numTrees": 5, "maxDepth": 4, "minInstancesPerNode": 2}])
-    return forecast.forecast(model, features, 14, by)
+    model, features, _ = _forecaster(spark, sf, by)
+    return forecast.forecast(model, features, 30, by)
 
 
 @query("m19_x27_backtest_errors")
 def m19(spark, sf):
     from townpulse.functions.metrics import mape, rmse
 
-    features = _features(spark, sf)
-    model = forecast.train(series.sequences(features), SMALL_FOREST, horizon=1)
+    model, features, _ = _forecaster(spark, sf)
     both = actual_vs_predicted(features.select("date", "complaint_count"), forecast.backtest(model, features))
     a, p = F.col("complaint_count"), F.col("predicted")
     return both.agg(F.count(F.lit(1)).alias("n_days"), mape(a, p).alias("mape"), rmse(a, p).alias("rmse"))
@@ -141,6 +150,5 @@ def m19(spark, sf):
 
 @query("a26_forecast_stats")
 def a26(spark, sf):
-    features = _features(spark, sf)
-    model = forecast.train(series.sequences(features), [{"numTrees": 5, "maxDepth": 4, "minInstancesPerNode": 2}])
+    model, features, _ = _forecaster(spark, sf)
     return forecast.forecast_stats(forecast.forecast(model, features, 30))

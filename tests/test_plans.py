@@ -116,6 +116,47 @@ def test_expanding_folds(spark):
     assert got == [0] * 5 + [1, 1, 2, 2, 3, 3]
 
 
+def test_expanding_folds_of_many_series_change_on_the_same_day(spark):
+    rows = [(date(2024, 1, 1) + timedelta(days=i), name) for i in range(11) for name in "abc"]
+    got = forecast.expanding_folds(spark.createDataFrame(rows, "origin DATE, name STRING")).orderBy("name", "origin").collect()
+    assert [r.block for r in got] == ([0] * 5 + [1, 1, 2, 2, 3, 3]) * 3
+
+
+def test_smaller_forests_come_from_the_largest_fit(spark, monkeypatch):
+    rng, fits, plain = random.Random(3), [], forecast.regressor
+    rows = [(date(2024, 1, 1) + timedelta(days=i), x := [rng.random(), rng.random()], [x[0] * 9 + x[1]]) for i in range(40)]
+    seqs = spark.createDataFrame(rows, "origin DATE, x ARRAY<DOUBLE>, y ARRAY<DOUBLE>")
+    monkeypatch.setattr(forecast, "regressor", lambda label, **p: fits.append(p) or plain(label, **p))
+    tried = forecast.search(seqs, forecast.grid({"numTrees": [2, 5], "maxDepth": [2, 4], "minInstancesPerNode": [1]}))
+    assert len(tried) == 4 and [e for _, e in tried] == sorted(e for _, e in tried)
+    assert sorted(p["maxDepth"] for p in fits) == [2] * 3 + [4] * 3 and {p["numTrees"] for p in fits} == {5}
+    data = forecast.with_vectors(seqs).select("features", F.get("y", F.lit(0)).alias("y1"))
+    model = plain("y1", numTrees=5, maxDepth=4).fit(data)
+    vector = data.first().features
+    few = forecast.first_trees(model, 2)
+    assert len(few.trees) == 2 and few.predict(vector) == pytest.approx(sum(t.predict(vector) for t in model.trees[:2]) / 2)
+
+
+def test_registered_forecasts_use_the_whole_grid_and_all_horizons(spark, monkeypatch):
+    from catalog import models
+
+    searched, fitted, days = [], [], []
+    line = forecast.forecast
+    tiny = {"numTrees": 2, "maxDepth": 2, "minInstancesPerNode": 1}
+    monkeypatch.setattr(forecast, "search", lambda train, candidates, folds=3: searched.append(candidates) or [(tiny, 1.0), *((c, 2.0) for c in candidates[1:])])
+    regressor = forecast.regressor
+    monkeypatch.setattr(forecast, "regressor", lambda label, **p: fitted.append(label) or regressor(label, **p))
+    monkeypatch.setattr(forecast, "forecast", lambda model, features, n=30, by=(): days.append((model.horizon, n)) or (features if by else line(model, features, n)))
+    monkeypatch.setattr(models, "_SEARCHED", {})
+    monkeypatch.setattr(models, "_FORECASTERS", {})
+    assert models.m15(spark, SF).count() == 18
+    assert {r.model for r in models.m16_m17(spark, SF).collect()} == {"forest", "naive", "ma7"}
+    assert models.m18(spark, SF).count() == 120 and models.m19(spark, SF).first().n_days == 90 and models.a26(spark, SF).count() == 1
+    assert searched == [forecast.grid()] and sorted(fitted) == [f"y{h}" for h in range(1, 8)]
+    models.m18_by_district(spark, SF)
+    assert searched == [forecast.grid()] * 2 and set(days) == {(7, 30)}
+
+
 def test_pivot_total_and_shares(spark):
     df = complaints(spark, SF, activity=False)
     months = [r[0] for r in complaint_reports.month_counts(df).select("month").distinct().collect()]
