@@ -70,3 +70,21 @@ def test_empty_and_native(spark):
     assert df.count() == 0
     plan = s.replace(spark.createDataFrame(DOCS, SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_later_mentions_of_a_name_corefer(spark):
+    texts = [
+        "Mr. John Smith came. Later Mr. Smith and John left; Smith's hat, Smithson and smith stayed. John Smith!",
+        "Mrs. Jane Doe met Mr Smith-Jones; Jane Doe left. Doe\nslept.",
+        "Mrs. Ann Kerr and Mr. Tom Kerr; Mr. Kerr sat. Ann stood.",
+        "Nobody named: Smith, John Smith.",
+    ]
+    got = {r.doc_id: r for r in s.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    first, last = re.match(r"Mr\. (\w+) (\w+) came", got[0].text).groups()
+    assert got[0].text == f"Mr. {first} {last} came. Later Mr. {last} and {first} left; {last}'s hat, Smithson and smith stayed. {first} {last}!"
+    assert got[0].n_entities == 5 and {first, last} & {"John", "Smith"} == set()
+    first, last = re.match(r"Mrs\. (\w+) (\w+) met", got[1].text).groups()
+    assert f"; {first} {last} left. {last}\nslept." in got[1].text and "Jane" not in got[1].text and "Doe" not in got[1].text
+    ann, tom, family = re.match(r"Mrs\. (\w+) \w+ and Mr\. (\w+) (\w+);", got[2].text).groups()
+    assert got[2].text.endswith(f"; Mr. {family} sat. {ann} stood.")
+    assert got[3].text == texts[3] and got[3].n_entities == 0

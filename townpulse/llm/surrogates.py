@@ -5,6 +5,13 @@ pass the Luhn check, secrets assigned to a name (``token = "..."``), and names b
 title of known gender. Each different entity of the corpus gets one surrogate, so mentions
 stay together: the same entity reads the same everywhere, different ones stay different.
 
+In a text with a titled name every whole-word mention of it or of one of its parts is
+replaced, titled or not. A family name alone is linked to a fuller name of the same text
+and takes its surrogate's family name; where a text has no fuller name, it is an entity of
+its own. Links do not reach beyond a text. Two people of one text may draw the same family
+name, so their bare family names may read alike; whole names never do. A name that no
+title introduces in its text is not found.
+
 A surrogate keeps type and format: letters become letters of the same case, digits digits,
 separators stay; octets stay below 256, cards keep issuer digit, length and Luhn check,
 phone numbers their country code, mail addresses go to a reserved domain. Names are drawn
@@ -191,6 +198,28 @@ def assign(mentioned: DataFrame, key: str = KEY) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {MOST_ROUNDS} rounds; the formats leave too few values")
 
 
+def name_forms(names: Column) -> Column:
+    """What the names of one text are called by there, longest first: form, value.
+
+    ``names`` holds entity, surrogate and gender. A form is a whole name or one of its
+    parts. A family name alone takes the family name of a fuller name of the text, of its
+    own gender if there are several, else the first in order.
+    """
+    def parts(n: Column) -> Column:
+        own = F.split(n["entity"], "[ -]")
+        new = F.split(n["surrogate"], "[ -]", F.size(own))  # further family names stay with the last part
+        single = F.exists(names, lambda m: (m["entity"] == F.element_at(own, -1)) & (m["gender"] != n["gender"]))
+        return F.transform(own, lambda p, i: F.struct(
+            F.when(F.size(own) == 1, 3).when(i < F.size(own) - 1, 2).otherwise(single.cast("int")).alias("rank"),
+            n["entity"].alias("entity"), p.alias("form"), F.get(new, i).alias("value")))
+
+    whole = F.transform(F.filter(names, lambda n: n["entity"].rlike("[ -]")), lambda n: F.struct(F.lit(-1).alias("rank"), n["entity"].alias("entity"), n["entity"].alias("form"), n["surrogate"].alias("value")))
+    every = F.array_sort(F.concat(whole, F.flatten(F.transform(names, parts))))
+    forms = F.array_distinct(F.transform(every, lambda f: f["form"]))
+    first = F.transform(forms, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("form"), F.get(F.filter(every, lambda f: f["form"] == x), 0)["value"].alias("value")))
+    return F.transform(F.array_sort(first), lambda f: F.struct(f["form"].alias("form"), f["value"].alias("value")))
+
+
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, and ``n_entities``, the number of replaced mentions.
 
@@ -203,11 +232,23 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     whole = stage(docs.select(F.struct(*columns).alias("row"), F.xxhash64(text).alias("text_key"), found_in(text).alias("found")), "found")
     mentioned = stage(mentions(whole.select("text_key", F.col("row.text").alias("text"), "found")), "mentions")
     given = assign(mentioned, key)
-    per_text = mentioned.join(given, ["kind", "entity"]).groupBy("text_key").agg(F.map_from_entries(F.collect_set(F.struct("entity", "surrogate"))).alias("surrogates"))
-    rows = whole.where(F.size("found") > 0).withColumn("between", F.split("row.text", ANY, -1)).join(per_text, "text_key", "left")
-    value = lambda e: F.coalesce(F.try_element_at("surrogates", e), e)
-    new = F.concat(F.get("between", 0), F.array_join(F.transform("found", lambda e, i: F.concat(value(e), F.get("between", i + 1))), ""))
-    count = F.size(F.filter("found", lambda e: F.coalesce(F.map_contains_key("surrogates", e), F.lit(False)))).cast("long")
+    pairs = mentioned.join(given, ["kind", "entity"]).groupBy("text_key")
+    is_name = F.col("kind") == "name"
+    per_text = pairs.agg(
+        F.map_from_entries(F.collect_set(F.when(~is_name, F.struct("entity", "surrogate")))).alias("surrogates"),
+        F.array_sort(F.collect_set(F.when(is_name, F.struct("entity", "surrogate", "gender")))).alias("names"),
+    ).select("text_key", "surrogates", name_forms(F.col("names")).alias("forms"))
+    rows = whole.where(F.size("found") > 0).join(per_text, "text_key", "left")
+    named = F.size("forms") > 0
+    pattern = F.when(named, F.concat(F.lit(rf"{ANY}|(?<![\p{{L}}\p{{N}}])(?:"), F.array_join(F.transform("forms", lambda f: f["form"]), "|"), F.lit(r")(?![\p{L}\p{N}])")))
+    rows = rows.withColumn("pattern", pattern)
+    between = F.when(named, F.split("row.text", F.col("pattern"), -1)).otherwise(F.split("row.text", ANY, -1))
+    found = F.when(named, F.regexp_extract_all("row.text", F.col("pattern"), F.lit(0))).otherwise(F.col("found"))
+    rows = rows.withColumns({"between": between, "found": found})
+    form_of = lambda e: F.get(F.filter("forms", lambda f: f["form"] == e), 0)["value"]
+    rows = rows.withColumn("values", F.transform("found", lambda e: F.coalesce(F.try_element_at("surrogates", e), form_of(e))))
+    new = F.concat(F.get("between", 0), F.array_join(F.transform("found", lambda e, i: F.concat(F.coalesce(F.get("values", i), e), F.get("between", i + 1))), ""))
+    count = F.size(F.filter("values", lambda v: v.isNotNull())).cast("long")
     rows = rows.select("row", new.alias("new"), count.alias("n"))
     changed = rows.select(*(F.col("new").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in columns), F.col("n").alias("n_entities"))
     return whole.where(F.size("found") == 0).select("row.*", F.lit(0).cast("long").alias("n_entities")).unionByName(changed)
