@@ -88,3 +88,18 @@ def test_later_mentions_of_a_name_corefer(spark):
     ann, tom, family = re.match(r"Mrs\. (\w+) \w+ and Mr\. (\w+) (\w+);", got[2].text).groups()
     assert got[2].text.endswith(f"; Mr. {family} sat. {ann} stood.")
     assert got[3].text == texts[3] and got[3].n_entities == 0
+
+
+def test_long_and_national_forms_go_whole(spark):
+    long, local = "aB3" * 200, "x" * 80
+    texts = [
+        f'token = "{long}" end', "token=" + "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK" + " end", 'password = "Abc.12" password=hunter22 end',
+        f"Write to {local}@mail.example.com or _ann@mail.example.com end", "Call (212) 555-0100, 212-555-0100, 212.555.0100 or 030 1234567 end",
+        'secret = "4111111111111112" and 4111111111111112 end', 'token = "short" 1.2.3.4.5 2024-01-15 10.5 2001 20012 end',
+    ]
+    got = {r.doc_id: r for r in s.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].n_entities for i in range(7)] == [1, 1, 2, 2, 4, 1, 0] and got[6].text == texts[6]
+    for i, private in ((0, long[-20:]), (1, "eyJzdWI"), (1, "SflKxw"), (2, "Abc.12"), (2, "hunter22"), (3, "xxxx"), (3, "_ann@"), (4, "555"), (4, "1234567"), (5, '"4111111111111112"')):
+        assert private not in got[i].text, (i, private)
+    assert shape(got[0].text) == shape(texts[0]) and shape(got[1].text)[6:] == shape(texts[1])[6:] and got[1].text.startswith("token=")
+    assert shape(got[4].text) == shape(texts[4]) and " or 0" in got[4].text and got[5].text.endswith('" and 4111111111111112 end')

@@ -1,8 +1,11 @@
 """Personal data: detection and keyed surrogates, with built-in functions only.
 
-Detected are e-mail addresses, phone numbers, IPv4 addresses, payment card numbers that
-pass the Luhn check, secrets assigned to a name (``token = "..."``), and names behind a
-title of known gender. Each different entity of the corpus gets one surrogate, so mentions
+Detected are e-mail addresses, phone numbers (with a country code, or in the national forms
+(212) 555-0100, 212-555-0100 with dots or spaces as well, 030 1234567), IPv4 addresses,
+payment card numbers of 13 to 19 digits that pass the Luhn check, secrets assigned to a name
+(``token = "..."``, ``token=...``) up to the closing quote or white space, from 16 characters
+on, passwords from 4 on, and names behind a title of known gender. Not found are shorter
+secrets, and phone numbers in one block of digits without a country code. Each different entity of the corpus gets one surrogate, so mentions
 stay together: the same entity reads the same everywhere, different ones stay different.
 
 In a text with a titled name every whole-word mention of it or of one of its parts is
@@ -51,11 +54,16 @@ TITLES = {"f": "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra|Госпожа", "m": "M
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 NAME = r"\p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+){0,2}"
+#: What assigns a secret; it is part of the match, so that the kind does not hang on the value's shape.
+ASSIGNED = r'(?i:\b(?:token|key|secret|password) = "|\b(?:token|api_key|password)=)'
+#: Without country code: (212) 555-0100, 212-555-0100, 030 1234567.
+NATIONAL = r"\([0-9]{2,5}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}|[0-9]{3}([-. ])[0-9]{3}\1[0-9]{4}|0[0-9]{1,4}[ /-][0-9]{5,8}"
+_LOCAL = NATIONAL.replace("([-. ])", "(?<gap>[-. ])").replace(r"\1", r"\k<gap>")
 #: kind -> pattern; the first that matches at a place wins.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?i:(?<=\btoken = \")|(?<=\bkey = \")|(?<=\bsecret = \")|(?<=\bpassword = \")|(?<=\btoken=)|(?<=\bapi_key=)|(?<=\bpassword=))[A-Za-z0-9+/_-]{16,256}",
-    "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}(?:[ -][0-9]{2,4}){1,4}(?![0-9])",
+    "secret": r'(?i:\bpassword = ")[^"\r\n]{4,}+|(?i:\b(?:token|key|secret) = ")[^"\r\n]{16,}+|(?i:\bpassword=)[^\s"]{4,}+|(?i:\b(?:token|api_key)=)[^\s"]{16,}+',
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}",
+    "phone": rf"(?<![0-9A-Za-z+])\+[0-9]{{1,3}}[ -]?(?:\([0-9]{{1,4}}\)[ -]?)?[0-9]{{2,4}}(?:[ -][0-9]{{2,4}}){{1,4}}(?![0-9])|(?<![0-9A-Za-z+]|[0-9][ .-])(?:{_LOCAL})(?![0-9A-Za-z]|[ .-][0-9])",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z-])",
     "name": "|".join(rf"(?<=\b(?:{t})\.? ){NAME}" for t in TITLES.values()),
@@ -74,12 +82,18 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, b: a + b) % 10 == 0
 
 
-def kind_of(entity: Column) -> Column:
+def kind_of(match: Column) -> Column:
     """The kind of a match; null if it is none after all (a number that is no card)."""
-    digits = F.regexp_replace(entity, "[ -]", "")
-    kind = F.when(entity.contains("@"), "email").when(entity.startswith("+"), "phone").when(entity.rlike(rf"^{PATTERNS['ip']}$"), "ip")
-    kind = kind.when(entity.rlike(r"^[0-9][0-9 -]*$") & digits.rlike("^[0-9]{13,19}$"), F.when(luhn(digits), "card"))
-    return kind.when(entity.rlike(rf"^{NAME}$") & ~entity.rlike("[0-9]"), "name").otherwise("secret")
+    digits = F.regexp_replace(match, "[ -]", "")
+    kind = F.when(match.rlike(f"^{ASSIGNED}"), "secret").when(match.contains("@"), "email")
+    kind = kind.when(match.startswith("+") | match.rlike(f"^(?:{NATIONAL})$"), "phone").when(match.rlike(rf"^{PATTERNS['ip']}$"), "ip")
+    kind = kind.when(match.rlike(r"^[0-9][0-9 -]*$"), F.when(digits.rlike("^[0-9]{13,19}$") & luhn(digits), "card"))
+    return kind.otherwise("name")
+
+
+def value_of(match: Column) -> Column:
+    """A match without what assigns it."""
+    return F.regexp_replace(match, f"^{ASSIGNED}", "")
 
 
 def _draw(salt: Column, i: Column | int, n: int) -> Column:
@@ -119,8 +133,8 @@ def surrogate(kind: Column, entity: Column, salt: Column, gender: Column, round_
     ip = F.array_join(F.transform(F.split(entity, r"\."), lambda x, i: _octet(x, _draw(salt, i, 256))), ".")
     if round_no >= WIDER:
         ip = F.concat(F.lit("2001:db8"), *(F.concat(F.lit(":"), F.substring(salt, 201 + 4 * i, 4)) for i in range(6)))
-    country = F.regexp_extract(entity, r"^\+[0-9]{1,3}", 0)
-    phone = F.concat(country, _each(F.expr("substring(entity, length(regexp_extract(entity, '^[+][0-9]{1,3}', 0)) + 1)"), salt))
+    country = F.regexp_extract(entity, r"^(?:\+[0-9]{1,3}|0)", 0)
+    phone = F.concat(country, _each(F.expr("substring(entity, length(regexp_extract(entity, '^([+][0-9]{1,3}|0)', 0)) + 1)"), salt))
     if round_no >= WIDER:
         phone = F.concat(phone, F.lit(" x"), F.translate(more, "abcdef", "012345"))
     issued = F.concat(F.substring(entity, 1, 1), _each(F.expr("substring(entity, 2, length(entity) - 2)"), salt))
@@ -161,11 +175,12 @@ def found_in(text: Column) -> Column:
 
 def mentions(texts: DataFrame) -> DataFrame:
     """Each different entity of each different text of ``texts`` (text_key, text, found): text_key, kind, entity, gender."""
-    found = texts.where(F.size("found") > 0).select("text_key", F.col("text").alias("t"), F.explode(F.array_distinct("found")).alias("entity"))
+    found = texts.where(F.size("found") > 0).select("text_key", F.col("text").alias("t"), F.explode(F.array_distinct("found")).alias("match"))
+    found = found.withColumns({"kind": kind_of(F.col("match")), "entity": value_of(F.col("match"))})
     female = F.expr(  # the title stands before the name
         "t rlike concat('\\\\b(?:" + TITLES["f"] + ")[.]? ', regexp_replace(entity, '([^\\\\p{L}])', '[$1]'))"
     )
-    rows = found.withColumn("kind", kind_of(F.col("entity"))).where("kind is not null")
+    rows = found.where("kind is not null")
     gender = F.when(F.col("kind") != "name", F.lit("")).when(female, "f").otherwise("m")
     return rows.select("text_key", "kind", "entity", gender.alias("gender")).distinct()
 
@@ -235,7 +250,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     pairs = mentioned.join(given, ["kind", "entity"]).groupBy("text_key")
     is_name = F.col("kind") == "name"
     per_text = pairs.agg(
-        F.map_from_entries(F.collect_set(F.when(~is_name, F.struct("entity", "surrogate")))).alias("surrogates"),
+        F.map_from_entries(F.collect_set(F.when(~is_name, F.struct(F.concat("kind", F.lit(" "), "entity"), "surrogate")))).alias("surrogates"),
         F.array_sort(F.collect_set(F.when(is_name, F.struct("entity", "surrogate", "gender")))).alias("names"),
     ).select("text_key", "surrogates", name_forms(F.col("names")).alias("forms"))
     rows = whole.where(F.size("found") > 0).join(per_text, "text_key", "left")
@@ -246,7 +261,8 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     found = F.when(named, F.regexp_extract_all("row.text", F.col("pattern"), F.lit(0))).otherwise(F.col("found"))
     rows = rows.withColumns({"between": between, "found": found})
     form_of = lambda e: F.get(F.filter("forms", lambda f: f["form"] == e), 0)["value"]
-    rows = rows.withColumn("values", F.transform("found", lambda e: F.coalesce(F.try_element_at("surrogates", e), form_of(e))))
+    given_for = lambda e: F.concat(F.regexp_extract(e, f"^{ASSIGNED}", 0), F.try_element_at("surrogates", F.concat(kind_of(e), F.lit(" "), value_of(e))))
+    rows = rows.withColumn("values", F.transform("found", lambda e: F.coalesce(given_for(e), form_of(e))))
     new = F.concat(F.get("between", 0), F.array_join(F.transform("found", lambda e, i: F.concat(F.coalesce(F.get("values", i), e), F.get("between", i + 1))), ""))
     count = F.size(F.filter("values", lambda v: v.isNotNull())).cast("long")
     rows = rows.select("row", new.alias("new"), count.alias("n"))
