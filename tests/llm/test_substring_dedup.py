@@ -66,3 +66,13 @@ def test_first_document_wins_by_brute_force(spark):
 def test_very_long_text():
     text = " ".join(["word"] * 300_000)
     assert s.cut(text, set()) == [] and s.cut(text + ". " + text + ".", set())[0][1] == 2 * len(text) + 3
+
+
+def test_short_lines_go_whatever_their_neighbours(spark):
+    line, short = "Released under the MIT License.", "Rights reserved. All of them."
+    texts = [f"First words here {i}\n{line}\nother words {i} follow\n}}\n\n{short}" for i in range(4)]
+    texts += [line, f"{line} And more in the same line 5", f"{short}\nnew\n{short}"]
+    got = {r.doc_id: r.text for r in s.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    assert got[0] == texts[0]
+    assert all(got[i] == f"First words here {i}\nother words {i} follow\n}}\n\n" for i in (1, 2, 3))
+    assert got[4] == "" and got[5] == texts[5] and got[6] == "new\n"

@@ -40,9 +40,14 @@ INNER = re.compile(r" (?=[^\W\d_a-z])")
 
 def units(text: str) -> list[tuple[bytes, int, int]]:
     """(digest, start, end) of the units of a text, by start."""
-    cuts = [0, *(m.end() for m in ENDS.finditer(text)), len(text)]
+    ends = list(ENDS.finditer(text))
+    cuts = [0, *(m.end() for m in ends), len(text)]
+    breaks = {m.end() for m in ends if "\n" in m[0]}
     spans, norms, sizes = [], [], []
+    lines = [0]  # the first span of each line
     for a, b in zip(cuts, cuts[1:]):
+        if a in breaks and len(spans) > lines[-1]:
+            lines.append(len(spans))
         words = text[a:b].lower().split()
         if words:
             spans.append((a, b))
@@ -73,6 +78,11 @@ def units(text: str) -> list[tuple[bytes, int, int]]:
                     j += 1
                 if len(words) >= LEAST_WORDS:
                     found.append((" ".join(words), c, spans[j - 1][1]))
+    for i, j in zip(lines, [*lines[1:], n]):
+        if sum(sizes[i:j]) < LEAST_WORDS:
+            line = " ".join(norms[i:j])
+            if any(map(str.isalnum, line)):
+                found.append((line, spans[i][0], spans[j - 1][1]))
     digest = xxhash.xxh3_128_digest
     return sorted({(digest(x.encode()), a, b) for x, a, b in found}, key=lambda u: u[1:])
 
