@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from townpulse.llm import bpe, fingerprints, html_cut, hyperminhash, packing, quality_rules, substring_dedup, surrogates, token_files, toxicity
+from townpulse.llm import alignment, bpe, fingerprints, html_cut, hyperminhash, language_id, packing, quality_rules, substring_dedup, surrogates, token_files, toxicity, turn_repair
 from townpulse.llm.common import table, vocabulary
 from townpulse.session import fresh_path
 
@@ -15,6 +16,7 @@ SQL: dict[str, str] = {}
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -73,3 +75,21 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECES))
+
+
+@query
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.held_out(F.col("doc_id"))
+    found = language_id.predict(docs, language_id.fit(docs, held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
