@@ -14,7 +14,7 @@ language's documents, and not far more often in those of another language.
 Filters are learned from at most about ``SAMPLE`` documents of each language, drawn by a
 hash; which languages there are and how many documents each has is counted over all rows.
 The filters take ``SLOTS`` times one bit for each language, rounded up to bytes, whatever
-the input; nothing else is broadcast.
+the input. They and a row for each language are all that is broadcast.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if nothing
 could be learned. Equal shares go to the language with more documents, then to the first
@@ -186,7 +186,7 @@ def _sample(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """(text, place): about ``SAMPLE`` documents of each language, those of least hash."""
     drawn = rows.withColumn("h", F.xxhash64("doc_id", "text"))
     share = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
-    picked = drawn.join(counts, "lang").where(share * F.col("n") < SAMPLE)
+    picked = drawn.join(F.broadcast(counts), "lang").where(share * F.col("n") < SAMPLE)
     return picked.dropDuplicates(["lang", "h"]).select("text", "place")
 
 
