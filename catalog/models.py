@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalog.bindings import complaints, labelled_outages, requests
+from catalog.bindings import LABELLED_OUTAGES, SERIES, complaints, labelled_outages, requests
 from catalog.registry import query
-from townpulse.operators import series
+from townpulse.operators import kmeans, series
 from townpulse.operators.joins import actual_vs_predicted
 from townpulse.operators.sampling import random_split
 from townpulse.plans import forecast, outage_clusters
@@ -34,10 +33,9 @@ def _trained(spark, sf):
         train, rows = _train_and_all(spark, sf)
         model, tried = outage_clusters.train_clusters(train)
         path = fresh_path(spark, "outage-clusters")
-        model.write().overwrite().save(path)
-        _TRAINED[key] = path, tried, rows
-    path, tried, rows = _TRAINED[key]
-    return PipelineModel.load(path), tried, rows
+        model.save(path)
+        _TRAINED[key] = outage_clusters.ClusterModel.load(spark, path), tried, rows
+    return _TRAINED[key]
 
 
 @query("m21_m24_cluster_outages")
@@ -49,40 +47,52 @@ def m21(spark, sf):
 @query("m22_find_best_k")
 def m22(spark, sf):
     tried = _trained(spark, sf)[1]
-    chosen = outage_clusters.best(tried)[0]
-    rows = [(k, float(score), k == chosen) for k, score, _ in tried]
-    return spark.createDataFrame(rows, "k INT, silhouette DOUBLE, is_best BOOLEAN")
+    chosen = outage_clusters.best(tried).k
+    rows = [(t.k, t.silhouette, t.cost, t.k == chosen) for t in tried]
+    return spark.createDataFrame(rows, "k INT, silhouette DOUBLE, cost DOUBLE, is_best BOOLEAN")
 
 
 @query("m23_evaluate_clusters")
 def m23(spark, sf):
     model, _, rows = _trained(spark, sf)
-    labelled = model.transform(rows).select("features", "cluster", "is_test").persist()
-    try:
-        rows = [
-            (name, float(outage_clusters.silhouette(labelled.filter(test))), labelled.filter(test).count())
-            for name, test in (("train", "NOT is_test"), ("test", "is_test"))
-        ]
-    finally:
-        labelled.unpersist()
-    return spark.createDataFrame(rows, "split STRING, silhouette DOUBLE, n BIGINT")
-
-
-@query("m21_m24_cluster_training", """
-WITH t AS (SELECT event_id, ('0x' || substr(md5(event_id || ':42'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < 0.2 AS is_test FROM events)
-SELECT count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test, CAST(count(*) AS BIGINT) AS n_nearest, true AS k_is_best, true AS separates FROM t""")
+    found = []
+    for name, test in (("train", "NOT is_test"), ("test", "is_test")):
+        own = rows.filter(test)
+        found.append((name, model.silhouette(own), float(outage_clusters.silhouette_squared(model.transform(own))), own.count()))
+    return spark.createDataFrame(found, "split STRING, silhouette DOUBLE, silhouette_squared DOUBLE, n BIGINT")
+
+
+@query("m23_silhouette_of_groups", f"""WITH {LABELLED_OUTAGES},
+p AS (SELECT event_id, cluster, temp::DOUBLE AS a, rain::DOUBLE AS b, wind_gust::DOUBLE AS c, start_min::DOUBLE AS d, duration::DOUBLE AS e FROM labelled),
+means AS (
+  SELECT x.event_id, x.cluster, y.cluster AS other, sum(sqrt((x.a-y.a)*(x.a-y.a) + (x.b-y.b)*(x.b-y.b) + (x.c-y.c)*(x.c-y.c) + (x.d-y.d)*(x.d-y.d) + (x.e-y.e)*(x.e-y.e)))
+         / (count(*) - (x.cluster = y.cluster)::INT) AS m
+  FROM p x, p y GROUP BY 1, 2, 3
+),
+widths AS (SELECT event_id, cluster, min(m) FILTER (other <> cluster) AS far, min(m) FILTER (other = cluster) AS own FROM means GROUP BY 1, 2)
+SELECT cluster, count(*) AS n, round(avg((far - own) / greatest(far, own)), 6) AS silhouette FROM widths GROUP BY 1""")
+def m23_groups(spark, sf):
+    """The silhouette of given groups of outages; exact, as all rows are compared."""
+    df = labelled_outages(spark, sf)
+    rows = df.select("cluster", F.array(*[F.col(c).cast("double") for c in outage_clusters.NUMBERS]).alias("features"))
+    found = kmeans.silhouettes(cut_lineage(rows), "features", label="cluster", n_labels=4)
+    return found.select(F.col("label").alias("cluster"), "n", F.round("width", 6).alias("silhouette"))
+
+
+@query("m21_m24_cluster_training", f"""WITH {LABELLED_OUTAGES},
+t AS (SELECT event_id, ('0x' || substr(md5(event_id || ':42'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < 0.2 AS is_test FROM labelled)
+SELECT count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test, count(*) AS n_nearest, true AS k_is_best, true AS separates FROM t""")
 def m21_m24(spark, sf):
     """The whole training job: search k, save, label all rows, judge both parts."""
     model, tried, rows = _trained(spark, sf)
     labelled = cut_lineage(model.transform(rows).select("event_id", "features", "cluster", "is_test"))
-    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
-    at = vector_to_array("features")
-    far = [F.aggregate(F.zip_with(at, F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, b: a + b) for c in centres]
+    far = [F.aggregate(F.zip_with("features", F.array(*map(F.lit, c.tolist())), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, b: a + b) for c in model.centres]
     own = F.get(F.array(*far), F.col("cluster"))
-    counts = labelled.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"), F.count_if(own <= F.least(*far) + 1e-9).alias("n_nearest"))
-    k, top, _ = outage_clusters.best(tried)
-    good = len(centres) == k and top == max(score for _, score, _ in tried)
-    apart = all(outage_clusters.silhouette(labelled.filter(test)) > 0 for test in ("NOT is_test", "is_test"))
+    nearest = own <= F.least(*far) * (1 + 1e-9) + 1e-9
+    counts = labelled.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"), F.count_if(nearest).alias("n_nearest"))
+    chosen = outage_clusters.best(tried)
+    good = len(model.centres) == chosen.k and chosen.silhouette == max(t.silhouette for t in tried)
+    apart = all(model.silhouette(rows.filter(test)) > 0 for test in ("NOT is_test", "is_test"))
     return counts.withColumns({"k_is_best": F.lit(good), "separates": F.lit(apart)})
 
 
@@ -97,7 +107,7 @@ def _searched(spark, sf, by=()):
         rows = complaints(spark, sf, activity=False) if by else requests(spark, sf)
         features = cut_lineage(series.prepare_series(rows, by=by))
         split = cut_lineage(series.ordered_split(series.sequences(features, by=by), by=by))
-        _SEARCHED[key] = features, split, forecast.search(split.filter("split = 'train'"), forecast.grid())
+        _SEARCHED[key] = features, split, forecast.search(split.filter("split = 'train'"), forecast.grid(), by=list(by))
     return _SEARCHED[key]
 
 
@@ -107,16 +117,16 @@ def _forecaster(spark, sf, by=()):
     features, split, tried = _searched(spark, sf, by)
     if key not in _FORECASTERS:
         path = fresh_path(spark, "forecaster")
-        forecast.train(split.filter("split = 'train'"), [tried[0][0]]).save(path, spark)
-        _FORECASTERS[key] = path
-    return forecast.Forecaster.load(spark, _FORECASTERS[key]), features, split
+        forecast.train(split.filter("split = 'train'"), [tried[0][0]], by=list(by)).save(path, spark)
+        _FORECASTERS[key] = forecast.Forecaster.load(spark, path)
+    return _FORECASTERS[key], features, split
 
 
 @query("m15_grid_search")
 def m15(spark, sf):
     tried = _searched(spark, sf)[2]
-    rows = [(p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], float(e)) for p, e in tried]
-    return spark.createDataFrame(rows, "num_trees INT, max_depth INT, min_leaf INT, mae DOUBLE")
+    rows = [(p["n_trees"], p["max_depth"], p["min_leaf"], p["min_split"], e) for p, e in tried]
+    return spark.createDataFrame(rows, "n_trees INT, max_depth INT, min_leaf INT, min_split INT, mae DOUBLE")
 
 
 @query("m16_m17_evaluate_forecaster")
@@ -148,6 +158,26 @@ def m19(spark, sf):
     return both.agg(F.count(F.lit(1)).alias("n_days"), mape(a, p).alias("mape"), rmse(a, p).alias("rmse"))
 
 
+@query("m19_rolling_origins")
+def m19_origins(spark, sf):
+    model, features, _ = _forecaster(spark, sf)
+    return forecast.origin_errors(forecast.rolling_origins(model, features), features)
+
+
+@query("m19_naive_rolling_origins", f"""WITH {SERIES},
+origins AS (SELECT date AS origin, complaint_count AS predicted, row_number() OVER (ORDER BY date DESC) AS age FROM daily),
+pairs AS (SELECT origin, predicted, unnest(generate_series(1, 7)) AS h FROM origins WHERE age BETWEEN 2 AND 91)
+SELECT CAST(h AS INT) AS horizon, count(*) AS n_days, avg(abs((complaint_count - predicted) / nullif(complaint_count, 0)::DOUBLE)) * 100 AS mape,
+       sqrt(avg(power(complaint_count - predicted, 2))) AS rmse
+FROM pairs JOIN daily ON daily.date = origin + h::INT GROUP BY 1""")
+def m19_naive(spark, sf):
+    """The error table of ``m19_rolling_origins`` for predictions that SQL can make: the origin's own value."""
+    features = series.prepare_series(requests(spark, sf))
+    age = F.row_number().over(Window.orderBy(F.desc("date")))
+    origins = features.withColumn("age", age).filter("age BETWEEN 2 AND 91").select(F.col("date").alias("origin"), F.col("complaint_count").alias("predicted"), F.explode(F.sequence(F.lit(1), F.lit(7))).alias("horizon"))
+    return forecast.origin_errors(origins.withColumn("date", F.date_add("origin", F.col("horizon"))), features)
+
+
 @query("a26_forecast_stats")
 def a26(spark, sf):
     model, features, _ = _forecaster(spark, sf)

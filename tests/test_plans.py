@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,8 +92,8 @@ def test_z_scores_of_constants_are_zero(spark):
 
 def test_forecast_dates_bands_and_feature_rule(spark):
     features = series.prepare_series(requests(spark, SF))
-    params = [{"numTrees": 2, "maxDepth": 2, "minInstancesPerNode": 1}]
-    model = forecast.train(series.sequences(features), params, horizon=3)
+    params = [{"max_depth": 2, "min_leaf": 1, "min_split": 2, "n_trees": 2}]
+    model = forecast.train(series.sequences(features, horizon=3), params)
     end = features.agg(F.max("date")).first()[0]
     got = forecast.forecast(model, features, days=5).orderBy("date").collect()
     assert [r.date for r in got] == [end + timedelta(days=i) for i in range(1, 6)]
@@ -105,8 +106,7 @@ def test_recursive_features_follow_the_training_rule(spark):
     values = [float((i * 7) % 11) for i in range(30)]
     days = [(date(2024, 1, 1) + timedelta(days=i), v) for i, v in enumerate(values)]
     trained = series.with_features(spark.createDataFrame(days, "date DATE, complaint_count DOUBLE")).orderBy(F.desc("date")).first()
-    df = spark.createDataFrame([(values, days[-1][0])], "history ARRAY<DOUBLE>, date DATE")
-    got = df.select(forecast._next_day(F.col("history"), F.col("date"))).first()[0]
+    got = forecast.next_rows(np.array([values]), np.array([days[-1][0]], "datetime64[D]"))[0].tolist()
     assert got == pytest.approx([float(v) for v in trained[1:]])
 
 
@@ -122,37 +122,21 @@ def test_expanding_folds_of_many_series_change_on_the_same_day(spark):
     assert [r.block for r in got] == ([0] * 5 + [1, 1, 2, 2, 3, 3]) * 3
 
 
-def test_smaller_forests_come_from_the_largest_fit(spark, monkeypatch):
-    rng, fits, plain = random.Random(3), [], forecast.regressor
-    rows = [(date(2024, 1, 1) + timedelta(days=i), x := [rng.random(), rng.random()], [x[0] * 9 + x[1]]) for i in range(40)]
-    seqs = spark.createDataFrame(rows, "origin DATE, x ARRAY<DOUBLE>, y ARRAY<DOUBLE>")
-    monkeypatch.setattr(forecast, "regressor", lambda label, **p: fits.append(p) or plain(label, **p))
-    tried = forecast.search(seqs, forecast.grid({"numTrees": [2, 5], "maxDepth": [2, 4], "minInstancesPerNode": [1]}))
-    assert len(tried) == 4 and [e for _, e in tried] == sorted(e for _, e in tried)
-    assert sorted(p["maxDepth"] for p in fits) == [2] * 3 + [4] * 3 and {p["numTrees"] for p in fits} == {5}
-    data = forecast.with_vectors(seqs).select("features", F.get("y", F.lit(0)).alias("y1"))
-    model = plain("y1", numTrees=5, maxDepth=4).fit(data)
-    vector = data.first().features
-    few = forecast.first_trees(model, 2)
-    assert len(few.trees) == 2 and few.predict(vector) == pytest.approx(sum(t.predict(vector) for t in model.trees[:2]) / 2)
-
-
 def test_registered_forecasts_use_the_whole_grid_and_all_horizons(spark, monkeypatch):
     from catalog import models
 
-    searched, fitted, days = [], [], []
+    searched, days = [], []
     line = forecast.forecast
-    tiny = {"numTrees": 2, "maxDepth": 2, "minInstancesPerNode": 1}
-    monkeypatch.setattr(forecast, "search", lambda train, candidates, folds=3: searched.append(candidates) or [(tiny, 1.0), *((c, 2.0) for c in candidates[1:])])
-    regressor = forecast.regressor
-    monkeypatch.setattr(forecast, "regressor", lambda label, **p: fitted.append(label) or regressor(label, **p))
-    monkeypatch.setattr(forecast, "forecast", lambda model, features, n=30, by=(): days.append((model.horizon, n)) or (features if by else line(model, features, n)))
+    tiny = {"max_depth": 2, "min_leaf": 1, "min_split": 2, "n_trees": 2}
+    monkeypatch.setattr(forecast, "search", lambda train, candidates, by=(): searched.append(candidates) or [(tiny, 1.0), *((c, 2.0) for c in candidates[1:])])
+    monkeypatch.setattr(forecast, "forecast", lambda model, features, n=30, by=(): days.append((model.horizon, n)) or line(model, features, n, by))
     monkeypatch.setattr(models, "_SEARCHED", {})
     monkeypatch.setattr(models, "_FORECASTERS", {})
-    assert models.m15(spark, SF).count() == 18
+    assert models.m15(spark, SF).count() == 36
     assert {r.model for r in models.m16_m17(spark, SF).collect()} == {"forest", "naive", "ma7"}
     assert models.m18(spark, SF).count() == 120 and models.m19(spark, SF).first().n_days == 90 and models.a26(spark, SF).count() == 1
-    assert searched == [forecast.grid()] and sorted(fitted) == [f"y{h}" for h in range(1, 8)]
+    assert [r.horizon for r in models.m19_origins(spark, SF).orderBy("horizon").collect()] == list(range(1, 8))
+    assert searched == [forecast.grid()]
     models.m18_by_district(spark, SF)
     assert searched == [forecast.grid()] * 2 and set(days) == {(7, 30)}
 
@@ -235,7 +219,10 @@ def test_stream_counts_cover_all_days_and_resume(spark):
 def test_all_queries_with_sql_agree_on_the_smallest_tables():
     """Runs the comparison tool in its own process, as a user would."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    names = ["complaint_cleaning", "outage_cleaning", "a4_", "a7_", "j7_", "m1_features", "m17_", "x15_", "x17_", "x21_"]
+    names = [
+        "complaint_cleaning", "outage_cleaning", "a4_districts_by_type", "a7_resolution_times", "j7_add_weather", "m1_features", "m17_x26_baseline_metrics",
+        "m19_naive_rolling_origins", "x15_notice_days", "x17_clean_documents", "x21_extract_events",
+    ]
     env = {**os.environ, "SF_DIR": SF}
     run = subprocess.run([sys.executable, "verify.py", *names], cwd=root, env=env, capture_output=True, text=True, timeout=900)
     assert run.returncode == 0, json.dumps(run.stdout[-3000:])

@@ -1,48 +1,38 @@
-"""Forecasting daily volumes with random forests, one per horizon.
+"""Forecasting daily volumes with a random forest that predicts all horizons at once.
 
 Series have one row per day; many series (for example districts) train and predict
-together, each keeping its own windows.
+together, each keeping its own windows. What a search and a forest hold is bounded, see
+``operators/regression_forest.py``; windows are scored in Arrow batches.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 from itertools import product
 from math import ceil
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from townpulse.constants import BAND_HIGH, BAND_LOW, FORECAST_HORIZON, LOOKBACK_DAYS, SERIES_FEATURES
-from townpulse.functions.metrics import error_metrics
-from townpulse.functions.times import is_weekend, weekday_number
+from townpulse.functions.metrics import error_metrics, mape, rmse
+from townpulse.operators import regression_forest as forest
 from townpulse.operators.series import baselines, look_back
-from townpulse.session import cut_lineage
 
-# Search space. Tree depth is at most 30 in Spark; "no limit" stands for that. The
-# least rows to split has no counterpart; the least rows per leaf has.
-GRID = {"numTrees": [200, 300, 500], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2]}
-FITS_AT_ONCE = 4
+# Search space; fixed values. No depth stands for no limit.
+GRID = {"max_depth": [10, 20, None], "min_leaf": [1, 2], "min_split": [2, 5], "n_trees": [200, 300, 500]}
 
 
 def grid(space: dict[str, list] = GRID) -> list[dict]:
     return [dict(zip(space, values)) for values in product(*space.values())]
 
 
-def regressor(label: str, **params) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="features", labelCol=label, predictionCol="predicted", featureSubsetStrategy="all", seed=42, **params
-    )
-
-
-def with_vectors(seqs: DataFrame) -> DataFrame:
-    return seqs.withColumn("features", array_to_vector("x"))
-
-
 def expanding_folds(seqs: DataFrame, folds: int = 3) -> DataFrame:
     """Add ``block``: 0 for rows only trained on, 1..folds for the later test blocks.
 
@@ -57,97 +47,94 @@ def expanding_folds(seqs: DataFrame, folds: int = 3) -> DataFrame:
     return seqs.join(days.withColumn("block", block), "origin")
 
 
-def first_trees(model: RandomForestRegressionModel, n: int) -> RandomForestRegressionModel:
-    """The forest of the first ``n`` trees of ``model``."""
-    java, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
-    grown, kind = java.trees(), gateway.jvm.org.apache.spark.ml.regression
-    if n > len(grown):
-        raise ValueError(f"the forest has {len(grown)} trees, {n} are asked for")
-    kept = gateway.new_array(kind.DecisionTreeRegressionModel, n)
-    for i in range(n):
-        kept[i] = grown[i]
-    fewer = kind.RandomForestRegressionModel(f"{model.uid}_{n}", kept, model.numFeatures)
-    fewer.set(fewer.getParam("numTrees"), n)  # the mean divides by it
-    return RandomForestRegressionModel(fewer).setFeaturesCol(model.getFeaturesCol())
-
+def search(train: DataFrame, candidates: list[dict] | None = None, folds: int = 3, by: list[str] = ()) -> list[tuple[dict, float]]:
+    """Mean absolute error of horizon 1 per candidate, over expanding folds, best first; of equals the earlier.
 
-def _in_threads(fn: Callable, tasks: Iterable) -> list:
-    """Independent fits side by side: a single one seldom keeps all cores busy."""
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        return list(pool.map(fn, tasks))
-
-
-def search(train: DataFrame, candidates: list[dict], folds: int = 3) -> list[tuple[dict, float]]:
-    """Mean absolute error of horizon 1 per candidate, over expanding folds, best first.
-
-    Candidates that differ in the number of trees alone share one fit per fold: the trees
-    of a forest are independent, so its first n are a forest of n.
+    All trees of all folds grow in one job, one forest for each fold and least leaf size;
+    the other limits are read off the grown trees. Each fold is then scored in one pass.
     """
-    data = with_vectors(expanding_folds(train, folds)).select("features", "block", F.get("y", F.lit(0)).alias("y1")).persist()
-    groups: dict[tuple, list[int]] = {}
-    for i, params in enumerate(candidates):
-        groups.setdefault(tuple(sorted((k, v) for k, v in params.items() if k != "numTrees")), []).append(i)
-
-    def errors(task: tuple[list[int], int]) -> dict[int, float]:
-        group, fold = task
-        largest = max((candidates[i] for i in group), key=lambda p: p["numTrees"])
-        model = regressor("y1", **largest).fit(data.filter(F.col("block") < fold))
-        tested = data.filter(F.col("block") == fold)
-        for i in group:
-            tested = first_trees(model, candidates[i]["numTrees"]).setPredictionCol(f"p{i}").transform(tested)
-        row = tested.agg(*(F.avg(F.abs(F.col("y1") - F.col(f"p{i}"))).alias(f"e{i}") for i in group)).first()
-        return {i: row[f"e{i}"] for i in group}
-
-    try:
-        found = _in_threads(errors, product(groups.values(), range(1, folds + 1)))
-        results = [(params, sum(e[i] for e in found if i in e) / folds) for i, params in enumerate(candidates)]
-        return sorted(results, key=lambda r: r[1])
-    finally:
-        data.unpersist()
-
-
+    spark, candidates = train.sparkSession, candidates if candidates is not None else grid()
+    counts, depths, splits, leaves = (sorted({c[k] for c in candidates}, key=lambda v: (v is None, v)) for k in ("n_trees", "max_depth", "min_split", "min_leaf"))
+    blocks = expanding_folds(train, folds).select(*by, "origin", "x", F.slice("y", 1, 1).alias("y"), "block")
+    rows = forest.pool(blocks, [*by, "origin"], ["x", "y", "block"])
+    block = rows["block"].to_numpy()
+    jobs = [forest.Job(np.flatnonzero(block < fold), leaf) for fold in range(1, folds + 1) for leaf in leaves]
+    nodes = forest.grow(spark, forest.matrix(rows["x"]), forest.matrix(rows["y"]), jobs, max(counts))
+    errors = np.zeros((folds, len(leaves), len(depths), len(splits), len(counts)))
+    for fold in range(1, folds + 1):
+        first = (fold - 1) * len(leaves)
+        shared = spark.sparkContext.broadcast([forest.tree_arrays(nodes.where(F.col("job") == first + i)) for i in range(len(leaves))])
+        tested = blocks.where(F.col("block") == fold).select("x", F.get("y", F.lit(0)).alias("y"))
+        sums = tested.mapInArrow(_errors_of(shared, counts, depths, splits), "place INT, error DOUBLE, n LONG")
+        for r in sums.groupBy("place").agg((F.sum("error") / F.sum("n")).alias("mae")).collect():
+            errors[fold - 1].flat[r.place] = r.mae
+        shared.unpersist()
+    mean = errors.mean(axis=0)
+
+    def error(c: dict) -> float:
+        return float(mean[leaves.index(c["min_leaf"]), depths.index(c["max_depth"]), splits.index(c["min_split"]), counts.index(c["n_trees"])])
+
+    return sorted(((c, error(c)) for c in candidates), key=lambda r: r[1])
+
+
+def _errors_of(shared: Broadcast, counts: list[int], depths: list[int | None], splits: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = forest.matrix(pa.chunked_array([batch.column(0)])), batch.column(1).to_numpy()
+            errors = np.concatenate([np.abs(forest.predict_nested(x, trees, counts, depths, splits) - y).sum(axis=-1).ravel() for trees in shared.value])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(errors)), pa.int32()), pa.array(errors), pa.array(np.full(len(errors), len(y)), pa.int64())], ["place", "error", "n"])
+
+    return run
+
+
+@dataclass
 class Forecaster:
-    """One fitted forest per horizon."""
+    """A fitted forest. ``nodes`` is a table on shared storage; ``params`` are those it was grown with."""
 
-    def __init__(self, models: list[RandomForestRegressionModel], lookback: int = LOOKBACK_DAYS):
-        self.models, self.lookback = models, lookback
+    nodes: DataFrame
+    params: dict
+    horizon: int
+    lookback: int = LOOKBACK_DAYS
+    _shared: Broadcast | None = field(default=None, repr=False)
 
-    @property
-    def horizon(self) -> int:
-        return len(self.models)
+    def trees(self) -> Broadcast:
+        """The forest for the tasks, sent once per model; its size is bounded by ``params`` alone."""
+        if self._shared is None:
+            self._shared = self.nodes.sparkSession.sparkContext.broadcast(forest.tree_arrays(self.nodes))
+        return self._shared
 
-    def predict(self, windows: DataFrame, horizons: int | None = None) -> DataFrame:
+    def predict(self, windows: DataFrame) -> DataFrame:
         """Add ``predictions``, an array over the horizons, to rows with a window ``x``."""
-        df = with_vectors(windows)
-        names = []
-        for h, model in enumerate(self.models[:horizons], start=1):
-            names.append(f"_p{h}")
-            df = model.copy().setPredictionCol(names[-1]).transform(df)
-        return df.withColumn("predictions", F.array(*names)).drop("features", *names)
+        shared = self.trees()
+
+        @F.pandas_udf("array<double>")
+        def predicted(x: pd.Series) -> pd.Series:
+            return pd.Series(list(forest.predict(np.stack(x), shared.value))) if len(x) else pd.Series([], dtype=object)
+
+        return windows.withColumn("predictions", predicted("x"))
 
     def save(self, path: str, spark: SparkSession) -> None:
-        for h, model in enumerate(self.models, start=1):
-            model.write().overwrite().save(f"{path}/horizon={h}")
-        text = json.dumps({"lookback": self.lookback, "horizon": self.horizon})
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        text = json.dumps({"params": self.params, "horizon": self.horizon, "lookback": self.lookback})
         spark.createDataFrame([(text,)], "params STRING").coalesce(1).write.mode("overwrite").text(f"{path}/params")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Forecaster:
         params = json.loads(spark.read.text(f"{path}/params").first()[0])
-        models = [RandomForestRegressionModel.load(f"{path}/horizon={h}") for h in range(1, params["horizon"] + 1)]
-        return Forecaster(models, params["lookback"])
+        return Forecaster(spark.read.schema(forest.NODES).parquet(f"{path}/nodes"), **params)
 
 
-def train(seqs: DataFrame, candidates: list[dict] | None = None, horizon: int = FORECAST_HORIZON) -> Forecaster:
-    """Choose parameters by horizon 1, then fit every horizon with them."""
+def train(seqs: DataFrame, candidates: list[dict] | None = None, by: list[str] = (), lookback: int = LOOKBACK_DAYS) -> Forecaster:
+    """Choose parameters by horizon 1, then grow one forest for all horizons with them."""
     candidates = candidates if candidates is not None else grid()
-    best = candidates[0] if len(candidates) == 1 else search(seqs, candidates)[0][0]
-    labels = [F.get("y", F.lit(h)).alias(f"y{h + 1}") for h in range(horizon)]
-    data = with_vectors(seqs).select("features", *labels).persist()
-    try:
-        return Forecaster(_in_threads(lambda h: regressor(f"y{h + 1}", **best).fit(data), range(horizon)))
-    finally:
-        data.unpersist()
+    best = candidates[0] if len(candidates) == 1 else search(seqs, candidates, by=by)[0][0]
+    rows = forest.pool(seqs, [*by, "origin"], ["x", "y"])
+    x, y = forest.matrix(rows["x"]), forest.matrix(rows["y"])
+    job = forest.Job(np.arange(len(x)), best["min_leaf"], best["min_split"], best["max_depth"])
+    nodes = forest.grow(seqs.sparkSession, x, y, [job], best["n_trees"])
+    return Forecaster(nodes, best, y.shape[1], lookback)
 
 
 def evaluate(forecaster: Forecaster, test: DataFrame, by: list[str] = ()) -> DataFrame:
@@ -161,64 +148,72 @@ def evaluate(forecaster: Forecaster, test: DataFrame, by: list[str] = ()) -> Dat
     return error_metrics(predicted.unionByName(baselines(test, by=list(by))), [*by, "model"])
 
 
-def _next_day(history: Column, date: Column) -> Column:
-    """Feature row of ``date``, whose value is the last of ``history``; as in training."""
+def next_rows(history: np.ndarray, day: np.ndarray) -> np.ndarray:
+    """Feature rows of ``day``, whose values are the last of ``history`` (a row per series); as in training."""
+    week, month = history[:, -7:], history[:, -30:]
+    weekday = (day.astype("datetime64[D]").astype(int) + 3) % 7
+    number = day.astype("datetime64[M]").astype(int) % 12 + 1
+    std = week.std(axis=1, ddof=1) if week.shape[1] > 1 else np.zeros(len(week))
+    return np.column_stack([history[:, -1], weekday, number, weekday >= 5, week.mean(axis=1), std, month.mean(axis=1)])
 
-    def mean(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.size(values)
 
-    week = F.slice(history, F.greatest(F.size(history) - 6, F.lit(1)), F.lit(7))
-    month = F.slice(history, F.greatest(F.size(history) - 29, F.lit(1)), F.lit(30))
-    centre = mean(week)
-    squares = F.aggregate(week, F.lit(0.0), lambda a, v: a + (v - centre) * (v - centre))
-    std = F.coalesce(F.sqrt(squares / F.nullif(F.size(week) - 1, F.lit(0))), F.lit(0.0))
-    day = weekday_number(date)
-    values = [F.element_at(history, -1), day, F.month(date), is_weekend(day), centre, std, mean(month)]
-    return F.array(*[v.cast("double") for v in values])
+def roll_forward(x: np.ndarray, day: np.ndarray, trees: dict[str, np.ndarray], days: int) -> np.ndarray:
+    """Predictions for ``days`` days after ``day``, each block of horizons fed back into the windows ``x``."""
+    width = len(SERIES_FEATURES)
+    window, out = x.reshape(len(x), -1, width).copy(), []
+    horizon = trees["value"].shape[1]
+    for _ in range(ceil(days / horizon)):
+        block = forest.predict(window.reshape(len(x), -1), trees)
+        out.append(block)
+        for h in range(horizon):
+            day = day + np.timedelta64(1, "D")
+            history = np.column_stack([window[:, 1:, 0], block[:, h]])
+            window = np.concatenate([window[:, 1:], next_rows(history, day)[:, None]], axis=1)
+    return np.concatenate(out, axis=1)[:, :days]
 
 
 def forecast(forecaster: Forecaster, features: DataFrame, days: int = 30, by: list[str] = ()) -> DataFrame:
     """Predict ``days`` days past the end of each series, feeding predictions back in.
 
-    The state is one row per series: the last window and the last values. Its lineage
-    is cut after every block of horizons.
+    A series is one row, its last window and day; all its days are predicted where that row
+    is, in a single pass.
     """
     newest = Window.partitionBy(*by).orderBy(F.desc("date"))
-    state = look_back(features, forecaster.lookback, by).withColumn("_age", F.row_number().over(newest))
-    width = len(SERIES_FEATURES)
-    history = F.transform(
-        F.sequence(F.lit(0), F.lit(forecaster.lookback - 1)), lambda i: F.get(F.col("x"), i * width)
-    )
-    state = state.filter("_age = 1").select(*by, "date", "x", history.alias("history"))
-    blocks = []
-    for _ in range(ceil(days / forecaster.horizon)):
-        step = cut_lineage(forecaster.predict(state))
-        blocks.append(step.select(*by, F.col("date").alias("_last"), F.posexplode("predictions").alias("_h", "predicted")))
-        state = step
-        for h in range(forecaster.horizon):
-            grown = F.concat("history", F.slice("predictions", h + 1, 1))
-            state = state.withColumn("history", F.slice(grown, 2, forecaster.lookback))
-            state = state.withColumn("date", F.date_add("date", 1))
-            row = _next_day(F.col("history"), F.col("date"))
-            state = state.withColumn("x", F.concat(F.slice("x", width + 1, (forecaster.lookback - 1) * width), row))
-        state = cut_lineage(state.drop("predictions"))
-    united = blocks[0]
-    for block in blocks[1:]:
-        united = united.unionByName(block)
-    dated = united.withColumn("date", F.date_add("_last", F.col("_h") + 1))
-    first = features.groupBy(*by).agg(F.max("date").alias("_end"))
-    dated = dated.join(F.broadcast(first), list(by)) if by else dated.withColumn("_end", first.scalar())
-    return dated.filter(F.col("date") <= F.date_add("_end", days)).select(
-        *by, "date", "predicted", (F.col("predicted") * BAND_LOW).alias("lower_bound"), (F.col("predicted") * BAND_HIGH).alias("upper_bound"),
+    ends = look_back(features, forecaster.lookback, by).withColumn("_age", F.row_number().over(newest)).where("_age = 1")
+    shared = forecaster.trees()
+
+    @F.pandas_udf("array<double>")
+    def ahead(x: pd.Series, date: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        return pd.Series(list(roll_forward(np.stack(x), np.array(date, "datetime64[D]"), shared.value, days)))
+
+    dated = ends.select(*by, F.col("date").alias("_end"), F.posexplode(ahead("x", "date")).alias("_h", "predicted"))
+    return dated.select(
+        *by, F.date_add("_end", F.col("_h") + 1).alias("date"), "predicted",
+        (F.col("predicted") * BAND_LOW).alias("lower_bound"), (F.col("predicted") * BAND_HIGH).alias("upper_bound"),
     )
 
 
-def backtest(forecaster: Forecaster, features: DataFrame, days: int = 90, by: list[str] = ()) -> DataFrame:
-    """(date, predicted): one step ahead for the last ``days`` days, where history allows."""
+def rolling_origins(forecaster: Forecaster, features: DataFrame, days: int = 90, by: list[str] = ()) -> DataFrame:
+    """(origin, horizon, date, predicted) of all horizons from each of the origins whose next day is among the last ``days``."""
     w = Window.partitionBy(*by).orderBy(F.desc("date"))
     windows = look_back(features, forecaster.lookback, by).withColumn("_age", F.row_number().over(w))
-    recent = windows.filter(F.col("_age").between(2, days + 1)).select(*by, F.date_add("date", 1).alias("date"), "x")
-    return forecaster.predict(recent, 1).select(*by, "date", F.get("predictions", F.lit(0)).alias("predicted"))
+    recent = windows.filter(F.col("_age").between(2, days + 1)).select(*by, F.col("date").alias("origin"), "x")
+    long = forecaster.predict(recent).select(*by, "origin", F.posexplode("predictions").alias("_h", "predicted"))
+    return long.select(*by, "origin", (F.col("_h") + 1).alias("horizon"), F.date_add("origin", F.col("_h") + 1).alias("date"), "predicted")
+
+
+def backtest(forecaster: Forecaster, features: DataFrame, days: int = 90, by: list[str] = ()) -> DataFrame:
+    """(date, predicted): one step ahead for the last ``days`` days, where history allows."""
+    return rolling_origins(forecaster, features, days, by).filter("horizon = 1").select(*by, "date", "predicted")
+
+
+def origin_errors(predicted: DataFrame, features: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Days, mape and rmse per horizon of ``rolling_origins`` (or any such table) where the actual day is known."""
+    actual = features.select(*by, "date", F.col("complaint_count").alias("actual"))
+    a, p = F.col("actual"), F.col("predicted")
+    return predicted.join(actual, [*by, "date"]).groupBy(*by, "horizon").agg(F.count(F.lit(1)).alias("n_days"), mape(a, p).alias("mape"), rmse(a, p).alias("rmse"))
 
 
 def past_and_future(past: DataFrame, future: DataFrame) -> DataFrame:

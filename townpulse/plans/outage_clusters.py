@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townpulse.constants import WEEKDAY_NAMES_TH
 from townpulse.functions.times import at_time, minute_of_day, wrapped_duration
+from townpulse.operators import kmeans
 from townpulse.operators.topk import top_per_group, value_counts
 from townpulse.schemas import require_columns
 
@@ -48,57 +51,79 @@ def encoder() -> Pipeline:
     ])
 
 
-def fit_kmeans(features: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> KMeansModel:
-    """The best of ``restarts`` runs by training cost."""
-    runs = [
-        KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(features)
-        for i in range(restarts)
-    ]
-    return min(runs, key=lambda m: m.summary.trainingCost)
+def encoded(encoding: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with ``features``, an array."""
+    return encoding.transform(df).withColumn("features", vector_to_array("features")).drop(*(f"{c}{s}" for c in CATEGORIES for s in ("_index", "_hot")))
 
 
-def silhouette(clustered: DataFrame) -> float:
-    """Spark's silhouette, which uses squared Euclidean distances and one pass."""
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(clustered)
+@dataclass
+class ClusterModel:
+    """A fitted encoder and the centres of the clusters."""
 
+    encoding: PipelineModel
+    centres: np.ndarray
 
-def find_best_k(features: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10, at_once: int = 4) -> list[tuple[int, float, KMeansModel]]:
-    """(k, silhouette, model) for every k; the first highest score wins, see ``best``.
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``features`` and ``cluster``, the number of the nearest centre."""
+        centres = self.centres
 
-    The fits do not depend on each other, so ``at_once`` of them run side by side.
-    """
-    def tried(k: int) -> tuple[int, float, KMeansModel]:
-        model = fit_kmeans(features, k, restarts)
-        return k, silhouette(model.transform(features)), model
+        @F.pandas_udf("int")
+        def label(features: pd.Series) -> pd.Series:
+            return pd.Series(kmeans.nearest(np.stack(features), centres) if len(features) else [], dtype="int32")
 
-    with ThreadPool(at_once) as pool:
-        return pool.map(tried, range(k_min, k_max + 1), chunksize=1)
+        return encoded(self.encoding, df).withColumn("cluster", label("features"))
 
+    def silhouette(self, df: DataFrame) -> float:
+        """Mean silhouette of the rows by plain distances."""
+        return kmeans.mean_silhouettes(encoded(self.encoding, df), "features", [self.centres])[0]
 
-def best(tried: list[tuple[int, float, KMeansModel]]) -> tuple[int, float, KMeansModel]:
-    return max(tried, key=lambda t: t[1])
+    def save(self, path: str) -> None:
+        self.encoding.write().overwrite().save(f"{path}/encoding")
+        spark = SparkSession.active()
+        rows = [(i, [float(v) for v in c]) for i, c in enumerate(self.centres)]
+        spark.createDataFrame(rows, "cluster INT, centre ARRAY<DOUBLE>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
 
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ClusterModel:
+        rows = sorted(spark.read.parquet(f"{path}/centres").collect(), key=lambda r: r.cluster)
+        return ClusterModel(PipelineModel.load(f"{path}/encoding"), np.array([r.centre for r in rows]))
 
-def fit_clusters(train: DataFrame, k: int, restarts: int = 10) -> PipelineModel:
-    """Encoder and clustering as one saved-and-loaded pipeline."""
-    encoding = encoder().fit(train)
-    features = encoding.transform(train).select("features").persist()
-    try:
-        model = fit_kmeans(features, k, restarts)
-    finally:
-        features.unpersist()
-    return PipelineModel(stages=[*encoding.stages, model])
+
+@dataclass
+class Tried:
+    k: int
+    silhouette: float
+    cost: float
+    centres: np.ndarray
+
+
+def find_best_k(features: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10) -> list[Tried]:
+    """The best model of every k and its silhouette; all models are fitted in one loop, see ``best``."""
+    models = kmeans.fit_many(features, "features", [*range(k_min, k_max + 1)], restarts)
+    scores = kmeans.mean_silhouettes(features, "features", [m.centres for m in models]) if models else []
+    return [Tried(m.k, score, float(m.cost), m.centres) for m, score in zip(models, scores)]
+
+
+def best(tried: list[Tried]) -> Tried:
+    """The first of the highest silhouettes."""
+    return max(tried, key=lambda t: t.silhouette)
+
+
+def silhouette_squared(clustered: DataFrame) -> float:
+    """Spark's silhouette of ``features`` (an array) and ``cluster``, which uses squared distances."""
+    vectors = clustered.select("cluster", array_to_vector("features").alias("features"))
+    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(vectors)
 
 
-def train_clusters(train: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10) -> tuple[PipelineModel, list[tuple[int, float, KMeansModel]]]:
+def train_clusters(train: DataFrame, k_min: int = 2, k_max: int = 10, restarts: int = 10) -> tuple[ClusterModel, list[Tried]]:
     """Search k on the training rows; the model of the best k, and all that were tried."""
     encoding = encoder().fit(train)
-    features = encoding.transform(train).select("features").persist()
+    features = encoded(encoding, train).select("features").persist()
     try:
         tried = find_best_k(features, k_min, k_max, restarts)
     finally:
         features.unpersist()
-    return PipelineModel(stages=[*encoding.stages, best(tried)[2]]), tried
+    return ClusterModel(encoding, best(tried).centres), tried
 
 
 def cluster_sizes(df: DataFrame) -> DataFrame:
