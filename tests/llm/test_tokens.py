@@ -38,6 +38,19 @@ def test_files_hold_the_librarys_ids(spark):
     assert [tuple(r) for r in got] == want
 
 
+def test_words_have_the_librarys_ids():
+    """Also where lower-casing and normalisation do not commute."""
+    library, encoder, draw = Tokenizer.from_file(WORD_BPE), token_files.WordEncoder(WORD_BPE, np.dtype("<u2")), random.Random(7)
+    parts = [
+        "\u0130", "\u0130", "I", "\u0131", "\u03a3", "\u03c3", "\u03c2", "\u00df", "\u1e9e", "\u0307", "\u0323", "\u0301", "\u0e49", "\u0e38", "e\u0301", "\u1e9b\u0323", "\ufb01", "\u212b", "\u2126",
+        "a", "Word", "s", ".", ",", "!", ")", " ", " ", "\n", "'s", "12", "\u00b2", "\u0345", "\u1f88", "\u01c5", "\uac00", "\u1100\u1161", "\x1c", "<|endoftext|>",
+    ]
+    texts = ["\u0130\u0e49", "\u0130\u0e38", "\u0130. \u03a3", "a\u0323\u0130."]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randint(1, 12))) for _ in range(15_000)]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_files_of_an_empty_table(spark):
     folder = fresh_path(spark, "tokens")
     token_files.write_token_files(spark.createDataFrame([], SCHEMA), folder, WORD_BPE, end_id=1)
@@ -55,6 +68,10 @@ def test_round_trip_equals_the_library(spark):
     assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
 
 
+def test_round_trip_of_an_empty_table(spark):
+    assert bpe.round_trip(spark.createDataFrame([], SCHEMA), BYTE_BPE).collect() == []
+
+
 def test_ids_decode_to_the_text(spark):
     docs = spark.createDataFrame(DOCS, SCHEMA)
     back = bpe.decode_ids(bpe.encode_ids(docs, BYTE_BPE), BYTE_BPE)

@@ -36,6 +36,8 @@ MANIFEST = "part string, width int, n_docs long, n_null long, n_ids long, first_
 
 #: Below this code point letters have long been letters in every Unicode version.
 LATIN_END = "ɐ"
+#: Its lower case has a mark of its own, which normalisation moves among the marks that follow.
+DOTTED = "\u0130"
 TRAILING = ".,;:!?*&%$#)"
 
 
@@ -65,13 +67,13 @@ class WordEncoder:
             ids = [t.id for t in self.model.tokenize(mapped)]
         else:
             core = word.rstrip(TRAILING)
-            if core and core != word and core[-1].isalnum() and core[-1] < LATIN_END:
+            if core and core != word and core[-1].isalnum() and core[-1] < LATIN_END and core[-1] != DOTTED:
                 return self.memo[core] + self.memo[word[len(core):]]
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if "Σ" not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
+        if "Σ" not in text and DOTTED not in text and (text.isascii() or unicodedata.is_normalized("NFC", text)):
             text = text.lower()
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
         return b"".join(map(self.memo.__getitem__, filter(None, words)))
