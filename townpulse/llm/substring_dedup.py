@@ -131,7 +131,8 @@ def seen_before(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text and others) without repeated passages, and ``removed``."""
     columns = [c for c in docs.columns if c != "removed"]
-    rows = docs.select("doc_id", "text", F.struct(*columns).alias("row"))
+    others = [c for c in columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.struct(*others).alias("row"))
     rows = rows.join(seen_before(docs).withColumnRenamed("doc_id", "seen_id"), F.col("doc_id") == F.col("seen_id"), "left").select("row", "text", "seen")
     span = StructType([StructField("start", LongType()), StructField("end", LongType())])
 
