@@ -92,3 +92,44 @@ def test_components_of_a_long_path(spark):
     links = [(i, i + 1) for i in range(0, 100)] + [(i + 1000, i + 1001) for i in range(5)] + [(7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(101)}, **{i: 1000 for i in range(1000, 1006)}}
+
+
+def copies(draw, n, words, changed):
+    """``n`` copies of a text of ``words`` words, each with its own share of words changed."""
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        copy = base[:]
+        for i in draw.sample(range(words), int(words * changed)):
+            copy[i] = f"x{k}y{i}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_copies_below_the_threshold_are_not_paired(spark, monkeypatch):
+    """300 texts of a similarity between 0.6 and 0.79, and among them some that are linked."""
+    draw = random.Random(8)
+    texts = copies(draw, 300, 400, 0.06)
+    sets = [word_sets(t, 2) for t in texts]
+    alike = [len(a & b) / len(a | b) for a, b in (draw.sample(sets, 2) for _ in range(300))]
+    assert 0.6 < min(alike) and max(alike) < 0.79
+    texts += [t.replace("w5 ", "z ") for t in texts[:20]]
+    docs = [(i, t, "", "") for i, t in enumerate(texts)]
+    rows = spark.createDataFrame(docs, SCHEMA)
+    of = rows.selectExpr("doc_id AS id", "doc_id AS of")
+    pairs = {(r.u, r.v) for r in h.rare_pairs(rows, of, 2, 80).collect()}
+    assert {(i, 300 + i) for i in range(20)} <= pairs and len(pairs) < 100
+    monkeypatch.setattr(h, "LEADER_ROUNDS", 0)  # all is left to the last round
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in h.near_duplicates(rows, 2, 80).collect()}
+    assert got == brute(docs, 2, 80)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_rare_shingles_lose_no_link(spark, percent):
+    docs = corpus(30 + percent)
+    docs = [*docs, (docs[0][0], docs[1][1], "", ""), docs[3]]  # an id with two texts, a repeated row
+    rows = spark.createDataFrame(docs, SCHEMA)
+    pairs = {(r.u, r.v) for r in h.rare_pairs(rows, rows.selectExpr("doc_id AS id", "doc_id AS of"), 2, percent).collect()}
+    sets = [(i, word_sets(t, 2)) for i, t, *_ in docs]
+    links = {(i, j) for i, a in sets for j, b in sets if i < j and a and b and 100 * len(a & b) >= percent * len(a | b)}
+    assert links <= pairs

@@ -15,10 +15,13 @@ others are compared on their full sets.
 Texts of equal sets are one class, of which one text goes on. Links only matter for what
 they connect, so candidates are checked in rounds: first each text against the smallest
 id it shares a band with, then, in bands that still hold several components, against
-leaders that change from round to round, and at last all pairs of different components
-that share a band. After that no candidate pair inside one component was left out that
-could connect more, so the components are those of all links. No group is gathered in one
-task, and equal or already connected texts are never paired.
+leaders that change from round to round. Texts in bands that then still hold several
+components are compared by their rarest shingles: for a pair to be similar enough, one of
+the few rarest of the smaller set (counted among these texts) has to be among the rarest
+of the larger, and what is left of both behind it has to suffice. That loses no link, and
+texts that are merely alike share no rare shingle, so a group of them just below the
+threshold is not paired with itself. No group is gathered in one task, and equal or
+already connected texts are never paired.
 
 Nulls and ties: without words the set is empty and links nothing. Rows with a null doc_id
 keep their shingle count, are never linked, and count as kept. Rows sharing a doc_id are
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from townpulse.llm.common import map_batches
@@ -161,6 +164,44 @@ def _linked(width: int, percent: int):
     return run
 
 
+def _sets(width: int):
+    """Every text's shingles, with the size of its set and a key, as an id may have several."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, width) for t in batch.column(1).to_pylist()]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            keys = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            columns = [np.repeat(c, sizes) for c in (batch.column(0).to_numpy(), keys, sizes)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(tokens.view(np.int64))], ["id", "key", "n", "token"])
+
+    return run
+
+
+def rare_pairs(texts: DataFrame, of: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v): pairs of ``texts`` (doc_id, text) in different components (id, of) that may be similar enough.
+
+    The sets are ordered by how many of these texts hold a shingle. If two sets overlap
+    enough, the first shingle they share stands so early in the smaller set, and in the
+    larger, that enough of both follows; each is counted from the rarest on, those of one
+    text alone included.
+    """
+    own = texts.where("text is not null").join(of.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    tokens = stage(map_batches(own.select("doc_id", "text"), _sets(width), "id long, key long, n long, token long").distinct(), "shingles")
+    held = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    each = Window.partitionBy("id", "key")
+    place = F.col("n") - F.count("*").over(each) + F.row_number().over(each.orderBy("held", "token"))
+    needed = lambda total: F.floor((percent * total + percent + 99) / F.lit(100 + percent))  # noqa: E731  shingles in common, of two sizes' total
+    rare = tokens.join(held, "token").withColumn("place", place).where(F.col("place") <= F.col("n") - F.floor((percent * F.col("n") + 99) / F.lit(100)) + 1)
+    rare = stage(rare.join(of.select("id", "of").distinct(), "id").select("id", "n", "token", "place", "of"), "rare")
+    small = rare.where(F.col("place") <= F.col("n") - needed(2 * F.col("n")) + 1).alias("s")
+    s, p = (lambda c, x=x: F.col(f"{x}.{c}") for x in "sp")
+    enough = 1 + F.least(s("n") - s("place"), p("n") - p("place")) >= needed(s("n") + p("n"))
+    ordered = (s("n") < p("n")) | ((s("n") == p("n")) & (s("id") < p("id")))
+    found = small.join(rare.alias("p"), (s("token") == p("token")) & ordered & (100 * s("n") >= percent * p("n")) & (s("of") != p("of")) & enough)
+    return found.select(F.least(s("id"), p("id")).alias("u"), F.greatest(s("id"), p("id")).alias("v")).where("u <> v").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document (doc_id, text).
 
@@ -207,8 +248,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             leads = left.where(F.xxhash64("id", F.lit(round_no)) == F.col("draw")).select("band", "value", F.col("id").alias("v"), F.col("of").alias("of_v")).dropDuplicates(["band", "value"])
             pairs = left.join(leads, ["band", "value"]).where("of <> of_v").select(F.col("id").alias("u"), "v")
         else:
-            other = left.select("band", "value", F.col("id").alias("v"), F.col("of").alias("of_v"))
-            pairs = left.join(other, ["band", "value"]).where("of < of_v").select(F.col("id").alias("u"), "v")
+            pairs = rare_pairs(texts, left, width, percent)
         new = confirmed(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
         gained = new.count()
         leaders_help = gained > LEADERS_GAIN * left.count()
