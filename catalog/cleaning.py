@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.bindings import (
@@ -321,7 +322,7 @@ SELECT state, star, CAST(state = 'F' AS DOUBLE) AS is_f, coalesce(CAST(star = 3
        CAST(star IS NULL AS DOUBLE) AS is_nan, count(*) AS n FROM complaint_log GROUP BY ALL""")
 def x8_x9(spark, sf):
     log = complaint_log(spark, sf).select("state", "star")
-    values = categories.category_values(log, ["state", "star"])
+    values = categories.present_values(log, {"state": ["F", "O", "P"], "star": [1.0, 2.0, 3.0, 4.0, 5.0, None]})
     hot = categories.one_hot(log, values)
     decoded = hot.select(
         categories.decode_state(hot).alias("state"), categories.decode_star(hot.drop("star_nan")).alias("star"),
@@ -330,6 +331,20 @@ def x8_x9(spark, sf):
     return decoded.groupBy("state", "star", "is_f", "is_3", "is_nan").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("x9_sparse_vectors", f"""WITH {COMPLAINT_LOG},
+kept AS (SELECT ticket_id, newest, organization, state FROM complaint_log),
+labels AS (SELECT organization, row_number() OVER (ORDER BY organization) - 1 AS at, count(*) OVER () AS n FROM (SELECT DISTINCT organization FROM kept WHERE organization IS NOT NULL)),
+states AS (SELECT state, row_number() OVER (ORDER BY state) - 1 AS at FROM (SELECT DISTINCT state FROM kept))
+SELECT organization, CAST(coalesce(l.at, (SELECT max(n) FROM labels)) AS INT) AS organization_at, CAST(s.at AS INT) AS state_at, count(*) AS n
+FROM kept LEFT JOIN labels l USING (organization) JOIN states s USING (state) GROUP BY ALL""")
+def x9_vectors(spark, sf):
+    """Where the 1 of each sparse vector stands; no value is named and none is collected."""
+    log = complaint_log(spark, sf).select("organization", "state")
+    hot, _ = categories.one_hot_vector(log, ["organization", "state"])
+    at = lambda c: F.array_position(vector_to_array(f"{c}_vector"), F.lit(1.0)).cast("int") - 1
+    return hot.groupBy("organization", at("organization").alias("organization_at"), at("state").alias("state_at")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("x10_x11_time_parts", """
 SELECT event_id, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, CAST(isodow(ts) - 1 AS INT) AS day_of_week,
        CAST(hour(ts) AS INT) AS hour, CAST(isodow(ts) >= 6 AS INT) AS is_weekend FROM events""")

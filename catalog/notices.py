@@ -11,7 +11,7 @@ from townpulse.functions.text import NOTICE_REWRITES, SPACE, SPACE_CLASS, clean_
 from townpulse.plans import notices as plan
 from townpulse.sources.readers import spread
 
-_ITEM = "<li>"
+_ITEM = "li"
 
 
 def _sql_clean(text: str) -> str:
@@ -47,12 +47,12 @@ WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)(</artic
 t AS (SELECT page_id, list_transform(regexp_split_to_array(body, '<[^>]*>'), lambda x: trim(regexp_replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'), ' ' || chr(10) || chr(9) || chr(13))) AS parts FROM a)
 SELECT page_id, array_to_string(list_filter(parts, lambda x: length(x) > 0), chr(10)) AS content FROM t""")
 def x19(spark, sf):
-    return plan.page_texts(spread(table(spark, sf, "pages"), SPREAD), "article", None).select("page_id", "content")
+    return plan.page_texts(spread(table(spark, sf, "pages"), SPREAD), "article").select("page_id", "content")
 
 
 @query("x20_has_next_page", "SELECT page_id, regexp_matches(html, '<nav><ul>') AS has_next FROM pages")
 def x20(spark, sf):
-    return table(spark, sf, "pages").select("page_id", has_next_page(F.col("html"), "<nav><ul>").alias("has_next"))
+    return table(spark, sf, "pages").select("page_id", has_next_page(F.col("html"), "nav ul").alias("has_next"))
 
 
 @query("f19_skip_blank", f"SELECT doc_id FROM documents WHERE length(regexp_replace(text, '^{SPACE}+', '')) > 0")

@@ -263,3 +263,17 @@ def j9(spark, sf):
     days = table(spark, sf, "lineitem").filter("l_quantity = 50 AND l_discount = 0.1D").select(F.to_date("l_shipdate").alias("date"))
     rows = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
     return joins.flag_members(rows, days, "date", "flag", ["o_orderkey"]).select("o_orderkey", "flag")
+
+
+@query("a7_price_quantiles", """
+SELECT n_name AS district, count(l_extendedprice) AS n, round(quantile_cont(l_extendedprice::DOUBLE, 0.05), 6) AS q0,
+       round(quantile_cont(l_extendedprice::DOUBLE, 0.5), 6) AS q1, round(quantile_cont(l_extendedprice::DOUBLE, 0.95), 6) AS q2
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
+def a7_prices(spark, sf):
+    """Exact quantiles of a real-valued column per district."""
+    from townpulse.operators.quantiles import grouped_quantiles
+
+    places = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(places, F.col("o_custkey") == F.col("c_custkey"))
+    found = grouped_quantiles(rows.select(F.col("n_name").alias("district"), "l_extendedprice"), ["district"], "l_extendedprice", [0.05, 0.5, 0.95])
+    return found.select("district", "n", *[F.round(q, 6).alias(q) for q in ("q0", "q1", "q2")])

@@ -59,11 +59,16 @@ def s4(spark, sf):
 
 @query("s7_append_batches", "SELECT event_id, event_type, value FROM events")
 def s7(spark, sf):
+    """Three batches, one of them written twice with other rows first, and one that was never finished."""
     path = fresh_path(spark, "batches")
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    for i in range(3):
-        writers.append_batch(events.filter(F.col("event_id") % 3 == i), path)
-    return spark.read.parquet(path)
+    part = lambda i: events.filter(F.col("event_id") % 3 == i)
+    writers.commit_batch(part(0), path, "0")
+    writers.commit_batch(part(1).withColumn("value", -F.col("value")), path, "1")
+    writers.commit_batch(part(1), path, "1")
+    writers.commit_batch(part(2), path, "2")
+    writers.write_table(part(2), f"{path}/rows/batch=3/attempt=torn")
+    return readers.read_batches(spark, path, events.schema).drop("batch")
 
 
 def _paged(spark, sf):
@@ -138,11 +143,10 @@ def t1(spark, sf):
     source, sink, checkpoint = (fresh_path(spark, n) for n in ("t1-in", "t1-out", "t1-checkpoint"))
     days = _paged(spark, sf).select("outage_date", "announcement_url", "page")
     schema = "outage_date DATE, announcement_url STRING, page BIGINT, arrived TIMESTAMP"
-    for low, high in ((1, 5), (4, 10)):  # the second batch repeats pages of the first
+    for low, high, age in ((4, 7, 0), (1, 3, 40), (2, 10, 1)):  # the second comes 40 days late, the third repeats pages of both
         own = days.filter(F.col("page").between(low, high)).withColumn("page", F.col("page").cast("bigint"))
-        writers.append_batch(own.withColumn("arrived", F.current_timestamp()), source)
-        stream = streams.read_stream(spark, source, schema).drop("page")
-        streams.take_in(stream, sink, checkpoint).awaitTermination()
+        writers.append_batch(own.withColumn("arrived", F.date_sub(F.current_timestamp(), age).cast("timestamp")), source)
+        streams.take_in(streams.read_stream(spark, source, schema).drop("page", "arrived"), sink, checkpoint).awaitTermination()
     return spark.read.parquet(sink).select("outage_date", "announcement_url")
 
 
@@ -150,9 +154,10 @@ def t1(spark, sf):
 SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events
 GROUP BY 1, 2""")
 def t2(spark, sf):
+    """Events of all days in three batches, none of them in order."""
     source, sink, checkpoint = (fresh_path(spark, n) for n in ("t2-in", "t2-out", "t2-checkpoint"))
-    events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    writers.write_table(events, source)
-    counts = streams.daily_counts(streams.read_stream(spark, source, events.schema), "event_type")
-    streams.write_counts(counts, sink, checkpoint).awaitTermination()
-    return streams.read_counts(spark, sink, "event_type")
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    for i in (2, 0, 1):
+        writers.append_batch(events.filter(F.col("event_id") % 3 == i).drop("event_id"), source)
+        streams.add_counts(streams.read_stream(spark, source, "ts TIMESTAMP, event_type STRING"), "event_type", sink, checkpoint).awaitTermination()
+    return streams.added_counts(spark, sink, "event_type")

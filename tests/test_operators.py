@@ -226,3 +226,25 @@ def test_trees_isolate_the_outlier():
 def test_average_path_values():
     got = isolation_forest.average_path(np.array([0, 1, 2, 3, 256]))
     assert got == pytest.approx([0, 0, 1, 2 * (np.log(2) + isolation_forest.EULER_GAMMA) - 4 / 3, 10.244770920], rel=1e-6)
+
+
+def test_quantiles_per_group_equal_sorting(spark, monkeypatch):
+    import numpy as np
+
+    from townpulse.operators import quantiles
+
+    rng = random.Random(9)
+    rows = [(g, h, v) for g, h, n in (("a", 1, 4000), ("a", None, 700), (None, 2, 3), ("c", 1, 1), ("same", 1, 900)) for v in [rng.gauss(0, 9) if g != "same" else 5.0 for _ in range(n)]]
+    rows += [("a", 1, None), ("empty", 1, None)] + [("a", 1, 2.5)] * 1500
+    df = spark.createDataFrame(rows, "g STRING, h INT, v DOUBLE").repartition(4)
+    probabilities = [0.0, 0.05, 0.5, 0.953, 1.0]
+    want = {}
+    for g, h, v in rows:
+        if v is not None:
+            want.setdefault((g, h), []).append(v)
+    for small in (100_000, 50):
+        monkeypatch.setattr(quantiles, "SMALL", small)
+        got = quantiles.grouped_quantiles(df, ["g", "h"], "v", probabilities).collect()
+        assert {(r.g, r.h): r.n for r in got} == {k: len(v) for k, v in want.items()}
+        for r in got:
+            assert [r[f"q{i}"] for i in range(5)] == pytest.approx(np.quantile(want[r.g, r.h], probabilities).tolist())

@@ -193,16 +193,44 @@ def test_stream_drops_repeats_and_resumes(spark):
     assert sorted(r.announcement_url for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
 
 
-def test_intake_forgets_old_keys_and_still_drops_them(spark):
+def test_intake_takes_late_records_and_drops_known_ones(spark):
     source, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "ck"))
     schema = "outage_date DATE, announcement_url STRING, arrived TIMESTAMP"
-    batches = [(1, ["a", "a", "b"]), (20, ["c"]), (40, ["b", "d"]), (41, ["d", "a", "e"])]
-    for day, urls in batches:
-        rows = [(date(2024, 1, 1), u, datetime(2024, 1, 1) + timedelta(days=day)) for u in urls]
+    batches = [(40, 1, ["a", "a", "b"]), (20, 1, ["c"]), (1, 2, ["b", "d"]), (41, 1, ["d", "a", "e"]), (2, 1, ["late", "a"])]
+    for arrived, day, urls in batches:
+        rows = [(date(2024, 1, day), u, datetime(2024, 1, 1) + timedelta(days=arrived)) for u in urls]
         writers.append_batch(spark.createDataFrame(rows, schema), source)
-        query = streams.take_in(streams.read_stream(spark, source, schema), sink, checkpoint)
-        query.awaitTermination()
-    assert sorted(r.announcement_url for r in spark.read.parquet(sink).collect()) == ["a", "b", "c", "d", "e"]
+        streams.take_in(streams.read_stream(spark, source, schema), sink, checkpoint).awaitTermination()
+    got = sorted((r.outage_date.day, r.announcement_url) for r in spark.read.parquet(sink).collect())
+    assert got == [(1, u) for u in ("a", "b", "c", "d", "e", "late")] + [(2, "b"), (2, "d")]
+
+
+def test_late_events_add_to_their_day_once(spark):
+    source, sink, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "ck"))
+    schema, start = "ts TIMESTAMP, kind STRING", datetime(2024, 1, 1)
+    rows = [(start + timedelta(hours=7 * i), "ab"[i % 2]) for i in range(60)]
+    random.Random(1).shuffle(rows)
+    for part in (rows[:20], rows[20:45], [*rows[45:], (None, "a")]):
+        writers.append_batch(spark.createDataFrame(part, schema), source)
+        streams.add_counts(streams.read_stream(spark, source, schema), "kind", sink, checkpoint).awaitTermination()
+    again = spark.read.parquet(f"{sink}/batch=1")  # a batch that is run again replaces itself
+    again.persist().count()
+    again.write.mode("overwrite").parquet(f"{sink}/batch=1")
+    got = {(r.date, r.kind): r.n for r in streams.added_counts(spark, sink, "kind").collect()}
+    assert got == Counter((t.date(), k) for t, k in rows)
+
+
+def test_batches_count_whole_and_once(spark):
+    path, schema = fresh_path(spark, "batches"), "id INT, name STRING"
+    assert readers.read_batches(spark, path, schema).collect() == []
+    of = lambda *names: spark.createDataFrame([(i, n) for i, n in enumerate(names)], schema)
+    writers.commit_batch(of("a", "b"), path, "2024-01-01")
+    writers.commit_batch(of("c"), path, "7")
+    writers.write_table(of("torn"), f"{path}/rows/batch=8/attempt=x")  # its writer died before the ledger was written
+    writers.commit_batch(of("A"), path, "2024-01-01")
+    writers.write_table(of("torn"), f"{path}/rows/batch=7/attempt=y")
+    got = readers.read_batches(spark, path, schema)
+    assert got.columns == ["id", "name", "batch"] and sorted((r.batch, r.name) for r in got.collect()) == [("2024-01-01", "A"), ("7", "c")]
 
 
 def test_stream_counts_cover_all_days_and_resume(spark):

@@ -53,7 +53,7 @@ def test_one_hot_drop_first_unknown_and_null(spark):
     hot = categories.one_hot(df, {"c": ["a", "b", None]}, drop_first=True)
     assert hot.columns == ["c_b", "c_nan"]
     assert sorted(tuple(r) for r in hot.collect()) == [(0.0, 0.0), (0.0, 0.0), (0.0, 1.0), (1.0, 0.0)]
-    assert categories.category_values(df, ["c"]) == {"c": ["a", "b", "z", None]}
+    assert categories.present_values(df, {"c": ["a", "absent", "b", "z", None]}) == {"c": ["a", "b", "z", None]}
 
 
 def test_one_hot_vector_of_many_values(spark):
@@ -168,3 +168,73 @@ def test_phrases_cut_once(spark):
     assert got == ["a", "XaXb", "abc", "a\n", ""]
     plan = spark.range(1).select(text.clean_notice(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
     assert plan.count("cast(id") == 1
+
+
+def test_selectors_see_nesting_and_attributes_in_any_order(spark):
+    from townpulse.functions.html import Scan, Selector
+
+    page = (
+        "<!-- <div class='box'> --><DIV id=a class='x box'><ul><li><ul CLASS=\"in box\"><li><b>one</b> &lt;two</li></ul></li></ul>"
+        "<script>if (a < b) { '</div>' }</script><div title='a > b' class=box>inner<br>line</div></p> tail</div><div class=box>next</div>"
+    )
+    assert Scan(text="div.box")(page)[0] == "one\n<two\ninner\nline\ntail"
+    assert Scan(text="div.box div.box")(page)[0] == "inner\nline"
+    assert Scan(text="ul.box li")(page)[0] == "one\n<two"
+    assert [Scan(exists=s)(page)[2] for s in ("ul ul li", "li div", "b li", ".in b", "div ul.box", "ul.box.in, i", "i, b", "script li")] == [True, False, False, True, True, True, True, False]
+    items = "<ul><li>a<a name=n>no</a><a href='/1'>x</a><a href=/2>y</a><ul><li><a href=/3>z</a></ul></li><li>none</li></ul><a href=/4>out</a>"
+    assert Scan(items="li")(items)[1] == ["/1", "/3"]
+    assert Scan(items="ul li li")(items)[1] == ["/3"]
+    assert Scan(text="p", items="li", exists="ul a")(items + "<p>x")[:] == ("x", ["/1", "/3"], True)
+    assert Scan(text="p")("") == (None, [], False) and Scan(text="p")("<p>") == ("", [], False)
+    assert Selector("ul.a.b li").chains == [[("ul", frozenset("ab")), ("li", frozenset())]]
+
+
+def test_selectors_agree_with_a_walk_of_the_tree():
+    import random
+
+    from townpulse.functions.html import Scan
+
+    draw, names = random.Random(3), ["div", "ul", "li", "p"]
+
+    def build(depth):
+        tag, classes = draw.choice(names), draw.sample("abc", draw.randint(0, 2))
+        return tag, classes, [build(depth - 1) if depth and draw.random() < 0.6 else f"t{draw.randint(0, 99)}" for _ in range(draw.randint(0, 3))]
+
+    def markup(node):
+        if isinstance(node, str):
+            return f" {node} "
+        return f"<{node[0]} id=q class='{' '.join(node[1])}'>{'<br/>'.join(map(markup, node[2]))}</{node[0]}>"
+
+    def text(node):
+        return node if isinstance(node, str) else "\n".join(filter(None, map(text, node[2])))
+
+    def matches(node, chain, above=()):
+        if isinstance(node, str):
+            return []
+        path, steps = (*above, node), list(chain)
+        fits = lambda n, step: step[0] in ("", n[0]) and set(step[1]) <= set(n[1])
+        left = steps[:-1]
+        for a in above:
+            if left and fits(a, left[0]):
+                left = left[1:]
+        own = [node] if not left and fits(node, steps[-1]) else []
+        return own + [m for child in node[2] for m in matches(child, chain, path)]
+
+    for _ in range(300):
+        tree = ("div", [], [build(5) for _ in range(3)])
+        chain = [(draw.choice([*names, ""]), draw.sample("abc", draw.randint(0, 1))) for _ in range(draw.randint(1, 3))]
+        chain = [(tag or ("" if classes else "p"), classes) for tag, classes in chain]
+        selector = " ".join(tag + "".join("." + c for c in classes) for tag, classes in chain)
+        want = matches(tree, chain)
+        assert Scan(text=selector, exists=selector)(markup(tree)) == (text(want[0]) if want else None, [], bool(want)), (selector, markup(tree))
+
+
+def test_places_are_found_by_priority_and_in_order(spark):
+    from townpulse.functions.places import PlaceIndex
+
+    index = PlaceIndex(spark, {"Soi 5": "a", "Lat Phrao": "b", "Phrao": "c", "พระราม": "d", "soi 5": "later", "": "none"})
+    texts = ["LAT PHRAO 71 and soi 55, พระราม 9", "phrao", "none", "", None]
+    assert column(spark, texts, index.first_in(F.col("v"))) == ["a", "c", None, None, None]
+    got = column(spark, texts, index.all_in(F.col("v")))
+    assert [g and [tuple(x) for x in g] for g in got] == [[("Lat Phrao", "b"), ("Soi 5", "a"), ("พระราม", "d")], [("Phrao", "c")], [], [], None]
+    assert column(spark, texts[:1], PlaceIndex(spark, {}).first_in(F.col("v"))) == [None]

@@ -74,16 +74,19 @@ def one_hot(df: DataFrame, cols: dict[str, list], drop_first: bool = False) -> D
     return df.select(*[F.col(c) for c in df.columns if c not in cols], *encoded)
 
 
-def category_values(df: DataFrame, cols: list[str]) -> dict[str, list]:
-    """Sorted distinct values per column, nulls last: the names of wide columns.
+def present_values(df: DataFrame, named: dict[str, list]) -> dict[str, list]:
+    """Of the values the caller names per column, those that occur; ``None`` stands for null.
 
-    They reach the driver, as column names must; ``one_hot_vector`` needs no wide columns.
+    One pass that tells of each named value whether it is there, so columns of any number of
+    values are safe. For values nobody can name see ``one_hot_vector``.
     """
-    result = {}
-    for name in cols:
-        values = [r[0] for r in df.select(name).distinct().collect()]
-        result[name] = sorted(v for v in values if v is not None) + ([None] if None in values else [])
-    return result
+    hit = lambda c, v: F.col(c).isNull() if v is None else F.col(c) == F.lit(v)
+    checks = [(c, v) for c, values in named.items() for v in values]
+    if not checks:
+        return {c: [] for c in named}
+    row = df.agg(*[F.coalesce(F.bool_or(hit(c, v)), F.lit(False)).alias(f"_{i}") for i, (c, v) in enumerate(checks)]).first()
+    there = {(c, v): row[i] for i, (c, v) in enumerate(checks)}
+    return {c: [v for v in values if there[c, v]] for c, values in named.items()}
 
 
 def one_hot_vector(df: DataFrame, cols: list[str], suffix: str = "_vector") -> tuple[DataFrame, dict[str, list[str]]]:

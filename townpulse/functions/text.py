@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from townpulse.constants import NEWS_PATH, NOTICE_SITE, STOP_PHRASES
+from townpulse.functions.html import page_parts
+
+#: What tells a listing page that it is not the last.
+NEXT_PAGE = "ul.pagination li, div.pagination a"
 
 # Digits and whitespace in the Unicode sense, in a notation that Java and RE2 share.
 DIGIT = r"\p{Nd}"
@@ -67,35 +69,20 @@ def clean_notice(text: Column) -> Column:
     return F.array_join(F.filter(lines, lambda line: F.length(line) > 2), "\n")
 
 
-def first_links(html: Column, item_start: str, site: str = NOTICE_SITE, path: str = NEWS_PATH) -> Column:
-    """Distinct absolute links: the first link after each item's start tag, kept if it contains ``path``.
-
-    An item reaches to the next one, so elements nested before its link do no harm.
-    """
-    parts = F.split(html, item_start)
-    items = F.slice(parts, 2, F.size(parts))
-    hrefs = F.transform(items, lambda item: F.regexp_extract(item, r"(?i)<a\s[^>]*href=[\"']([^\"']*)[\"']", 1))
+def absolute_links(hrefs: Column, site: str = NOTICE_SITE, path: str = NEWS_PATH) -> Column:
+    """Distinct links that contain ``path``, those without a host put behind ``site``."""
     kept = F.array_distinct(F.filter(hrefs, lambda h: F.contains(h, F.lit(path))))
-    return F.transform(
-        kept, lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(site), h))
-    )
+    return F.transform(kept, lambda h: F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(site), h)))
 
 
-def class_tokens(tag: str, classes: str) -> str:
-    """Pattern of a start tag that has all the class names, in any order and among others."""
-    wanted = "".join(rf"(?=[^>]*\bclass=[\"'](?:[^\"']*\s)?{re.escape(c)}[\s\"'])" for c in classes.split())
-    return rf"(?i)<{tag}\b{wanted}[^>]*>"
+def first_links(html: Column, item: str, site: str = NOTICE_SITE, path: str = NEWS_PATH) -> Column:
+    """Distinct absolute links: the first link inside each element of the selector ``item``, kept if it contains ``path``."""
+    return absolute_links(page_parts(html, items=item)["links"], site, path)
 
 
-def has_next_page(html: Column, marker: str | None = None) -> Column:
-    """Whether the page has a list entry in a pagination list, or a link in a pagination box."""
-    if marker is not None:
-        return F.coalesce(html.rlike(marker), F.lit(False))
-    listed = F.regexp_extract_all(html, F.lit(rf"(?s){class_tokens('ul', 'pagination')}(.*?)(?:</ul|\z)"), F.lit(1))
-    # a box may hold further boxes, so its link is looked for up to the end of the page
-    boxed = F.regexp_extract_all(html, F.lit(rf"(?s){class_tokens('div', 'pagination')}(.*)"), F.lit(1))
-    found = F.exists(listed, lambda x: x.rlike(r"(?i)<li\b")) | F.exists(boxed, lambda x: x.rlike(r"(?is)\A(?:[^<]|<(?!/div))*?<a\b") | x.rlike(r"(?is)\A\s*<div\b.{0,4000}?<a\b"))
-    return F.coalesce(found, F.lit(False))
+def has_next_page(html: Column, selector: str = NEXT_PAGE) -> Column:
+    """Whether the page has an element of the selector: an entry of a pagination list, or a link in a pagination box."""
+    return F.coalesce(page_parts(html, exists=selector)["found"], F.lit(False))
 
 
 #: Decimal digits of other scripts, ten by ten from zero, that notices may be written in.
@@ -107,57 +94,6 @@ def ascii_digits(text: Column) -> Column:
     return F.translate(text, OTHER_DIGITS, "0123456789" * len(_ZEROS))
 
 
-class _BlockText(HTMLParser):
-    """Collects the stripped text nodes of the first matching element."""
-
-    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"}
-    HIDDEN = {"script", "style", "template"}
-
-    def __init__(self, tag: str, css_class: str | None):
-        super().__init__(convert_charrefs=True)
-        self.tag, self.css_class = tag, css_class
-        self.depth = 0
-        self.done = self.found = False
-        self.hidden = 0
-        self.parts: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        if self.done or tag in self.VOID:
-            return
-        if self.depth == 0:
-            classes = (dict(attrs).get("class") or "").split()
-            if tag == self.tag and (self.css_class is None or self.css_class in classes):
-                self.depth, self.found = 1, True
-            return
-        self.depth += tag == self.tag
-        self.hidden += tag in self.HIDDEN
-
-    def handle_endtag(self, tag):
-        if self.done or self.depth == 0:
-            return
-        self.hidden = max(0, self.hidden - (tag in self.HIDDEN))
-        self.depth -= tag == self.tag
-        self.done = self.depth == 0
-
-    def handle_data(self, data):
-        if self.depth and not self.done and not self.hidden and data.strip():
-            self.parts.append(data.strip())
-
-
-def _block_text(html: str | None, tag: str, css_class: str | None) -> str | None:
-    if html is None:
-        return None
-    parser = _BlockText(tag, css_class)
-    parser.feed(html)
-    parser.close()
-    return "\n".join(parser.parts) if parser.found else None
-
-
-def html_text(html: Column, tag: str = "div", css_class: str | None = "content-description") -> Column:
-    """Text of the first ``tag`` with ``css_class``, one line per text node; null if absent."""
-
-    @F.pandas_udf("string")
-    def extract(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda h: _block_text(h, tag, css_class), na_action="ignore")
-
-    return extract(html)
+def html_text(html: Column, selector: str = "div.content-description") -> Column:
+    """Text of the first element of ``selector``, one line per text node; null if absent."""
+    return page_parts(html, text=selector)["text"]

@@ -9,8 +9,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from townpulse.session import cut_lineage
+
 SMALL = 100_000
 SKETCH = 10_000
+#: Marks that a group's sketch is asked for.
+GRID = 200
 
 
 @dataclass
@@ -116,6 +120,62 @@ def column_quantiles(df: DataFrame, cols: list[str], probabilities: list[float])
     return result
 
 
+def grouped_quantiles(df: DataFrame, by: list[str], col: str, probabilities: list[float]) -> DataFrame:
+    """Exact quantiles per group, columns ``q0``, ``q1``, ... with linear interpolation, and ``n``; null values are left out.
+
+    The same narrowing as for a whole column, for all groups at once: a sketch per group and
+    rank gives an interval, rows outside are counted and dropped, and once no group has many
+    values left those are ranked. Intervals are a table with a row per group and rank that
+    is joined, not collected, so neither the groups nor their distinct values need be few.
+    """
+    rows = df.select(*by, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]
+    names = [f"_k{i}" for i in range(len(by))]
+    rows = rows.select(*keys, "_v")
+    sizes = cut_lineage(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
+    place = lambda p: (F.col("_n") - 1) * F.lit(float(p))
+    wanted = F.array_distinct(F.array(*[f(place(p)).cast("long") for p in probabilities for f in (F.floor, F.ceil)]))
+    # every wanted rank of every group, the interval that holds it, and the values below that
+    targets = sizes.select(*names, F.col("_n").alias("_left"), F.explode(wanted).alias("_rank"), F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"), F.lit(0).cast("long").alias("_below"))
+    targets = cut_lineage(targets)
+
+    def inside(targets: DataFrame) -> DataFrame:
+        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in names]
+        held = (F.col("_lo").isNull() | (F.col("r._v") >= F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("r._v") <= F.col("_hi")))
+        joined = rows.alias("r").join(targets.alias("t"), [*same, held]) if same else rows.alias("r").join(targets.alias("t"), held)
+        return joined.select(*[F.col(f"t.{k}").alias(k) for k in names], "t._rank", "t._below", "t._left", "r._v")
+
+    while not targets.filter(F.col("_left") > SMALL).isEmpty():
+        large, small = targets.filter(F.col("_left") > SMALL), targets.filter(F.col("_left") <= SMALL)
+        own = (F.col("_rank") - F.col("_below")) / F.col("_left")
+        each = [*names, "_rank", "_below", "_left"]
+        # the sketch takes fixed probabilities; the two marks around the rank are picked from an even grid of them
+        grid = [i / GRID for i in range(GRID + 1)]
+        marks = inside(large).groupBy(*each).agg(F.percentile_approx("_v", F.array(*map(F.lit, grid)), F.lit(SKETCH)).alias("_g"), F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+        at = F.floor(own * GRID).cast("int")
+        low, high = F.when(at >= 1, F.get("_g", at - 1)).otherwise(F.col("_a")), F.when(at + 2 <= GRID, F.get("_g", at + 2)).otherwise(F.col("_b"))
+        cuts = cut_lineage(marks.select(*each, low.alias("_lo2"), high.alias("_hi2")))
+        on = [F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in each]
+        counted = inside(large).alias("i").join(cuts.alias("c"), on).groupBy(*[F.col(f"c.{k}").alias(k) for k in [*each, "_lo2", "_hi2"]]).agg(
+            F.count_if(F.col("_v") < F.col("_lo2")).alias("_under"), F.count_if(F.col("_v").between(F.col("_lo2"), F.col("_hi2"))).alias("_within"))
+        narrowed = counted.select(*names, F.col("_within").alias("_left"), "_rank", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"), (F.col("_below") + F.col("_under")).alias("_below"), F.col("_left").alias("_had"))
+        narrowed = cut_lineage(narrowed)
+        # an interval of one value is known; one that no longer shrinks is ranked as it is
+        settled = (F.col("_lo") == F.col("_hi")) | (F.col("_left") >= F.col("_had"))
+        left = F.when(settled, F.lit(0)).otherwise(F.col("_left"))
+        targets = cut_lineage(small.unionByName(narrowed.withColumn("_left", left).drop("_had")))
+    counts = inside(targets).groupBy(*names, "_rank", "_below", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    upto = F.col("_below") + F.sum("_m").over(Window.partitionBy(*names, "_rank").orderBy("_v"))
+    found = counts.withColumn("_upto", upto).filter(F.col("_upto") > F.col("_rank")).groupBy(*names, "_rank").agg(F.min("_v").alias("_v"))
+    ranked = found.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
+    joined = sizes.alias("s").join(ranked.alias("f"), [F.col(f"s.{k}").eqNullSafe(F.col(f"f.{k}")) for k in names])
+    columns = []
+    for i, p in enumerate(probabilities):
+        low, high = (F.try_element_at("_at", f(place(p)).cast("long")) for f in (F.floor, F.ceil))
+        columns.append((low + (high - low) * (place(p) - F.floor(place(p)))).alias(f"q{i}"))
+    return joined.select(*[F.col(f"s.{k}").alias(c) for k, c in zip(names, by)], F.col("_n").alias("n"), *columns)
+
+
 def with_range_bucket(df: DataFrame, col: str, buckets: int, name: str = "bucket") -> DataFrame:
     """Number the ranges of a double column so that each holds about as many rows."""
     cuts = sorted(set(df.approxQuantile(col, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))

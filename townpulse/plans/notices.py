@@ -10,27 +10,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townpulse.constants import NEWS_PATH, NOTICE_SITE, NOTICE_SOURCE
+from townpulse.functions.html import page_parts
 from townpulse.functions.notice_text import day_sections, district_in, province_in, timed_events
-from townpulse.functions.text import class_tokens, first_links, has_next_page, html_text, is_blank
+from townpulse.functions.places import PlaceIndex
+from townpulse.functions.text import NEXT_PAGE, absolute_links, html_text, is_blank
 from townpulse.functions.times import iso_date, weekday_name
 from townpulse.operators.dedup import keep_first
 
-LISTING_ITEM = class_tokens("div", "col-sm-6 col-md-4 col-lg-4 mb-4")
+LISTING_ITEM = "div.col-sm-6.col-md-4.col-lg-4.mb-4"
 
 
 def listing_links(
-    pages: DataFrame, item_start: str = LISTING_ITEM, site: str = NOTICE_SITE, path: str = NEWS_PATH
+    pages: DataFrame, item: str = LISTING_ITEM, site: str = NOTICE_SITE, path: str = NEWS_PATH
 ) -> DataFrame:
-    """One row per link of a listing page, in page order, with the has-next flag."""
-    return pages.select(
-        "page_id", has_next_page(F.col("html")).alias("has_next"),
-        F.posexplode_outer(first_links(F.col("html"), item_start, site, path)).alias("position", "link"),
+    """One row per link of a listing page, in page order, with the has-next flag; a page is scanned once."""
+    parts = pages.select("page_id", page_parts(F.col("html"), items=item, exists=NEXT_PAGE).alias("p"))
+    return parts.select(
+        "page_id", F.coalesce("p.found", F.lit(False)).alias("has_next"),
+        F.posexplode_outer(absolute_links(F.col("p.links"), site, path)).alias("position", "link"),
     ).filter(F.col("position").isNotNull())
 
 
-def page_texts(pages: DataFrame, tag: str = "div", css_class: str | None = "content-description") -> DataFrame:
+def page_texts(pages: DataFrame, selector: str = "div.content-description") -> DataFrame:
     """Notice text of each page; pages without the element are left out."""
-    return pages.withColumn("content", html_text(F.col("html"), tag, css_class)).filter(F.col("content").isNotNull())
+    return pages.withColumn("content", html_text(F.col("html"), selector)).filter(F.col("content").isNotNull())
 
 
 def notice_days(notices: DataFrame, url: str = "announcement_url", text: str = "content", keep: list[str] = ()) -> DataFrame:
@@ -63,6 +66,17 @@ def extract_events(days: DataFrame, keep: list[str] = ()) -> DataFrame:
     )
 
 
+def place_events(events: DataFrame, index: PlaceIndex, location: str = "location") -> DataFrame:
+    """One row per place that the index finds in an event's location: place_no, place and its district.
+
+    An event without a known place keeps its row, with nulls.
+    """
+    columns = [F.col(c) for c in events.columns if c not in ("place_no", "place", "district")]
+    return events.select(*columns, F.posexplode_outer(index.all_in(F.col(location))).alias("place_no", "p")).select(
+        *columns, "place_no", F.col("p.place").alias("place"), F.col("p.value").alias("district")
+    )
+
+
 def page_summary(days: DataFrame) -> DataFrame:
     """Records over all pages and their mean per page."""
     return days.groupBy("page").agg(F.count(F.lit(1)).alias("n")).agg(

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from townpulse.sources.writers import LEDGER
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str, multi_line: bool = False) -> DataFrame:
     """CSV with a header; empty text is null. A missing path raises AnalysisException.
@@ -47,6 +49,24 @@ def union_csv(spark: SparkSession, paths: list[str], multi_line: bool = False) -
     return united
 
 
+def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows of a table of committed batches, with ``batch``; see ``writers.commit_batch``.
+
+    The attempts that count are few lines, and their folders are all that is read. Without a
+    table there are no rows.
+    """
+    kept = StructType(schema.fields) if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    folders = StructType([*kept.fields, StructField("batch", StringType()), StructField("attempt", StringType())])
+    try:
+        ledger = spark.read.schema(LEDGER).json(f"{path}/ledger")
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], folders).drop("attempt")
+        raise
+    latest = ledger.groupBy("batch").agg(F.max_by("attempt", F.struct("at", "attempt")).alias("attempt"))
+    return spark.read.schema(folders).parquet(f"{path}/rows").join(latest, ["batch", "attempt"]).select(*kept.names, "batch")
+
+
 def page_range(df: DataFrame, start: int = 1, stop: int | None = None, max_pages: int | None = None, col: str = "page") -> DataFrame:
     """Pages ``start`` to ``stop`` (included), at most ``max_pages``; prunes a table partitioned by page."""
     df = df.filter(F.col(col) >= start)

@@ -33,26 +33,30 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def take_in(
-    stream: DataFrame, path: str, checkpoint: str, keys: list[str] = ("outage_date", "announcement_url"),
-    arrived: str = "arrived", late: str = "7 days", day: str = "outage_date",
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str] = ("outage_date", "announcement_url"), day: str = "outage_date",
 ) -> StreamingQuery:
-    """Append the first record per key to a table, with state that forgets keys after ``late``.
+    """Append the first record per key to a table, however late it comes.
 
-    Keys older than the state are found in the table itself, of which a batch reads only its
-    own days. A batch goes to a folder of its own and is overwritten when it is repeated.
+    The table itself says which keys are known, so there is no state to bound and no
+    watermark to fall behind: the rows of a batch meet the stored keys of their own days,
+    of which the table's partitions are all that is read. A batch goes to a folder of its
+    own and is overwritten when it is repeated; batches after it are not looked at then.
     """
     spark, keys = stream.sparkSession, list(keys)
 
     def write(batch: DataFrame, number: int) -> None:
-        first = batch.drop(arrived).dropDuplicates(keys)
-        known = _earlier(spark, path, number)
-        if known is not None:
-            span = batch.agg(F.min(day), F.max(day)).first()
-            first = first.join(known.filter(F.col(day).between(*map(F.lit, span))).select(*keys), keys, "left_anti")
-        first.write.mode("overwrite").partitionBy(day).parquet(f"{path}/batch={number}")
+        first = batch.dropDuplicates(keys).persist()
+        try:
+            known = _earlier(spark, path, number)
+            fresh = first
+            if known is not None:
+                days = first.select(day).distinct()
+                fresh = first.join(known.join(days, day, "left_semi").select(*keys), keys, "left_anti")
+            fresh.write.mode("overwrite").partitionBy(day).parquet(f"{path}/batch={number}")
+        finally:
+            first.unpersist()
 
-    fresh = stream.withWatermark(arrived, late).dropDuplicatesWithinWatermark(keys)
-    return fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def _earlier(spark: SparkSession, path: str, number: int) -> DataFrame | None:
@@ -65,7 +69,10 @@ def _earlier(spark: SparkSession, path: str, number: int) -> DataFrame | None:
 
 
 def daily_counts(stream: DataFrame, by: str, ts: str = "ts", late: str = "1 day") -> DataFrame:
-    """Counts per day and key; a day is forgotten once the watermark has passed it."""
+    """Counts per day and key; a day is closed once the watermark has passed it, and later events of it are left out.
+
+    For counts that late events still change see ``add_counts``.
+    """
     return (
         stream.withWatermark(ts, late).groupBy(F.window(ts, "1 day"), by)
         .agg(F.count(F.lit(1)).alias("n"))
@@ -73,6 +80,24 @@ def daily_counts(stream: DataFrame, by: str, ts: str = "ts", late: str = "1 day"
     )
 
 
+def add_counts(stream: DataFrame, by: str, path: str, checkpoint: str, ts: str = "ts") -> StreamingQuery:
+    """Store what each batch adds to the counts per day and key; late events add to their day like others.
+
+    A batch's own counts go to a folder named by it, so a repeated batch replaces itself and
+    nothing is counted twice. Without a window to close there is neither state nor watermark.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        dated = batch.select(F.to_date(ts).alias("date"), by).filter(F.col("date").isNotNull())
+        dated.groupBy("date", by).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def added_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """The counts per day and key that all batches of ``add_counts`` come to."""
+    return spark.read.parquet(path).groupBy("date", by).agg(F.sum("n").alias("n"))
+
+
 def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write each batch's changed counts to a folder of its own, so a repeated batch replaces itself."""
     def write(batch: DataFrame, number: int) -> None:
@@ -85,5 +110,5 @@ def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuer
 
 
 def read_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
-    """The latest count per day and key, of all days, finished or not."""
+    """The latest count per day and key, of all days, closed or not."""
     return spark.read.parquet(path).groupBy("date", by).agg(F.max_by("n", "batch").alias("n"))
