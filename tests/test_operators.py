@@ -248,3 +248,22 @@ def test_quantiles_per_group_equal_sorting(spark, monkeypatch):
         assert {(r.g, r.h): r.n for r in got} == {k: len(v) for k, v in want.items()}
         for r in got:
             assert [r[f"q{i}"] for i in range(5)] == pytest.approx(np.quantile(want[r.g, r.h], probabilities).tolist())
+
+
+def test_scratch_tables_are_deleted_and_others_stay(spark):
+    from pyspark.errors import AnalysisException
+
+    from townpulse.session import fresh_path, scratch, stage
+
+    lasting = fresh_path(spark, "lasting")
+    with scratch(spark):
+        with scratch(spark):
+            inner = stage(spark.range(3), "inner")
+        outer = stage(spark.range(4), "outer")
+        outer.write.parquet(lasting)
+        gone = [f.rsplit("/", 1)[0] for f in (*inner.inputFiles(), *outer.inputFiles())]
+    after = stage(spark.range(5), "after")
+    assert spark.read.parquet(lasting).count() == 4 and after.count() == 5
+    for path in set(gone):
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(path)

@@ -7,6 +7,8 @@ import re
 import tempfile
 import zipfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +48,30 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Paths handed out inside each open ``scratch``, the innermost last.
+_OPEN: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end; what is to last has its path from before."""
+    own: list[str] = []
+    _OPEN.append(own)
+    try:
+        yield
+    finally:
+        _OPEN.remove(own)
+        for name in own:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
