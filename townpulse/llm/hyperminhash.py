@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from townpulse.llm.common import map_batches
 from townpulse.llm.components import components
-from townpulse.session import stage
+from townpulse.session import fresh_path, scratch, stage
 
 BUCKETS, MANTISSA, ROWS = 128, 10, 4
 BANDS = BUCKETS // ROWS
@@ -202,14 +202,8 @@ def rare_pairs(texts: DataFrame, of: DataFrame, width: int, percent: int) -> Dat
     return found.select(F.least(s("id"), p("id")).alias("u"), F.greatest(s("id"), p("id")).alias("v")).where("u <> v").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document (doc_id, text).
-
-    Documents are linked if 100 * |A and B| >= ``percent`` * |A or B| on their sets of
-    ``width``-word shingles; a component is named by its smallest doc_id, which is kept.
-    """
-    docs = docs.select("doc_id", "text")
-    sketches = stage(map_batches(docs, _sketches(width), "doc_id long, n_shingles long, a long, b long, registers binary"), "sketches")
+def _find(docs: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component) of the documents that are linked with any."""
     usable = sketches.where("doc_id is not null and n_shingles > 0")
     classes = usable.groupBy("a", "b").agg(F.min("doc_id").alias("class"))  # equal sets
     members = stage(usable.select("doc_id", "a", "b").join(classes, ["a", "b"]).select("doc_id", "class").distinct(), "members")
@@ -257,6 +251,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             found = stage(components(new.union(known)), "components")
         if last_round:
             break
+    return found
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document (doc_id, text).
+
+    Documents are linked if 100 * |A and B| >= ``percent`` * |A or B| on their sets of
+    ``width``-word shingles; a component is named by its smallest doc_id, which is kept.
+    """
+    docs = docs.select("doc_id", "text")
+    sketches = stage(map_batches(docs, _sketches(width), "doc_id long, n_shingles long, a long, b long, registers binary"), "sketches")
+    named_path = fresh_path(docs.sparkSession, "named")
+    with scratch(docs.sparkSession):
+        _find(docs, sketches, width, percent).write.parquet(named_path)
+    found = docs.sparkSession.read.schema("id long, component long").parquet(named_path)
     named = found.select(F.col("id").alias("doc_id"), F.col("component").alias("component_id")).where("doc_id <> component_id")
     out = sketches.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
