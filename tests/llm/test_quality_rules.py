@@ -1,5 +1,6 @@
 """Statistics and decision list against plain Python."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -81,3 +82,79 @@ def test_filter_keeps_all_columns(spark, corpus):
 def test_main_path_is_native(spark, corpus):
     plan = q.judge(spark.createDataFrame(corpus, SCHEMA), spark.createDataFrame([], "doc_id long, quality int"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+COUNTED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_marks long"
+
+
+def counted(draw, i, n_words):
+    return (i, n_words, 5 * n_words, draw.choice([0, 0, 0, 3, 9]), 0, 0, 10, draw.randint(0, n_words), draw.randint(0, 40))
+
+
+def plain_covering(rows):
+    """Sequential covering row by row; ``rows`` are (features, bad, prune)."""
+    names = list(q.FEATURES)
+    points = sorted({(2 * i + 1) / (2 * q.EDGES) for i in range(q.EDGES)} | set(q.TAILS) | {1 - x for x in q.TAILS})
+    edges = {}
+    for f in names:
+        edges[f] = set()
+        for label in (0, 1):
+            own = sorted(x[f] for x, bad, _ in rows if bad == label)
+            edges[f] |= {own[max(0, math.ceil(round(p * len(own), 9)) - 1)] for p in points}
+    least = max(q.LEAST_BAD, q.LEAST_SHARE * sum(bad for _, bad, _ in rows))
+
+    def covered(rule, x):
+        return all((x[c.feature] > c.threshold) == c.above for c in rule)
+
+    def count(own):
+        return sum(b for _, b, _ in own), sum(1 - b for _, b, _ in own)
+
+    rules, aside = [], []
+    while True:
+        left = [r for r in rows if not any(covered(rule, r[0]) for rule in rules)]
+        own = [r for r in left if not r[2] and not any(covered(rule, r[0]) for rule in aside)]
+        rule = ()
+        while True:
+            p0, n0 = count(own)
+            best = None
+            for f in names if p0 and n0 else ():
+                for x in sorted(edges[f]):
+                    for above in (False, True):
+                        p, n = count([r for r in own if (r[0][f] > x) == above])
+                        gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p >= least else 0
+                        if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                            best = gain, q.Condition(f, above, x)
+            if best is None:
+                break
+            rule = (*rule, best[1])
+            own = [r for r in own if covered(rule, r[0])]
+        if not rule or p0 < q.LEAST_PRECISION * (p0 + n0):
+            return rules
+        held = [count([r for r in left if r[2] and covered(rule[:k], r[0])]) for k in range(1, len(rule) + 1)]
+        k = max(range(len(held)), key=lambda i: ((held[i][0] - held[i][1]) / max(1, sum(held[i])), -i))
+        if held[k][0] < least / 2 or held[k][0] < q.LEAST_PRECISION * sum(held[k]):
+            aside.append(rule)
+        else:
+            rules.append(rule[:k + 1])
+
+
+def test_rules_equal_a_plain_covering(spark):
+    draw = random.Random(9)
+    rows = [counted(draw, i, draw.randint(20, 400)) for i in range(700)]
+    labels = [(r[0], int(not (r[3] == 9 or 100 < r[1] <= 160 or r[8] > 30 and draw.random() < 0.7))) for r in rows]
+    stats, marked = spark.createDataFrame(rows, COUNTED), spark.createDataFrame(labels, "doc_id long, quality int")
+    rules = q.learn(stats, marked)
+    third = F.pmod(F.xxhash64("doc_id", F.lit("prune")), F.lit(3)) == 0
+    table = stats.join(marked, "doc_id").select("quality", third.alias("prune"), *(q.feature(f).alias(f) for f in q.FEATURES)).collect()
+    assert len(rules) > 1 and rules == plain_covering([(r.asDict(), 1 - r.quality, r.prune) for r in table])
+
+
+def test_as_many_rules_as_there_are_kinds(spark):
+    draw = random.Random(5)
+    rows = [counted(draw, i, draw.randint(20, 819)) for i in range(6_000)]
+    labels = [(r[0], int(r[1] // 40 % 2)) for r in rows]
+    stats = spark.createDataFrame(rows, COUNTED)
+    rules = q.learn(stats, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert len(rules) > 8
+    kept, truth = {r.doc_id: r.kept for r in q.judged(stats, rules).collect()}, dict(labels)
+    assert sum(kept[i] == bool(truth[i]) for i in truth) > 0.85 * len(truth)

@@ -4,9 +4,11 @@
 turns labelled statistics into an ordered list of rules by sequential covering: a rule for
 bad documents is grown condition by condition (the one with the greatest information gain
 on two thirds of the rows), its tail is pruned on the other third, the documents it covers
-are set aside, and the next rule is grown on the rest. Each step needs only counts per
-feature and threshold, which Spark adds up over all labelled rows; no rows reach the
-driver. ``verdict`` writes the list as one ordered conditional expression.
+are set aside, and the next rule is grown on the rest. A rule that fails on the other
+third is left out and its documents are set aside for growing alone, so later rules get
+their turn. Covering ends when no rule of enough support and precision can be grown; rules
+and their conditions have no largest number. Each step needs only counts per feature and
+threshold, which Spark adds up over all labelled rows; no rows reach the driver. ``verdict`` writes the list as one ordered conditional expression.
 
 A word is a run without white space. Base checks come before the learned list: too few
 words, or too large a part of them within repeated windows of eight words.
@@ -45,8 +47,12 @@ FEATURES = {
     "marks_per_word": "n_marks / n_words",
     "words": "double(n_words)",
 }
-EDGES = 32  # thresholds that each label's rows give a feature
-MOST_RULES, MOST_CONDITIONS, LEAST_PRECISION = 8, 4, 0.8
+#: Quantiles at which each label's rows give a feature a threshold: even steps, and closer ones
+#: at both ends, where a rare kind of document has its border.
+EDGES = 32
+TAILS = (0.001, 0.0025, 0.005, 0.0075)
+#: A rule must cover so many bad documents, or this share of them if that is more, and be so precise.
+LEAST_BAD, LEAST_SHARE, LEAST_PRECISION = 5, 0.001, 0.8
 
 
 def _without(text: Column, letters: str) -> Column:
@@ -137,7 +143,7 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
     """
     names = list(FEATURES)
     rows = stats.where(~base_failed()).select("doc_id", *(feature(f).alias(f) for f in names)).join(labels.where("quality in (0, 1)").select("doc_id", "quality"), "doc_id")
-    points = [(2 * i + 1) / (2 * EDGES) for i in range(EDGES)]
+    points = sorted({(2 * i + 1) / (2 * EDGES) for i in range(EDGES)} | set(TAILS) | {1 - x for x in TAILS})
     found = rows.groupBy("quality").agg(F.count("*").alias("n"), *(F.percentile_approx(f, points, 2_000).alias(f) for f in names)).collect()
     if len(found) < 2:
         return []
@@ -155,46 +161,52 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
         return _all([holds(c) for c in rule])
 
     rules: list[Rule] = []
+    set_aside: list[Rule] = []
     total = next(r.n for r in found if r.quality == 0)
-    while len(rules) < MOST_RULES:
+    least = max(LEAST_BAD, LEAST_SHARE * total)
+    while True:
         left = binned.where(_all([~covers(r) for r in rules]))
-        rule = _grow(left.where("not prune"), names, edges, covers)
+        growing = left.where("not prune").where(_all([~covers(r) for r in set_aside]))
+        rule = _grow(growing, names, edges, covers, least)
         if not rule:
-            break
+            return rules
         tails = [rule[:k] for k in range(1, len(rule) + 1)]
         held = left.where("prune").agg(*(F.coalesce(F.sum(F.when(covers(t), F.col(c))), F.lit(0)).alias(f"{c}{k}") for k, t in enumerate(tails) for c in ("bad", "good"))).first()
         worth = [((held[f"bad{k}"] - held[f"good{k}"]) / max(1, held[f"bad{k}"] + held[f"good{k}"]), -k) for k in range(len(tails))]
         k = -max(worth)[1]
-        if held[f"bad{k}"] < max(1, total / 1_000) or held[f"bad{k}"] < LEAST_PRECISION * (held[f"bad{k}"] + held[f"good{k}"]):
-            break
-        rules.append(tails[k])
-    return rules
+        if held[f"bad{k}"] < least / 2 or held[f"bad{k}"] < LEAST_PRECISION * (held[f"bad{k}"] + held[f"good{k}"]):
+            set_aside.append(rule)
+        else:
+            rules.append(tails[k])
 
 
-def _grow(rows: DataFrame, names: list[str], edges: dict[str, list[float]], covers) -> Rule:
-    """Add the condition of greatest gain until no good document is covered or nothing is gained."""
+def _grow(rows: DataFrame, names: list[str], edges: dict[str, list[float]], covers, least: float) -> Rule:
+    """Add the condition of greatest gain until no good document is covered or nothing is gained.
+
+    Every condition leaves ``least`` bad documents covered. A rule that ends below the
+    precision asked for is none.
+    """
     rule: Rule = ()
-    while len(rule) < MOST_CONDITIONS:
+    while True:
         cells = F.explode(F.array(*(F.struct(F.lit(i).alias("f"), F.col(f).alias("bin")) for i, f in enumerate(names))))
         counts = rows.where(covers(rule)).select("bad", "good", cells.alias("c")).groupBy("c.f", "c.bin").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect()
         bad, good = (sum(r[c] for r in counts if r.f == 0) for c in ("bad", "good"))
-        if not bad or not good:
-            break
-        before, best = math.log2(bad / (bad + good)), None
-        for i, f in enumerate(names):
-            cell = {r.bin: (r.bad, r.good) for r in counts if r.f == i}
-            low_bad = low_good = 0
-            for k, x in enumerate(edges[f]):
-                b, g = cell.get(k, (0, 0))
-                low_bad, low_good = low_bad + b, low_good + g
-                for above, p, q in ((False, low_bad, low_good), (True, bad - low_bad, good - low_good)):
-                    gain = p * (math.log2(p / (p + q)) - before) if p else 0.0
-                    if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
-                        best = (gain, Condition(f, above, x))
+        best = None
+        if bad and good:
+            before = math.log2(bad / (bad + good))
+            for i, f in enumerate(names):
+                cell = {r.bin: (r.bad, r.good) for r in counts if r.f == i}
+                low_bad = low_good = 0
+                for k, x in enumerate(edges[f]):
+                    b, g = cell.get(k, (0, 0))
+                    low_bad, low_good = low_bad + b, low_good + g
+                    for above, p, q in ((False, low_bad, low_good), (True, bad - low_bad, good - low_good)):
+                        gain = p * (math.log2(p / (p + q)) - before) if p >= least else 0.0
+                        if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                            best = (gain, Condition(f, above, x))
         if best is None or best[1] in rule:
-            break
+            return rule if bad >= LEAST_PRECISION * (bad + good) else ()
         rule = (*rule, best[1])
-    return rule
 
 
 def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
