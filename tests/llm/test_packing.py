@@ -70,3 +70,21 @@ def test_counts_and_empty(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "one two"), (None, "x")], "doc_id long, text string")
     assert {r.doc_id: r.n_tokens for r in p.token_counts(docs, vocabulary("word_bpe_49k.json")).collect()} == {1: 1, 2: 1, 3: 3, None: 2}
     assert p.place(p.token_counts(docs.limit(0), vocabulary("word_bpe_49k.json"))).count() == 0
+
+
+def test_bins_do_not_hang_on_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(p, "REPEATS", 4)
+    draw = random.Random(6)
+    rows = [(draw.choice([None, *range(150)]), draw.choice([1, 5, 9, 31, 33, 100])) for _ in range(400)] + [(None, 7)] * 50
+    found = []
+    for k in (1, 7, 64):
+        draw.shuffle(rows)
+        counts = spark.createDataFrame(rows, "doc_id long, n_tokens long").repartition(k)
+        found.append(sorted(map(repr, p.bins(p.place(counts, LENGTHS, shard=100)).collect())))
+    assert found[0] == found[1] == found[2] and sum(n for _, n in rows) == p.place(counts, LENGTHS).agg({"n_tokens": "sum"}).first()[0]
+
+
+def test_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "word " * 300_000), (2, "x" * 500_000)], "doc_id long, text string")
+    counts = {r.doc_id: r.n_tokens for r in p.token_counts(docs, vocabulary("word_bpe_49k.json")).collect()}
+    assert counts[1] == 300_001 and counts[2] > 1

@@ -8,12 +8,13 @@ come as fit besides. A bin costs its length, a fixed amount, and a share that gr
 the square of the length, as attention does. When all pieces are placed, each bin shrinks
 to the smallest permitted length that holds its contents.
 
-Pieces are dealt to shards of about ``SHARD`` pieces by a hash of their row, and shards are
-packed independently, so no task sees more than a bounded part; of so many pieces hardly
-a bin per shard stays open.
+Pieces are dealt to shards of about ``SHARD`` pieces by a hash of doc_id, number of tokens,
+start, and a number among rows that agree in these, and shards are packed independently,
+so no task sees more than a bounded part; of so many pieces hardly a bin per shard stays
+open. The bins depend on the rows alone, not on how the table is partitioned.
 
 Nulls and ties: a null or empty text is one token long, its end id. Pieces of equal size
-are placed in order of doc_id, start and row; null ids come first. Repeated rows are packed
+are placed in order of doc_id, start, tokens and number; null ids come first. Repeated rows are packed
 as often as they occur. An empty table gives no bins. Other columns are ignored.
 """
 
@@ -34,6 +35,7 @@ from townpulse.session import stage
 
 LENGTHS = (512, 1024, 2048, 4096)
 SHARD = 10_000
+REPEATS = 1_000  # equal rows are numbered in blocks of so many
 #: Cost of a bin in tokens, and the length at which attention costs as much as the rest.
 BIN_COST, ATTENTION = 64, 32_768
 
@@ -83,6 +85,18 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a number ``row`` among equal ones, from their counts: no group is gathered.
+
+    A count is dealt out in blocks over the tasks before its rows are made again.
+    """
+    counts = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    blocks = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(REPEATS).cast("long"))).alias("_from"))
+    blocks = blocks.repartition(F.xxhash64(*rows.columns, "_from"))
+    last = F.least(F.col("_from") + REPEATS, F.col("_n")) - 1
+    return blocks.select(*rows.columns, F.explode(F.sequence("_from", last)).alias("row"))
+
+
 def place(counts: DataFrame, lengths: Sequence[int] = LENGTHS, shard: int = SHARD) -> DataFrame:
     """Where each piece of ``counts`` (doc_id, n_tokens) goes.
 
@@ -91,14 +105,14 @@ def place(counts: DataFrame, lengths: Sequence[int] = LENGTHS, shard: int = SHAR
     """
     longest = max(lengths)
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1, F.lit(longest).cast("long")))
-    rows = counts.where("n_tokens > 0").select("doc_id", F.col("n_tokens").alias("all"), F.monotonically_increasing_id().alias("row"))
-    pieces = rows.select("doc_id", "row", "all", starts.alias("start")).select("doc_id", "row", "start", F.least(F.lit(longest), F.col("all") - F.col("start")).cast("long").alias("n_tokens"))
+    rows = _numbered(counts.where("n_tokens > 0").select("doc_id", F.col("n_tokens").alias("all")))
+    pieces = rows.select("doc_id", "row", "all", starts.alias("start")).select("doc_id", "row", "all", "start", F.least(F.lit(longest), F.col("all") - F.col("start")).cast("long").alias("n_tokens"))
     pieces = stage(pieces, "pieces")
     shards = max(1, math.ceil(pieces.count() / shard))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("row", "start"), F.lit(shards)))
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "all", "start", "row"), F.lit(shards)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_tokens", "doc_id", "start", "row"], ascending=[False, True, True, True], na_position="first", kind="stable")
+        group = group.sort_values(["n_tokens", "doc_id", "start", "all", "row"], ascending=[False, True, True, True, True], na_position="first", kind="stable")
         bins, offsets, sizes = pack(group["n_tokens"].tolist(), lengths)
         number = int(group["shard"].iloc[0]) << 32
         out = group[["doc_id", "start", "n_tokens"]].copy()
