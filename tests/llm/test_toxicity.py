@@ -74,3 +74,23 @@ def test_without_labels_or_rows(spark):
     one = x.score(docs, x.fit(docs, spark.createDataFrame([(i, 0) for i, _ in labels], schema))).collect()
     assert {r.predicted for r in one} == {0}
     assert x.score(docs.limit(0), x.fit(docs.limit(0), spark.createDataFrame(labels, schema))).count() == 0
+
+
+def test_lexicon_has_no_largest_size(spark):
+    """Every word of enough evidence is an entry, however many there are; words that fall on both labels alike are none."""
+    words = [(f"bad{i}", 0, 6) for i in range(3_000)] + [(f"rare{i}", 0, 4) for i in range(50)] + [(f"plain{i}", 60, 7) for i in range(500)]
+    counts = spark.createDataFrame([w for w in words if w[2] >= x.LEAST_COUNT], "feature string, other long, toxic long")
+    lexicon = x._lexicon(counts, {0: 9_000, 1: 1_000})
+    assert set(lexicon) == {f"bad{i}" for i in range(3_000)} and set(lexicon.values()) == {1 + (np.log(6.5 / 1_001 / (0.5 / 9_001)) >= x.LEVELS[1])}
+
+
+def test_evidence_is_chernoffs_bound(spark):
+    rows = [(f"w{a}-{b}", a, b) for a in range(0, 12) for b in range(5, 40, 3)]
+    n = {0: 5_000, 1: 700}
+    want, p = set(), n[1] / sum(n.values())
+    for f, a, b in rows:
+        share, every = b / (a + b), a + b
+        divergence = share * np.log(share / p) + ((1 - share) * np.log((1 - share) / (1 - p)) if a else 0.0)
+        if len(rows) * np.exp(-every * divergence) <= x.BY_CHANCE and np.log((b + 0.5) / (n[1] + 1) / ((a + 0.5) / (n[0] + 1))) >= np.log(x.LEAST_RATIO):
+            want.add(f)
+    assert want and set(x._lexicon(spark.createDataFrame(rows, "feature string, other long, toxic long"), n)) == want

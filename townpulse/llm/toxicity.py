@@ -2,7 +2,7 @@
 
 The corpus has labels per document only. Over all training documents, words and their
 first four, five and six letters are counted in toxic and in other documents; those far
-more frequent in toxic ones make a lexicon of at most ``MOST_FEATURES`` entries. A token's
+more frequent in toxic ones than chance allows make the lexicon. A token's
 observation is the level of its strongest entry, 0 without any. In toxic documents tokens
 with an entry are labelled toxic, all other tokens are not: these are the labelled tokens
 from which the field is fitted, on a bounded sample of ``SAMPLE`` documents of each label.
@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from townpulse.llm.common import Memo, map_batches, sample_by_hash
 from townpulse.session import stage
 
-MOST_FEATURES = 2_000
 SAMPLE = 2_000
 PREFIXES = (4, 5, 6)
-#: A feature must occur in this share of the toxic documents, and be so many times as frequent in them.
-LEAST_SHARE, LEAST_RATIO = 0.002, 12.0
+#: A feature must occur in so many toxic documents, be so many times as frequent in them, and chance
+#: may bring at most so many features to that on average, over all features that were tried.
+LEAST_COUNT, LEAST_RATIO, BY_CHANCE = 5, 12.0, 5.0
 #: Levels of the observation by the logarithm of that ratio.
 LEVELS = (np.log(LEAST_RATIO), 4.0, 6.0)
 CHUNK = 32
@@ -196,6 +196,24 @@ def _hits(lexicon: dict[str, int]):
     return run
 
 
+def _lexicon(counts: DataFrame, n: dict[int, int]) -> dict[str, int]:
+    """Level of each feature of ``counts`` (feature, other, toxic) that is far more frequent in toxic documents.
+
+    A feature without a bearing on the label falls on a toxic document with their share
+    p. That so many of its documents are toxic by chance has a probability of at most
+    exp(-documents * divergence of the share seen from p), by Chernoff's bound. The bound
+    asked for is divided by the number of features tried, so a larger table needs more
+    evidence a feature, by a logarithm; a rare word is not dropped for being rare.
+    """
+    tried, p, q = max(1, counts.count()), n[1] / (n[0] + n[1]), n[0] / (n[0] + n[1])
+    toxic, other = F.col("toxic"), F.col("other")
+    every = toxic + other
+    evidence = toxic * F.log(toxic / every / F.lit(p)) + F.when(other > 0, other * F.log(other / every / F.lit(q))).otherwise(0.0)
+    ratio = F.log((toxic + 0.5) / (n[1] + 1)) - F.log((other + 0.5) / (n[0] + 1))
+    found = counts.withColumn("ratio", ratio).where((F.col("ratio") >= float(LEVELS[0])) & (evidence >= float(np.log(tried / BY_CHANCE))))
+    return {r.feature: int(np.searchsorted(LEVELS, r.ratio, side="right")) for r in found.select("feature", "ratio").collect()}
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
     """The field from all rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) marks and that are not held out."""
     marked = labels.where("toxic in (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -206,10 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
         share = min(0.999, max(0.001, n.get(1, 0) / sum(n.values()))) if n else 0.5
         return Field({}, none, np.zeros((2, 2)), np.array([np.log(share / (1 - share)), 0, 0, 0]))
     counts = map_batches(rows.select("text", "toxic"), _counts, "feature string, other long, toxic long").groupBy("feature").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
-    ratio = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("other") + 0.5) / (n[0] + 1))
-    counts = counts.where(F.col("toxic") >= max(5, LEAST_SHARE * n[1])).withColumn("ratio", ratio).where(F.col("ratio") >= float(LEVELS[0]))
-    best = counts.orderBy((F.col("toxic") * F.col("ratio")).desc(), "feature").limit(MOST_FEATURES).collect()
-    lexicon = {r.feature: int(np.searchsorted(LEVELS, r.ratio, side="right")) for r in best}
+    lexicon = _lexicon(stage(counts.where(F.col("toxic") >= LEAST_COUNT), "features"), n)
     sample = [sample_by_hash(rows.where(F.col("toxic") == y), SAMPLE, "doc_id").select("text", "toxic") for y in (0, 1)]
     hits = [r for s in sample for r in map_batches(s, _hits(lexicon), "toxic int, n int, at array<int>, level array<int>").collect()]
     share = {y: n[y] / min(n[y], SAMPLE) for y in (0, 1)}
