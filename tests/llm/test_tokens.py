@@ -1,6 +1,7 @@
 """Token files and the BPE transducer against the tokenizers library."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -98,4 +99,64 @@ def test_long_pretokens_stay_within_a_window(merges):
             ids += run.feed(text[i:i + 1000].encode())
             held = max(held, len(run.held))
         assert ids + run.finish() == Tokenizer.from_file(BYTE_BPE).encode(text, add_special_tokens=False).ids
-        assert held <= 2 * run.window
+        assert held <= 2 * (merges.lookahead + max(map(len, merges.bytes_of))) + bpe.STEP
+
+
+def _merge_list(folder, draw, letters, n):
+    """A vocabulary of random merges, each of tokens made before."""
+    stand_ins = bpe.byte_letters()
+    tokens, merges = list(letters), []
+    while len(merges) < n:
+        a, b = draw.choice(tokens), draw.choice(tokens)
+        if a + b not in tokens and len(a + b) < 9:
+            tokens.append(a + b)
+            merges.append(f"{a} {b}")
+    vocab = {t: i for i, t in enumerate([*stand_ins.values(), *(t for t in tokens if len(t) > 1)])}
+    path = folder / f"{n}-{draw.random()}.json"
+    path.write_text(json.dumps({"model": {"vocab": vocab, "merges": merges}, "added_tokens": []}))
+    return bpe.MergeList(str(path))
+
+
+def _plain_merges(merges, data):
+    """Lowest rank first, leftmost first, over the whole run."""
+    ids = [merges.byte_ids[b] for b in data]
+    while found := min(((merges.rank[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges.rank), default=None):
+        ids[found[1]:found[1] + 2] = [merges.made[found[0]]]
+    return ids
+
+
+def test_final_tokens_never_change(tmp_path):
+    """Random merge lists over few letters, where merges reach far."""
+    draw, early = random.Random(11), 0
+    for _ in range(150):
+        letters = "abc"[:draw.randint(1, 3)]
+        merges = _merge_list(tmp_path, draw, letters, draw.randint(1, 7 if letters == "a" else 25))
+        for _ in range(40):
+            data = "".join(draw.choice(letters) for _ in range(draw.randint(0, 60))).encode()
+            for step in (1, 5):
+                run, ids = bpe.Run(merges, step), []
+                for i in range(0, len(data), 3):
+                    ids += run.feed(data[i:i + 3])
+                early += len(ids)
+                assert ids + run.finish() == _plain_merges(merges, data)
+    assert early > 10_000
+
+
+def test_a_list_out_of_order_is_refused(tmp_path):
+    stand_ins = [*bpe.byte_letters().values(), "ab", "abc"]
+    path = tmp_path / "v.json"
+    path.write_text(json.dumps({"model": {"vocab": {t: i for i, t in enumerate(stand_ins)}, "merges": ["ab c", "a b"]}, "added_tokens": []}))
+    with pytest.raises(ValueError):
+        bpe.MergeList(str(path))
+
+
+def test_tokens_come_before_an_ordinary_pretoken_ends(merges):
+    words, early, total, begun = " internationalization unbelievable misunderstandings Donaudampfschifffahrt ciónqueñdomi xylophonists".split(), 0, 0, 0
+    for word in words:
+        run, ids = bpe.Run(merges, step=1), []
+        for b in (" " + word).encode():
+            ids += run.feed(bytes([b]))
+        whole = Tokenizer.from_file(BYTE_BPE).encode(" " + word, add_special_tokens=False).ids
+        assert ids == whole[:len(ids)] and ids + run.finish() == whole
+        early, total, begun = early + len(ids), total + len(whole), begun + bool(ids)
+    assert begun >= 3 and early >= total // 4

@@ -1,15 +1,19 @@
 """Byte-level BPE as a streaming transducer, and its decoder.
 
-``MergeList`` reads a vocabulary and computes its sufficient lookahead: the greatest
-number of bytes behind a place that can still change whether a token ends there. A merge
-of rank r that would close over a place can only be prevented by a merge of lower rank
-that takes the right end of its right part, which in turn depends on a merge of still
-lower rank further right; the longest such chain, summed over the lengths of the right
-parts, bounds the lookahead, so a token is final once that many bytes after it are known.
+``MergeList`` reads a vocabulary and computes its sufficient lookahead: how many bytes
+behind the end of a token can still change whether it ends there. The end can only vanish
+if a merge closes over it. The left part of that merge is one that the token ends with
+before a later merge takes it in; the right part must be made of the bytes that follow, and
+can only be prevented by a merge of lower rank over its own end, and so on to the right.
+The reach of a merge is the length of its right part and the furthest reach of those that
+can prevent it. A token's lookahead is the furthest reach of the merges that can take its
+end and whose right part begins with the ``KNOWN`` bytes behind it: often 2 bytes or none,
+never more than ``MergeList.lookahead``. This needs a list in which the parts of a merge
+are made by earlier merges; other lists are refused.
 
 ``Encoder`` takes text in pieces of any size and gives back ids as they become final. It
-holds one open piece and, inside a run without word borders, no more bytes than a window
-over the lookahead. ``Decoder`` is the reverse: ids to bytes to text, with the unfinished
+holds one open piece and, inside a run without word borders, no more bytes than twice the
+lookahead and a token. ``Decoder`` is the reverse: ids to bytes to text, with the unfinished
 end of a character as its only state.
 
 A null text is empty and has no ids. Rows are independent, so repeated rows and ties mean
@@ -18,6 +22,7 @@ nothing; a null doc_id is passed through and an empty table gives an empty resul
 
 from __future__ import annotations
 
+import bisect
 import codecs
 import hashlib
 import heapq
@@ -45,6 +50,9 @@ RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", rf"[^{SPACE}\p{{L}}\p{{
 NEVER = 1 << 30
 SHORT = 64
 PIECE = 1 << 16
+#: Bytes behind a token that its lookahead depends on, and bytes between two looks at what is final.
+KNOWN = 2
+STEP = 16
 
 
 def byte_letters() -> dict[int, str]:
@@ -79,21 +87,41 @@ class MergeList:
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             self.rank[vocab[a], vocab[b]] = len(self.made)
             self.made.append(vocab[a + b])
-        self.lookahead = self._lookahead()
-
-    def _lookahead(self) -> int:
-        right_of: dict[int, int] = {}  # token -> right part of the merge that made it
-        best: dict[int, int] = {}  # left part -> furthest reach of the merges seen so far
-        furthest = 0
+        self._reaches()
+
+    def _reaches(self) -> None:
+        #: token -> rank of the merge that makes it and its right part
+        self.right_of: dict[int, tuple[int, int]] = {}
+        #: left part and first bytes of the right part -> ranks, and furthest reach up to each rank
+        self.reaches: dict[tuple[int, bytes], tuple[list[int], list[int]]] = {}
+        every: dict[tuple[int, bytes], tuple[list[int], list[int]]] = {}  # the same whatever follows
+        parts = set()
         for (a, b), r in self.rank.items():
-            reach, part = 0, b
-            while part is not None:
-                reach, part = max(reach, best.get(part, 0)), right_of.get(part)
-            reach += len(self.bytes_of[b])
-            best[a] = max(best.get(a, 0), reach)
-            right_of.setdefault(self.made[r], b)
-            furthest = max(furthest, reach)
-        return furthest
+            data = self.bytes_of[b]
+            reach = len(data) + self._furthest(every, b, r, [b""])
+            for table, key in ((every, (a, b"")), (self.reaches, (a, data[:KNOWN]))):
+                ranks, furthest = table.setdefault(key, ([], []))
+                ranks.append(r)
+                furthest.append(max(reach, furthest[-1] if furthest else 0))
+            parts.update((a, b))
+            if self.made[r] in parts or self.made[r] in self.right_of:
+                raise ValueError(f"merge {r} makes a token that an earlier merge makes or takes")
+            self.right_of[self.made[r]] = r, b
+        self.lookahead = max((furthest[-1] for _, furthest in every.values()), default=0)
+        #: (token, the ``KNOWN`` bytes behind it) -> its lookahead
+        self.settles = Memo(lambda key: self._furthest(self.reaches, key[0], NEVER, [key[1][:n] for n in range(1, KNOWN + 1)])).__getitem__
+
+    def _furthest(self, table: dict, token: int, before: int, firsts: list[bytes]) -> int:
+        """Furthest reach of merges below rank ``before`` that can take the end of ``token``."""
+        best = 0
+        while True:
+            for first in firsts:
+                if found := table.get((token, first)):
+                    n = bisect.bisect_left(found[0], before)
+                    best = max(best, found[1][n - 1] if n else 0)
+            if token not in self.right_of:
+                return best
+            before, token = self.right_of[token]
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merges of a short pretoken."""
@@ -133,29 +161,46 @@ class MergeList:
 
 
 class Run:
-    """The ids of one pretoken that comes in parts; holds no more than a window of it."""
+    """The ids of one pretoken that comes in parts, each given as soon as it is final.
 
-    def __init__(self, merges: MergeList) -> None:
-        self.merges, self.window, self.held = merges, 4 * max(merges.lookahead, 1024), []
+    What is held is looked at every ``step`` bytes, less often while nothing becomes final.
+    """
+
+    def __init__(self, merges: MergeList, step: int = STEP) -> None:
+        self.merges, self.step, self.held, self.due = merges, step, b"", step
+
+    def _merged(self) -> list[int]:
+        ids = list(map(self.merges.byte_ids.__getitem__, self.held))
+        return self.merges.merge(ids) if len(ids) <= SHORT else self.merges.merge_long(ids)
+
+    def _final(self) -> list[int]:
+        out, end, held, merges = [], 0, self.held, self.merges
+        for token in self._merged():
+            after = end + len(merges.bytes_of[token])
+            if after + KNOWN > len(held) or after + merges.settles((token, held[after:after + KNOWN])) > len(held):
+                break
+            out.append(token)
+            end = after
+        self.held = held[end:]
+        self.due = len(self.held) + max(self.step, len(self.held) if self.step > 1 else 0)
+        return out
 
     def feed(self, data: bytes) -> list[int]:
-        out, ids = [], self.merges.byte_ids
-        for at in range(0, len(data), self.window):
-            self.held += [ids[b] for b in data[at:at + self.window]]
-            if len(self.held) <= self.window:
-                continue
-            end, last = 0, len(self.held) - self.merges.lookahead
-            for token in self.merges.merge_long(self.held[:]):
-                if (end := end + len(self.merges.bytes_of[token])) > last:
-                    end -= len(self.merges.bytes_of[token])
-                    break
-                out.append(token)
-            del self.held[:end]
+        if not self.held and len(data) < self.due:
+            self.held = data
+            return []
+        out, at = [], 0
+        while len(self.held) + len(data) - at >= self.due:
+            taken = self.due - len(self.held)
+            self.held += data[at:at + taken]
+            at += taken
+            out += self._final()
+        self.held += data[at:]
         return out
 
     def finish(self) -> list[int]:
-        out = self.merges.merge_long(self.held)
-        self.held = []
+        out = self._merged()
+        self.held, self.due = b"", self.step
         return out
 
 
@@ -163,7 +208,7 @@ class Encoder:
     """``feed`` text in pieces, then ``finish``; both give ids as packed unsigned integers."""
 
     def __init__(self, merges: MergeList) -> None:
-        self.merges = merges
+        self.merges, self.word = merges, Run(merges)
         self.dtype = np.dtype("<u2" if len(merges.bytes_of) <= 1 << 16 else "<u4")
         self.pretokens, self.pieces, self.spaced = Memo(self._pretoken), Memo(self._piece), Memo(lambda x: self._piece(" " + x))
         self.special = re.compile("|".join(map(re.escape, sorted(merges.special, key=len, reverse=True)))) if merges.special else None
@@ -173,12 +218,7 @@ class Encoder:
         return np.array(ids, self.dtype).tobytes()
 
     def _pretoken(self, token: str) -> bytes:
-        data = token.encode()
-        if len(data) <= SHORT:
-            ids = self.merges.byte_ids
-            return self._pack(self.merges.merge([ids[b] for b in data]))
-        run = Run(self.merges)
-        return self._pack(run.feed(data) + run.finish())
+        return self._pack(self.word.feed(token.encode()) + self.word.finish())
 
     def _piece(self, piece: str) -> bytes:
         return b"".join(map(self.pretokens.__getitem__, PRETOKEN.findall(piece)))
