@@ -1,17 +1,22 @@
 """Main text of web pages by minimum cut.
 
-A page is taken apart into text blocks. Each block is a node; being content or boilerplate
-has a cost from a classifier, and those costs are the capacities to the two terminals.
-Blocks next to each other, and blocks under the same parent, are joined by edges that cost
-something if their labels differ, less the further apart they lie in the tree. A maximum
-flow then separates content from boilerplate.
-
-The classifier is a logistic regression over what a block's text looks like. It is fitted
-on a bounded sample of pages (``SAMPLE_PAGES``, chosen by hash, at most ``SAMPLE_BLOCKS``
-blocks of each), labelled by the pages' own semantic elements: blocks in ``nav``,
-``footer``, ``aside`` and the like are boilerplate, blocks in ``article`` or ``main`` are
-content. In scoring, those elements and telling class names add fixed costs; contents of
-scripts, styles, forms and other elements that never hold an article are no blocks at all.
+A page is taken apart into text blocks. Each block is a node; its capacities to the two
+terminals are a classifier's log-odds of being content. Blocks next to each other, and
+blocks under the same parent, are joined by edges that cost something if their labels
+differ, less the further apart they lie in the tree. A maximum flow then separates content
+from boilerplate.
+
+The classifier has two layers, fitted on a bounded sample of pages (``SAMPLE_PAGES``, chosen
+by hash, at most ``SAMPLE_BLOCKS`` blocks of each) whose semantic elements label them: blocks
+in ``nav``, ``footer``, ``aside`` and the like, or beside an ``article``, are boilerplate,
+blocks in ``article`` or ``main`` are content. The first layer sees only what a text looks
+like; its log-odds are bounded as if a share ``NOISE`` of the labels were wrong. The second
+adds what elements and class names say. Weights start from expected ones (``LOOKS``,
+``SIGNS``); as the labels come from some of the signs, the sample counts there as ``WORTH``
+rows. An edge
+costs half the log odds ratio of the labels that neighbours at that distance have in the
+sample, at most ``2 / distance``. Contents of scripts, styles, forms and other elements that
+never hold an article are no blocks at all.
 
 A null page is empty and gives an empty text; so does a page without content. Rows are
 independent; repeated rows give repeated results, an empty table an empty one, and other
@@ -57,9 +62,14 @@ TELLING = re.compile(
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMES = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
-#: Costs, in nats, that the place of a block adds for or against content.
-IN_ARTICLE, OUTSIDE_ARTICLE, IN_BOILERPLATE, TELLING_NAME = 4.0, -3.0, -12.0, -8.0
-NEXT_BLOCK, SAME_PARENT = 1.0, 0.6
+#: Signs of a block's place, and the log-odds they are expected to add before anything is fitted: it lies in an article,
+#: it lies beside the page's article, in an element for boilerplate, under a telling class name. A word that its author
+#: chose for boilerplate outweighs an article around it and any look of the text; the look alone never outweighs an article.
+SIGNS = (3.5, -2.0, -10.0, -9.0)
+#: The same for ``features``: articles are long sentences without links.
+LOOKS = (-2.0, 1.0, -3.0, 0.5, 0.5, -0.5)
+NOISE, WORTH = 0.05, 50.0
+FARTHEST = 8  # distances from here on are one class
 SCALE = 1_000
 
 
@@ -69,39 +79,50 @@ class Block:
     path: tuple[int, ...]  # numbers of the open block elements
     tag: str
     linked: int
-    place: float
-    weak: int | None  # label for the fit: 1 content, 0 boilerplate, None unknown
+    signs: tuple[bool, bool, bool, bool]  # see SIGNS
+
+    @property
+    def weak(self) -> int | None:
+        """Label for the fit: 1 content, 0 boilerplate, None unknown."""
+        inside, beside, boilerplate, telling = self.signs
+        return 0 if boilerplate or beside else 1 if inside and not telling else None
+
+
+@dataclass
+class Model:
+    shape: np.ndarray  # weights of ``features``
+    signs: np.ndarray  # weights of ``Block.signs``
+    edges: list[float]  # cost of different labels by distance in the tree
 
 
 @dataclass
 class Open:
     tag: str
     number: int
-    place: float
     inside: bool  # of an article
+    boilerplate: bool
+    telling: bool
     hidden: bool
     parts: list[str] = field(default_factory=list)
 
 
-def _place_of(tag: str, attributes: str, parent: Open) -> tuple[float, bool]:
-    """What this element adds to the cost of its blocks, and whether it is not shown."""
-    place, hidden = 0.0, False
-    if tag in BOILERPLATE or tag == "header" and not parent.inside:
-        place = IN_BOILERPLATE
+def _signs_of(tag: str, attributes: str, parent: Open) -> tuple[bool, bool, bool]:
+    """Whether an element is for boilerplate, has a telling name, and is not shown."""
+    boilerplate, telling, hidden = tag in BOILERPLATE or tag == "header" and not parent.inside, False, False
     for m in NAMES.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
         elif name == "role" and value.lower() in ROLES:
-            place = min(place, IN_BOILERPLATE)
+            boilerplate = True
         elif name in ("class", "id") and tag not in ("html", "body", "article", "main") and TELLING.search(value):
-            place = min(place, TELLING_NAME)
-    return place, hidden
+            telling = True
+    return boilerplate, telling, hidden
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order."""
-    root = Open("", 0, 0.0, False, False)
+    root = Open("", 0, False, False, False, False)
     stack, found, parts, linked, number, links, has_article = [root], [], [], 0, 0, 0, False
 
     def close_block() -> None:
@@ -111,8 +132,8 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(html.unescape(raw).split()) if raw else ""
         if text:
             own = [e for e in stack if e.tag in BLOCK or e is root]
-            place, inside = min(e.place for e in stack), any(e.inside for e in stack)
-            found.append(Block(text, tuple(e.number for e in own), own[-1].tag, linked, place + IN_ARTICLE * inside, 0 if place <= IN_BOILERPLATE else 1 if inside and place == 0 else None))
+            last = stack[-1]
+            found.append(Block(text, tuple(e.number for e in own), own[-1].tag, linked, (last.inside, not last.inside, last.boilerplate, last.telling)))
         linked = 0
 
     at, n = 0, len(page)
@@ -155,14 +176,13 @@ def blocks_of(page: str) -> list[Block]:
             links += 1
         elif tag in BLOCK or tag in DROPPED or m[3]:
             parent, number = stack[-1], number + 1
-            place, hidden = _place_of(tag, m[3], parent)
+            boilerplate, telling, hidden = _signs_of(tag, m[3], parent)
             has_article |= tag in ARTICLE
-            stack.append(Open(tag, number, place, parent.inside or tag in ARTICLE, parent.hidden or hidden or tag in DROPPED))
+            stack.append(Open(tag, number, parent.inside or tag in ARTICLE, parent.boilerplate or boilerplate, parent.telling or telling, parent.hidden or hidden or tag in DROPPED))
     close_block()
-    if has_article:
+    if not has_article:  # nothing lies beside it
         for b in found:
-            if b.place < IN_ARTICLE and b.place <= 0:
-                b.place += OUTSIDE_ARTICLE
+            b.signs = False, False, *b.signs[2:]
     return found
 
 
@@ -173,43 +193,76 @@ def features(b: Block) -> list[float]:
     return [1.0, math.log1p(words), min(1.0, b.linked / len(b.text)), float(b.text[-1] in ".!?"), min(1.0, marks / words), float(b.tag == "li")]
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps with a ridge; zeros unless both labels occur."""
-    w = np.zeros(x.shape[1] if x.ndim == 2 else 6)
-    if len(set(y.tolist())) < 2:
-        return w
+def _logistic(x: np.ndarray, y: np.ndarray, mean: np.ndarray, offset: np.ndarray, weight: float) -> np.ndarray:
+    """Most likely weights under unit Gaussians around ``mean``, by Newton steps."""
+    w = mean.copy()
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (p - y) + w)
+        p = 1 / (1 + np.exp(-np.clip(x @ w + offset, -30, 30)))
+        w -= np.linalg.solve(weight * (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)), weight * x.T @ (p - y) + w - mean)
     return w
 
 
-def fit_classifier(pages: DataFrame, n_pages: int = SAMPLE_PAGES, n_blocks: int = SAMPLE_BLOCKS) -> np.ndarray:
-    """Weights from at most ``n_pages`` pages, labelled by their semantic elements."""
+def looks(x: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """Log-odds of a text's look, under labels of which ``NOISE`` are wrong."""
+    p = NOISE + (1 - 2 * NOISE) / (1 + np.exp(-np.clip(x @ shape, -30, 30)))
+    return np.log(p / (1 - p))
+
+
+def fit(rows: list[tuple]) -> Model:
+    """From (features, signs, label, label of the block before or None, distance to it).
+
+    Without both labels all weights keep the means expected of them.
+    """
+    shape, signs = np.array(LOOKS), np.array(SIGNS)
+    agree = np.ones((FARTHEST + 1, 2, 2)) + np.eye(2)  # so that pairs never seen still attract a little
+    for _, _, label, before, distance in rows:
+        if before is not None:
+            agree[min(distance, FARTHEST), before, label] += 1
+    if len({r[2] for r in rows}) == 2:
+        x, s, y = (np.array([r[i] for r in rows], float) for i in range(3))
+        shape = _logistic(x, y, shape, np.zeros(len(y)), 1.0)
+        signs = _logistic(s, y, signs, looks(x, shape), WORTH / len(y))
+    ratio = np.log(agree[:, 0, 0] * agree[:, 1, 1] / (agree[:, 0, 1] * agree[:, 1, 0])) / 2
+    return Model(shape, signs, [max(0.0, min(r, 2 / max(d, 2))) for d, r in enumerate(ratio.tolist())])
+
+
+def labelled(blocks: list[Block]) -> list[tuple]:
+    """Rows for ``fit`` of the blocks that have a label."""
+    return [
+        (features(b), [float(x) for x in b.signs], b.weak, a.weak if a else None, distance_of(a, b) if a else None)
+        for a, b in zip([None, *blocks], blocks) if b.weak is not None
+    ]
+
+
+def fit_classifier(pages: DataFrame, n_pages: int = SAMPLE_PAGES, n_blocks: int = SAMPLE_BLOCKS) -> Model:
+    """From at most ``n_pages`` pages, labelled by their semantic elements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.list_(pa.float64()), pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.int32()]
         for batch in batches:
-            rows = [(features(b), b.weak) for page in batch.column(0) for b in blocks_of(page.as_py() or "")[:n_blocks] if b.weak is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.int32())], ["x", "y"])
+            rows = [r for page in batch.column(0) for r in labelled(blocks_of(page.as_py() or "")[:n_blocks])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["x", "signs", "label", "before", "distance"])
 
     sample = sample_by_hash(pages, n_pages, "page_id").select("html")
-    rows = map_batches(sample, run, "x array<double>, y int").collect()
-    return fit(np.array([r.x for r in rows]), np.array([r.y for r in rows]))
+    return fit(map_batches(sample, run, "x array<double>, signs array<double>, label int, before int, distance int").collect())
+
 
+def distance_of(a: Block, b: Block) -> int:
+    """Steps between two blocks in the tree."""
+    shared = next((k for k, (u, v) in enumerate(zip(a.path, b.path)) if u != v), min(len(a.path), len(b.path)))
+    return len(a.path) + len(b.path) - 2 * shared
 
-def edges_of(blocks: list[Block]) -> list[tuple[int, int, int]]:
+
+def edges_of(blocks: list[Block], costs: list[float]) -> list[tuple[int, int, int]]:
     """Smoothness: the next block, and the last one under the same parent if that is another."""
     edges, last = [], {}
     for i, b in enumerate(blocks):
         parent = b.path[:-1]
         if i:
-            a = blocks[i - 1]
-            shared = next((k for k, (u, v) in enumerate(zip(a.path, b.path)) if u != v), min(len(a.path), len(b.path)))
-            apart = len(a.path) + len(b.path) - 2 * shared
-            edges.append((i - 1, i, round(SCALE * NEXT_BLOCK / (1 + apart))))
+            edges.append((i - 1, i, round(SCALE * costs[min(distance_of(blocks[i - 1], b), FARTHEST)])))
             j = last.get(parent)
             if j is not None and j != i - 1:
-                edges.append((j, i, round(SCALE * SAME_PARENT / (i - j))))
+                edges.append((j, i, round(SCALE * costs[2] / (i - j))))
         last[parent] = i
     return edges
 
@@ -282,23 +335,26 @@ def _dinic(rest: list[int], gain: list[int], near: list[dict[int, int]]) -> set[
                     level[u] = -1
 
 
-def main_text(page: str, weights: np.ndarray) -> str:
+def log_odds(blocks: list[Block], model: Model) -> np.ndarray:
+    return looks(np.array([features(b) for b in blocks]), model.shape) + np.array([b.signs for b in blocks], float) @ model.signs
+
+
+def main_text(page: str, model: Model) -> str:
     blocks = blocks_of(page)
     if not blocks:
         return ""
-    scores = np.array([features(b) for b in blocks]) @ weights
-    gain = [round(SCALE * (b.place + max(-6.0, min(6.0, z)))) for b, z in zip(blocks, scores.tolist())]
-    return "\n".join(b.text for b, keep in zip(blocks, minimum_cut(gain, edges_of(blocks))) if keep)
+    gain = [round(SCALE * z) for z in log_odds(blocks, model).tolist()]
+    return "\n".join(b.text for b, keep in zip(blocks, minimum_cut(gain, edges_of(blocks, model.edges))) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page of ``pages`` (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
-    weights = fit_classifier(pages)
+    model = fit_classifier(pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py() or "", weights) for page in batch.column(2)]
+            texts = [main_text(page.as_py() or "", model) for page in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return map_batches(pages, run, "page_id long, url string, text string, n_chars long")
