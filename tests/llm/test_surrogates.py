@@ -1,5 +1,7 @@
 """Surrogates: nothing personal is left, formats and identities are kept."""
 
+import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -103,3 +105,100 @@ def test_long_and_national_forms_go_whole(spark):
         assert private not in got[i].text, (i, private)
     assert shape(got[0].text) == shape(texts[0]) and shape(got[1].text)[6:] == shape(texts[1])[6:] and got[1].text.startswith("token=")
     assert shape(got[4].text) == shape(texts[4]) and " or 0" in got[4].text and got[5].text.endswith('" and 4111111111111112 end')
+
+
+def _salt(key, kind, entity, round_no):
+    base = "\0".join([key, kind, entity.lower(), str(round_no)])
+    return "".join(hashlib.sha256(f"{base}\0{i}".encode()).hexdigest() for i in range(4))
+
+
+def _same_kind(text, salt):
+    groups, out = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ"), ""
+    for i, c in enumerate(text):
+        letters = next((g for g in groups if c in g), c)
+        out += letters[int(salt[i % 120 * 2:][:2], 16) % len(letters)]
+    return out
+
+
+def _plain_surrogate(kind, entity, gender, salt):
+    number = lambda i: int(salt[2 * i:2 * i + 2], 16)
+    pick = lambda names, i: names[int(salt[6 * i:6 * i + 6], 16) % len(names)]
+    if kind == "email":
+        return f"{_same_kind(entity.split('@')[0], salt)}@mail{number(100) % 10}.example.org"
+    if kind == "ip":
+        return ".".join(str((1 + number(i) % 9, 10 + number(i) % 90, 100 + number(i) % 156)[len(x) - 1]) for i, x in enumerate(entity.split(".")))
+    if kind == "phone":
+        n = len(entity.split(" ")[0]) if entity[0] == "+" else int(entity[0] == "0")  # a leading zero stays, like a country code
+        return entity[:n] + _same_kind(entity[n:], salt)
+    if kind == "card":
+        issued = entity[0] + _same_kind(entity[1:-1], salt)
+        return next(issued + c for c in "0123456789" if luhn(issued + c))
+    if kind == "name":
+        parts = entity.split(" ")
+        firsts = [pick(s.NAMES[gender, "latin"], 2 * i) for i in range(len(parts) - 1)]
+        return " ".join([*firsts, pick(s.FAMILY["latin"], 2 * len(parts) - 2)])
+    return _same_kind(entity, salt)
+
+
+def _plain_assignment(entities, key):
+    """Rounds over all entities at once: a surrogate goes to the smallest entity that drew it, unless it is an entity or was given."""
+    given, left, own = {}, dict(entities), {e for _, e in entities}
+    for round_no in range(s.WIDER):
+        drawn = {(k, e): _plain_surrogate(k, e, g, _salt(key, k, e, round_no)) for (k, e), g in left.items()}
+        first, taken = {}, set(given.values())
+        for (_, e), new in drawn.items():
+            first[new] = min(first.get(new, e), e)
+        for (k, e), new in drawn.items():
+            if new not in own and new not in taken and first[new] == e:
+                given[k, e] = new
+                del left[k, e]
+    assert not left
+    return given
+
+
+def _corpus(draw):
+    """Texts as lists of parts: plain strings, or (kind, entity, gender) of what a reader would call personal."""
+    digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    hexes = lambda n: "".join(draw.choice("0123456789abcdef") for _ in range(n))
+    people = [(f"{a} {b}", g) for a, g in (("Bob", "m"), ("Jim", "m"), ("Sue", "f"), ("Kim", "f")) for b in "Hill Ford Lake Wood Dale Marsh Brook".split()]
+    card = lambda: next(c for c in iter(lambda: "4" + digits(15), "") if luhn(c))
+    makers = [
+        lambda: [("email", f"{draw.choice(('ann', 'bob', 'xyzzy'))}.{digits(2)}@mail{digits(1)}.example.com", "")],
+        lambda: [("phone", f"+{draw.choice((1, 44, 380))} ({digits(3)}) {digits(3)}-{digits(4)}", "")], lambda: [("phone", f"{digits(3)}-{digits(3)}-{digits(4)}", "")],
+        lambda: [("ip", ".".join(str(draw.randint(1, 255)) for _ in range(4)), "")], lambda: [("card", card(), "")],
+        lambda: ['token = "', ("secret", hexes(40), ""), '"'], lambda: ["password=", ("secret", "Pw" + hexes(6), "")],
+        lambda: ["in 2001 or 1.2.3 or Hill"], lambda: ["@ 12 token"], lambda: [""], lambda: ["ünï \n\t 日本"],
+    ]
+    shared = [maker() for maker in makers for _ in range(6)]
+    for i in range(120):
+        parts = ["start"]
+        person, gender = draw.choice(people)
+        named = draw.random() < 0.5
+        if named:
+            parts += [f" and {'Mr.' if gender == 'm' else draw.choice(('Mrs', 'Ms.'))} ", ("name", person, gender)]
+        for _ in range(3_000 if i == 7 else draw.randint(0, 6)):
+            made = draw.choice(shared) if draw.random() < 0.6 else draw.choice(makers)()
+            if named and draw.random() < 0.4:
+                made = [draw.choice([("name", person, gender), ("first", person, gender), ("last", person, gender)])]
+            if named:  # the family name stands in a plain part as well
+                made = [x.replace(" or Hill", "") if isinstance(x, str) else x for x in made]
+            parts += [" and ", *made]
+        yield parts + [" end"]
+
+
+def test_a_random_corpus_equals_plain_search_assignment_and_replacement(spark):
+    texts = list(_corpus(random.Random(21)))
+    shown = {"first": lambda name: name.split(" ")[0], "last": lambda name: name.split(" ")[-1]}
+    plain = ["".join(x if isinstance(x, str) else shown.get(x[0], str)(x[1]) for x in parts) for parts in texts]
+    entities = {("name" if k in shown else k, e): g for parts in texts for k, e, g in (x for x in parts if not isinstance(x, str))}
+    given = _plain_assignment(entities, "k")
+    want = [(
+        i, "".join(x if isinstance(x, str) else shown.get(x[0], str)(given["name" if x[0] in shown else x[0], x[1]]) for x in parts),
+        sum(not isinstance(x, str) for x in parts),
+    ) for i, parts in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string")
+    for partitions in (1, 7):
+        got = s.replace(docs.repartition(partitions), key="k").orderBy("doc_id").collect()
+        for row, expected in zip(got, want, strict=True):
+            at = next((j for j, (a, b) in enumerate(zip(row.text, expected[1])) if a != b), 0)
+            assert tuple(row) == expected, (row.text[at - 60:at + 60], expected[1][at - 60:at + 60], plain[expected[0]].count("x"))
