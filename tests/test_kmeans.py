@@ -79,3 +79,19 @@ def test_few_and_no_rows(spark):
     same = spark.createDataFrame([(i, [1.0, 2.0], 0, 0) for i in range(5)], SCHEMA)
     [model] = kmeans.fit_many(same, "features", [3], 2)
     assert model.cost == 0 and kmeans.mean_silhouettes(same, "features", [model.centres]) == [0.0]
+
+
+def test_every_event_is_clustered_also_without_a_clock(spark, tmp_path):
+    from catalog import models
+    from townpulse.plans import outage_clusters
+
+    events = spark.range(200).selectExpr("id AS event_id", "timestamp_seconds(id * 5000) AS ts", "if(id % 50 = 7, NULL, id % 90) AS user_id", "id * 1.5 AS value")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(25).selectExpr("cast(id as int) AS n_nationkey", "concat('N', id) AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    rows = models._outage_rows(spark, str(tmp_path))
+    assert rows.count() == 200 and rows.where("start_min IS NULL").count() > 0 and rows.where("temp IS NULL").count() == 4
+    model, _ = outage_clusters.train_clusters(rows, 2, 3, 1)
+    labelled = model.transform(rows).persist()
+    assert labelled.count() == 200 and labelled.where("cluster IS NULL").count() == 0
+    unknown, mean = labelled.where("start_min IS NULL").first(), rows.agg({"start_min": "avg"}).first()[0]
+    assert unknown.features[-2] == int(mean)
