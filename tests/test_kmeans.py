@@ -95,3 +95,20 @@ def test_every_event_is_clustered_also_without_a_clock(spark, tmp_path):
     assert labelled.count() == 200 and labelled.where("cluster IS NULL").count() == 0
     unknown, mean = labelled.where("start_min IS NULL").first(), rows.agg({"start_min": "avg"}).first()[0]
     assert unknown.features[-2] == int(mean)
+
+
+def test_few_passes_over_all_rows_are_left(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 4)) * [100, 80, 3, 1]
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0) for i, v in enumerate(x)], SCHEMA).repartition(4).cache()
+    passes, once = [], kmeans._round
+    monkeypatch.setattr(kmeans, "_round", lambda *a: passes.append(1) or once(*a))
+    fitted = kmeans.fit_many(df, "features", [3, 6], 4)
+    assert len(passes) == 1  # the starting rows are all rows here
+    assert [m.cost for m in fitted] == pytest.approx([kmeans.squared(x, m.centres).min(axis=1).sum() for m in fitted])
+    monkeypatch.setattr(kmeans, "START_ROWS", 200)
+    counted = []
+    monkeypatch.setattr(kmeans, "_round", lambda df, *a: counted.append(df.count()) or once(df, *a))
+    for wide, whole in zip(kmeans.fit_many(df, "features", [3, 6], 4), fitted):
+        assert wide.cost == pytest.approx(kmeans.squared(x, wide.centres).min(axis=1).sum()) and wide.cost <= whole.cost * 1.02
+    assert counted == sorted(counted) and counted[0] < 2000 and counted[-1] == 4000
