@@ -254,3 +254,20 @@ def test_all_queries_with_sql_agree_on_the_smallest_tables():
     env = {**os.environ, "SF_DIR": SF}
     run = subprocess.run([sys.executable, "verify.py", *names], cwd=root, env=env, capture_output=True, text=True, timeout=900)
     assert run.returncode == 0, json.dumps(run.stdout[-3000:])
+
+
+def test_trees_are_drawn_by_the_smallest_hashes(spark):
+    df = spark.range(3000).withColumn("a", F.lit(1.0))
+    rows, _ = isolation_forest.draw_samples(df, "id", ["a"], n_trees=40, max_samples=300, seed=7)
+    got = rows.groupBy("id").agg(F.sort_array(F.collect_list("tree")).alias("got"))
+    trees = F.sequence(F.lit(0), F.lit(39))
+    order = F.array_sort(F.transform(trees, lambda t: F.struct(F.xxhash64("id", t, F.lit(8)).alias("h"), t.alias("t"))))
+    want = F.sort_array(F.transform(F.slice(order, 1, F.size("got")), lambda x: x.t))
+    assert got.where(want != F.col("got")).count() == 0 and got.where(F.size("got") > 3).count() > 0
+
+
+def test_missing_values_go_to_the_right():
+    trees = {"roots": np.array([0, 3]), "feature": np.array([1, -1, -1, -1]), "threshold": np.array([0.5, np.nan, np.nan, np.nan]), "left": np.array([1, -1, -1, -1]), "right": np.array([2, -1, -1, -1]), "length": np.array([0.0, 1.0, 4.0, 10.0])}
+    x = np.array([[9.0, 0.5], [9.0, 0.6], [9.0, np.nan], [np.nan, -np.inf], [0.0, np.inf]])
+    assert isolation_forest.path_lengths(x, trees).tolist() == [11.0, 14.0, 14.0, 11.0, 14.0]
+    assert isolation_forest.walkable(trees)["depth"].tolist() == [1, 0]

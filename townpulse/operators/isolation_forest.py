@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townpulse.operators.quantiles import exact_quantiles
-from townpulse.session import cut_lineage
+from townpulse.session import cut_lineage, stage
 
 NODES = "tree INT, node INT, feature INT, threshold DOUBLE, left INT, right INT, length DOUBLE"
 EULER_GAMMA = 0.5772156649015329
@@ -109,9 +109,11 @@ def draw_samples(df: DataFrame, key: str, features: list[str], n_trees: int, max
         upto = F.array(*map(F.lit, _binomial(n_trees, share)))
         drawn = _unit(key, F.lit(-1), seed)
         number = F.size(F.filter(upto, lambda u: u <= F.col("_number")))
-        order = F.array_sort(F.transform(trees, lambda t: F.struct(F.xxhash64(F.col(key), t, F.lit(seed + 1)).alias("h"), t.alias("t"))))
+        # the tree's number stands in the low bits of its hash, so that plain numbers are sorted
+        low = F.lit((1 << max(1, (n_trees - 1).bit_length())) - 1).cast("long")
+        order = F.sort_array(F.transform(trees, lambda t: F.xxhash64(F.col(key), t, F.lit(seed + 1)).bitwiseAND(F.bitwise_not(low)).bitwiseOR(t.cast("long"))))
         rows = rows.withColumn("_number", drawn).withColumn("_number", number).filter("_number > 0")
-        trees = F.transform(F.slice(order, 1, F.col("_number")), lambda x: x.t)
+        trees = F.transform(F.slice(order, 1, F.col("_number")), lambda x: x.bitwiseAND(low).cast("int"))
     rows = rows.select(key, *features, F.explode(trees).alias("tree"))
     return rows.withColumn("_draw", _unit(key, F.col("tree"), seed)), size
 
@@ -146,7 +148,7 @@ def fit(
         tree = grow_tree(chosen[features].to_numpy(dtype=float), usable, rng, depth)
         return tree.assign(tree=int(keys[0]))[["tree", "node", "feature", "threshold", "left", "right", "length"]]
 
-    nodes = cut_lineage(samples.groupBy("tree").applyInPandas(build, NODES))
+    nodes = stage(samples.groupBy("tree").applyInPandas(build, NODES), "trees")
     forest = IsolationForest(nodes, features, n_trees, size, contamination)
     [offset] = exact_quantiles(cut_lineage(score(df.select(key, *features), forest, key).select("score")), "score", [contamination])
     forest.offset = offset
@@ -162,28 +164,63 @@ def _tree_chunks(forest: IsolationForest) -> Iterator[dict[str, np.ndarray]]:
         sizes = part.groupby("tree").size().to_numpy()
         roots = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         shift = np.repeat(roots, sizes)
-        yield {
+        yield walkable({
             "roots": roots, "feature": part.feature.to_numpy(np.int32), "threshold": part.threshold.to_numpy(),
-            "left": (part.left.to_numpy() + shift).astype(np.int32), "right": (part.right.to_numpy() + shift).astype(np.int32),
-            "length": part.length.to_numpy(),
-        }
+            "left": (part.left.to_numpy() + shift).astype(np.int32), "length": part.length.to_numpy(),
+        })
 
 
-def path_lengths(x: np.ndarray, trees: dict[str, np.ndarray], block: int = 2048) -> np.ndarray:
-    """Sum over the trees of each row's path length."""
-    total = np.zeros(len(x))
+def walkable(trees: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Trees for ``path_lengths``: ``node`` holds the left child within the tree (the right one is the next) and, in its low bits, the feature.
+
+    A leaf is its own left child, and nothing lies above its threshold, so that rows which
+    have arrived stay where they are. ``depth`` is that of each tree.
+    """
+    roots, feature, left = trees["roots"], trees["feature"], trees["left"]
+    leaf, sizes = feature < 0, np.diff(np.append(trees["roots"], len(trees["feature"])))
+    bits = max(1, int(feature.max(initial=0)).bit_length())
+    own = np.where(leaf, np.arange(len(left)), left) - np.repeat(roots, sizes)
+    node = own.astype(np.int64) << bits | np.where(leaf, 0, feature)
+    depth, tree, at = np.zeros(len(roots), int), np.arange(len(roots)), np.asarray(roots)
+    while (inner := ~leaf[at]).any():
+        tree, at = np.repeat(tree[inner], 2), (left[at[inner]][:, None] + [0, 1]).ravel()
+        depth[tree] += 1
+    return {
+        "roots": roots, "bits": np.array(bits), "depth": depth, "node": node.astype(np.int32) if node.max(initial=0) < 2**31 else node,
+        "threshold": np.where(leaf, np.inf, trees["threshold"]), "length": trees["length"],
+    }
+
+
+def path_lengths(x: np.ndarray, trees: dict[str, np.ndarray], block: int = 16_384) -> np.ndarray:
+    """Sum over the trees of each row's path length; a missing value goes to the right.
+
+    A block of rows goes through one tree at a time, a level with each step, so that tree
+    and rows stay near the processor.
+    """
+    trees = trees if "node" in trees else walkable(trees)
+    total, bits, kind = np.zeros(len(x)), int(trees["bits"]), trees["node"].dtype
+    ends = np.append(trees["roots"][1:], len(trees["node"]))
     for start in range(0, len(x), block):
         part = x[start:start + block]
-        at = np.broadcast_to(trees["roots"], (len(part), len(trees["roots"]))).copy()
-        row = np.arange(len(part))[:, None]
-        while True:
-            feature = trees["feature"][at]
-            inner = feature >= 0
-            if not inner.any():
-                break
-            down = np.where(part[row, np.maximum(feature, 0)] <= trees["threshold"][at], trees["left"][at], trees["right"][at])
-            at = np.where(inner, down, at)
-        total[start:start + block] = trees["length"][at].sum(axis=1)
+        n = len(part)
+        flat = np.zeros((n, 1 << bits))
+        flat[:, :x.shape[1]] = np.where(np.isnan(part), np.inf, part)
+        flat, firsts = flat.ravel(), np.arange(n, dtype=kind) << bits
+        at, code, place = (np.empty(n, kind) for _ in range(3))
+        value, cut, above = np.empty(n), np.empty(n), np.empty(n, bool)
+        for first, end, depth in zip(trees["roots"], ends, trees["depth"]):
+            node, threshold = trees["node"][first:end], trees["threshold"][first:end]
+            at[:] = 0
+            for _ in range(depth):
+                node.take(at, out=code, mode="clip")
+                threshold.take(at, out=cut, mode="clip")
+                np.bitwise_and(code, (1 << bits) - 1, out=place)
+                np.bitwise_or(place, firsts, out=place)
+                flat.take(place, out=value, mode="clip")
+                np.greater(value, cut, out=above)
+                np.right_shift(code, bits, out=at)
+                np.add(at, above, out=at)
+            total[start:start + n] += trees["length"][first:end].take(at)
     return total
 
 
