@@ -10,7 +10,7 @@ from townpulse.operators.sampling import scatter_sample, time_split
 from townpulse.operators.silhouette import score_separation
 from townpulse.operators.spatial_noise import spatial_noise
 from townpulse.plans import anomaly
-from townpulse.session import cut_lineage, fresh_path
+from townpulse.session import cut_lineage, fresh_path, stage
 from townpulse.sources.readers import spread
 
 _FEATURES = f"""{COMPLAINTS},
@@ -47,7 +47,7 @@ _SCALED = ("lat", "lon", "solve_days", "district_daily_count")
     + "SELECT ticket_id, " + ", ".join(f"round(({c} - (SELECT avg({c}) FROM filled)) / (SELECT stddev_pop({c}) FROM filled), 6) AS {c}" for c in _SCALED) + " FROM filled")
 def m2(spark, sf):
     features = anomaly.prepare_features(complaints(spark, sf)).select("ticket_id", *_SCALED)
-    features = features.withColumn("lat", F.when(F.col("ticket_id") % 9 != 0, F.col("lat")))
+    features = stage(features.withColumn("lat", F.when(F.col("ticket_id") % 9 != 0, F.col("lat"))), "features")
     scaled = anomaly.fit_scaler(features, list(_SCALED)).transform(features)
     return scaled.select("ticket_id", *[F.round(c, 6).alias(c) for c in _SCALED])
 
