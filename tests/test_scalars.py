@@ -238,3 +238,17 @@ def test_places_are_found_by_priority_and_in_order(spark):
     got = column(spark, texts, index.all_in(F.col("v")))
     assert [g and [tuple(x) for x in g] for g in got] == [[("Lat Phrao", "b"), ("Soi 5", "a"), ("พระราม", "d")], [("Phrao", "c")], [], [], None]
     assert column(spark, texts[:1], PlaceIndex(spark, {}).first_in(F.col("v"))) == [None]
+
+
+def test_rewrites_are_only_left_out_where_nothing_fits(spark):
+    import random
+
+    rng = random.Random(3)
+    parts = ["1", "2", "30", " ", "  ", "\n", "\n\n\n", ".", ",", ":", "-", "AM", "pm", "SoiA", "RoadB", "aB", "​", "﻿", "๕", "x"]
+    df = spark.createDataFrame([("".join(rng.choice(parts) for _ in range(rng.randrange(25))),) for _ in range(400)], "t STRING")
+    plain = [F.regexp_replace("t", *r) for r in text.NOTICE_REWRITES]
+    guarded = [text.rewritten(F.col("t"), i) for i in range(len(plain))]
+    wrong = [F.count_if(~a.eqNullSafe(b)) for a, b in zip(plain, guarded)]
+    changed = [F.count_if(~a.eqNullSafe(F.col("t"))) for a in plain]
+    row = df.agg(*wrong, *changed).first()
+    assert not any(row[:len(plain)]) and sum(c > 0 for c in row[len(plain):]) > 9
