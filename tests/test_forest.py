@@ -177,3 +177,36 @@ def test_saved_models_predict_the_same(spark, tmp_path):
     again = forecast.Forecaster.load(spark, str(tmp_path / "m"))
     assert (again.params, again.horizon, again.lookback) == (model.params, 2, 1)
     assert again.predict(seqs).orderBy("origin").collect() == model.predict(seqs).orderBy("origin").collect()
+
+
+def test_growth_does_not_depend_on_the_block(monkeypatch):
+    rng = np.random.default_rng(6)
+    x, y = rng.integers(0, 9, (70, 6)).astype(float), rng.random((70, 3))
+    expected = rf.grow_tree(x, y, rf.draw(70, 2000, 1, 0))
+    for block in (1, 50, 200):
+        monkeypatch.setattr(rf, "BLOCK", block)
+        got = rf.grow_tree(x, y, rf.draw(70, 2000, 1, 0))
+        assert all(np.array_equal(got[k], expected[k], equal_nan=True) for k in expected)
+
+
+def test_equal_columns_change_no_tree(spark):
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, 9, (80, 4)).astype(float), rng.integers(0, 30, (80, 1)).astype(float)
+    x = x[:, [3, 0, 0, 3, 1, 2, 1]]
+    got = rf.tree_arrays(rf.grow(spark, x, y, [rf.Job(np.arange(80))], 3))
+    expected = flat([rf.grow_tree(x, y, rf.draw(80, 2000, 42, t)) for t in range(3)])
+    assert all(np.array_equal(got[k], expected[k], equal_nan=True) for k in expected)
+
+
+def test_one_walk_reaches_the_nodes_of_all_limits():
+    rng = np.random.default_rng(8)
+    x, y = rng.integers(0, 30, (120, 5)).astype(float), rng.integers(0, 50, (120, 1)).astype(float)
+    trees, new = flat([rf.grow_tree(x, y, rf.draw(120, 2000, 1, t)) for t in range(4)]), rng.integers(0, 30, (25, 5)).astype(float)
+    for (depth, split), at in rf.reached(new, trees, [0, 2, 5, None], [2, 4, 9]).items():
+        for t, root in enumerate(trees["roots"]):
+            for i, row in enumerate(new):
+                node, level = root, 0
+                while trees["feature"][node] >= 0 and trees["rows"][node] >= split and level != depth:
+                    node = trees["left"][node] + (row[trees["feature"][node]] > trees["threshold"][node])
+                    level += 1
+                assert at[t, i] == node
