@@ -179,6 +179,30 @@ def test_saved_models_predict_the_same(spark, tmp_path):
     assert again.predict(seqs).orderBy("origin").collect() == model.predict(seqs).orderBy("origin").collect()
 
 
+def test_only_the_pool_passes_the_driver(spark, monkeypatch, tmp_path):
+    seqs, x, _ = seqs_of(spark)
+    sent = []
+    to_arrow, kind = type(seqs).toArrow, type(seqs)
+    monkeypatch.setattr(kind, "toArrow", lambda self: sent.append(to_arrow(self)) or sent[-1])
+    model = forecast.train(seqs, forecast.grid({"max_depth": [3, None], "min_leaf": [1], "min_split": [2], "n_trees": [20, 40]}))
+    model.save(str(tmp_path / "m"), spark)
+    again = forecast.Forecaster.load(spark, str(tmp_path / "m"))
+    assert again.predict(seqs).where("size(predictions) = 2").count() == len(x)
+    assert again.nodes.count() > 10 * len(x)
+    assert sum(t.num_rows for t in sent) <= 2 * len(x)
+
+
+def test_scores_do_not_depend_on_the_parts(spark, monkeypatch):
+    seqs, x, _ = seqs_of(spark)
+    model = forecast.train(seqs, [{"max_depth": None, "min_leaf": 1, "min_split": 2, "n_trees": 5}])
+    expected = rf.predict(x, rf.tree_arrays(model.nodes))
+    for rows in (4000, 30, 3):
+        monkeypatch.setattr(rf, "PART_ROWS", rows)
+        got = model.predict(seqs).orderBy("origin").collect()
+        assert [r.predictions for r in got] == expected.tolist()
+    assert model.predict(seqs.limit(0)).collect() == []
+
+
 def test_growth_does_not_depend_on_the_block(monkeypatch):
     rng = np.random.default_rng(6)
     x, y = rng.integers(0, 9, (70, 6)).astype(float), rng.random((70, 3))
