@@ -189,7 +189,7 @@ def test_only_the_pool_passes_the_driver(spark, monkeypatch, tmp_path):
     again = forecast.Forecaster.load(spark, str(tmp_path / "m"))
     assert again.predict(seqs).where("size(predictions) = 2").count() == len(x)
     assert again.nodes.count() > 10 * len(x)
-    assert sum(t.num_rows for t in sent) <= 2 * len(x)
+    assert sum(t.num_rows for t in sent) <= len(x)
 
 
 def test_scores_do_not_depend_on_the_parts(spark, monkeypatch):
