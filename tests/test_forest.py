@@ -234,3 +234,20 @@ def test_one_walk_reaches_the_nodes_of_all_limits():
                     node = trees["left"][node] + (row[trees["feature"][node]] > trees["threshold"][node])
                     level += 1
                 assert at[t, i] == node
+
+
+def test_one_series_is_trained_on_whole(spark):
+    seqs, x, y = seqs_of(spark, 2600)
+    [limits] = forecast.grid({"max_depth": [None], "min_leaf": [1], "min_split": [2], "n_trees": [2]})
+    got = rf.tree_arrays(forecast.train(seqs, [limits]).nodes)
+    expected = flat([rf.grow_tree(x, y, rf.draw(2600, 2600, 42, t)) for t in range(2)])
+    assert all(np.array_equal(got[k], expected[k], equal_nan=True) for k in expected)
+    [(_, error)] = forecast.search(seqs, [limits], folds=1)
+    trees = flat([rf.grow_tree(x[:1300], y[:1300, :1], rf.draw(1300, 1300, 42, t)) for t in range(2)])
+    assert error == pytest.approx(np.abs(rf.predict(x[1300:], trees)[:, 0] - y[1300:, 0]).mean())
+
+
+def test_trees_draw_from_every_row(spark):
+    days = spark.range(25_000).selectExpr("date_add(date'1950-01-01', int(id)) AS origin", "array(id * 1D) AS x", "array(1D) AS y")
+    assert rf.pool(days, ["origin"], ["x", "y"]).num_rows == 25_000
+    assert rf.pool(days, ["origin"], ["x", "y"], 5_000).num_rows < 6_000
