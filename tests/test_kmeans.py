@@ -112,3 +112,44 @@ def test_few_passes_over_all_rows_are_left(spark, monkeypatch):
     for wide, whole in zip(kmeans.fit_many(df, "features", [3, 6], 4), fitted):
         assert wide.cost == pytest.approx(kmeans.squared(x, wide.centres).min(axis=1).sum()) and wide.cost <= whole.cost * 1.02
     assert counted == sorted(counted) and counted[0] < 2000 and counted[-1] == 4000
+
+
+def test_silhouettes_compare_all_pairs_in_parts(spark, blobs, monkeypatch):
+    df, x = blobs
+    monkeypatch.setattr(kmeans, "SILHOUETTE_ROWS", 64)
+    monkeypatch.setattr(kmeans, "PART_ROWS", 100)
+    labels = np.arange(len(x)) % 4
+    want = widths_by_all_pairs(x, labels)
+    got = kmeans.silhouettes(df, "features", label="label", n_labels=4).collect()
+    assert {r.label: (r.n, pytest.approx(r.width, abs=1e-9)) for r in got} == {k: ((labels == k).sum(), want[labels == k].mean()) for k in range(4)}
+    centres = [x[:k] for k in (2, 5)]
+    plain = [widths_by_all_pairs(x, kmeans.nearest(x, c)).mean() for c in centres]
+    assert kmeans.mean_silhouettes(df, "features", centres) == pytest.approx(plain)
+
+
+def test_first_centres_and_tolerance_come_from_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(11_900, 2)), np.repeat(rng.normal(size=(2, 2)), 50, axis=0)]).round(2) * [90, 2]
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0) for i, v in enumerate(x)], SCHEMA).repartition(3).cache()
+    ordered, ks = x[np.lexsort(x.T[::-1])], [2, 4, 9]
+    held, rested, first, rest = [], [], kmeans._first_models, kmeans._rest
+    monkeypatch.setattr(kmeans, "_first_models", lambda spark, start, *a: held.append(start) or first(spark, start, *a))
+    monkeypatch.setattr(kmeans, "_rest", lambda df, features, models, origin, least: rested.append(([m.centres for m in models], origin, least)))
+    kmeans.fit_many(df, "features", ks, 2)
+    assert np.array_equal(held[0], ordered)
+    monkeypatch.setattr(kmeans, "HELD_ROWS", 500)
+    kmeans.fit_many(df, "features", ks, 2, seed=8)
+    [_, (centres, origin, least)] = rested
+    assert origin == pytest.approx(x.mean(axis=0)) and least == pytest.approx(1e-4 * x.var(axis=0).mean())
+    for (k, r), got in zip([(k, r) for k in ks for r in range(2)], centres):
+        assert np.array_equal(got, kmeans.first_centres(ordered, k, np.random.default_rng([8, k, r])))
+    monkeypatch.setattr(kmeans, "_rest", rest)
+    for model in kmeans.fit_many(df, "features", [3], 2):
+        assert model.cost == pytest.approx(kmeans.squared(x, model.centres).min(axis=1).sum())
+
+
+def test_first_centres_of_few_distinct_rows(spark, monkeypatch):
+    monkeypatch.setattr(kmeans, "HELD_ROWS", 50)
+    x = np.repeat([[0.0, 1.0], [0.0, 2.0], [5.0, 1.0]], 40, axis=0)
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    assert [m.cost for m in kmeans.fit_many(df, "features", [3, 5], 2)] == [0, 0]
